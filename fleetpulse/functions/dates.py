@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from fleetpulse.functions.binding import let
 from fleetpulse.functions.text import strip
 
 # a clock time after the date is accepted and dropped
@@ -13,12 +14,13 @@ _YEAR_LAST = r"^(\d{1,2})[-/.](\d{1,2})[-/.](\d{4}|\d{2})" + _CLOCK
 _MONTH_YEAR = r"^(\d{1,2})[-/.](\d{4})$"
 _COMPACT = r"^(\d{4})(\d{2})(\d{2})(?:([01]\d|2[0-3])[0-5]\d[0-5]\d)?$"
 _YEAR_ONLY = r"^\d{4}$"
-_NAMED_DAY_FIRST = r"^(\d{1,2})[- ]([a-z]{3,9})[- ,]+(\d{4})$"
-_NAMED_MONTH_FIRST = r"^([a-z]{3,9})[- ](\d{1,2})[- ,]+(\d{4})$"
-_MONTH_NAMES = (
-    "january", "february", "march", "april", "may", "june", "july",
-    "august", "september", "october", "november", "december",
+_MONTH = (
+    "(jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|"
+    "sep(?:tember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)"
 )
+_MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
+_NAMED_DAY_FIRST = r"(?i)^(\d{1,2})[- ]" + _MONTH + r"[- ,]+(\d{4})$"
+_NAMED_MONTH_FIRST = "(?i)^" + _MONTH + r"[- ](\d{1,2})[- ,]+(\d{4})$"
 
 
 def _date(year: Column, month: Column, day: Column) -> Column:
@@ -26,11 +28,35 @@ def _date(year: Column, month: Column, day: Column) -> Column:
 
 
 def _month_number(name: Column) -> Column:
-    """Month of an English name or its first three letters; NULL for other words."""
-    number = F.lit(None).cast("string")
-    for position, full in enumerate(_MONTH_NAMES, start=1):
-        number = F.when(name.isin(full, full[:3]), F.lit(str(position))).otherwise(number)
-    return number
+    names = F.array(*[F.lit(m) for m in _MONTHS])
+    return F.array_position(names, F.lower(F.substring(name, 1, 3))).cast("string")
+
+
+def _numbers(text: Column, pattern: str, year: int, month: int, day: int) -> Column:
+    """DATE from the groups of ``pattern``; a group 0 or an empty one is the first."""
+    groups = [F.regexp_extract(text, pattern, g) if g else F.lit("1") for g in (year, month, day)]
+    return _date(groups[0], groups[1], F.coalesce(F.nullif(groups[2], F.lit("")), F.lit("1")))
+
+
+def _year_last(text: Column) -> Column:
+    """Day and month in either order, then the year."""
+    def order(p: Column) -> Column:
+        month_first = p["a"].cast("int") <= 12
+        # two-digit years: 00-68 are this century, the rest the last
+        year = F.when(F.length(p["y"]) == 4, p["y"]).otherwise(
+            F.concat(F.when(p["y"].cast("int") <= 68, "20").otherwise("19"), p["y"])
+        )
+        return _date(year, F.when(month_first, p["a"]).otherwise(p["b"]), F.when(month_first, p["b"]).otherwise(p["a"]))
+
+    a, b, y = (F.regexp_extract(text, _YEAR_LAST, g) for g in (1, 2, 3))
+    return let(F.struct(a.alias("a"), b.alias("b"), y.alias("y")), order)
+
+
+def _named(text: Column, pattern: str, month: int, day: int) -> Column:
+    return _date(
+        F.regexp_extract(text, pattern, 3), _month_number(F.regexp_extract(text, pattern, month)),
+        F.regexp_extract(text, pattern, day),
+    )
 
 
 def parse_mixed_date(text: Column) -> Column:
@@ -40,49 +66,12 @@ def parse_mixed_date(text: Column) -> Column:
     Every layout is recognised by pattern before it is cast, so a column of mixed layouts
     costs no failed parses.
     """
-    text = strip(text)
-    first = F.regexp_extract(text, _YEAR_LAST, 1)
-    second = F.regexp_extract(text, _YEAR_LAST, 2)
-    year = F.regexp_extract(text, _YEAR_LAST, 3)
-    # two-digit years: 00-68 are this century, the rest the last
-    year = F.when(F.length(year) == 4, year).otherwise(
-        F.concat(F.when(year.cast("int") <= 68, "20").otherwise("19"), year)
-    )
-    month_first = first.cast("int") <= 12
-    year_last = _date(
-        year, F.when(month_first, first).otherwise(second), F.when(month_first, second).otherwise(first)
-    )
-    year_first_day = F.regexp_extract(text, _YEAR_FIRST, 3)
-    year_first = _date(
-        F.regexp_extract(text, _YEAR_FIRST, 1),
-        F.regexp_extract(text, _YEAR_FIRST, 2),
-        F.when(year_first_day == "", "1").otherwise(year_first_day),
-    )
-    compact = _date(F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2))
-    lowered = F.lower(text)
-    return (
-        F.when(text.rlike(_YEAR_FIRST), year_first)
-        .when(text.rlike(_YEAR_LAST), year_last)
-        .when(text.rlike(_COMPACT), compact)
-        .when(text.rlike(_YEAR_ONLY), _date(text, F.lit("1"), F.lit("1")))
-        .when(
-            text.rlike(_MONTH_YEAR),
-            _date(F.regexp_extract(text, _MONTH_YEAR, 2), F.regexp_extract(text, _MONTH_YEAR, 1), F.lit("1")),
-        )
-        .when(
-            lowered.rlike(_NAMED_DAY_FIRST),
-            _date(
-                F.regexp_extract(lowered, _NAMED_DAY_FIRST, 3),
-                _month_number(F.regexp_extract(lowered, _NAMED_DAY_FIRST, 2)),
-                F.regexp_extract(lowered, _NAMED_DAY_FIRST, 1),
-            ),
-        )
-        .when(
-            lowered.rlike(_NAMED_MONTH_FIRST),
-            _date(
-                F.regexp_extract(lowered, _NAMED_MONTH_FIRST, 3),
-                _month_number(F.regexp_extract(lowered, _NAMED_MONTH_FIRST, 1)),
-                F.regexp_extract(lowered, _NAMED_MONTH_FIRST, 2),
-            ),
-        )
-    )
+    return let(strip(text), lambda t: (
+        F.when(t.rlike(_YEAR_FIRST), _numbers(t, _YEAR_FIRST, 1, 2, 3))
+        .when(t.rlike(_YEAR_LAST), _year_last(t))
+        .when(t.rlike(_COMPACT), _numbers(t, _COMPACT, 1, 2, 3))
+        .when(t.rlike(_YEAR_ONLY), _date(t, F.lit("1"), F.lit("1")))
+        .when(t.rlike(_MONTH_YEAR), _numbers(t, _MONTH_YEAR, 2, 1, 0))
+        .when(t.rlike(_NAMED_DAY_FIRST), _named(t, _NAMED_DAY_FIRST, 2, 1))
+        .when(t.rlike(_NAMED_MONTH_FIRST), _named(t, _NAMED_MONTH_FIRST, 1, 2))
+    ))

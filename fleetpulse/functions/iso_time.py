@@ -9,9 +9,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from fleetpulse.functions.binding import let
+
 _CLOCK = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d{1,6})?"
 _USUAL = _CLOCK + r"(Z|[+-](0\d|1[0-7]):[0-5]\d)$"
 _USUAL_NAIVE = _CLOCK + "$"
+_CANONICAL = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.(?!0{6})\d{6})?(Z|\+\d{2}:[0-5]\d)$"
 
 _DATE = r"\d{4}-\d{2}-\d{2}|\d{8}|\d{4}-W\d{2}(?:-\d)?|\d{4}W\d{2}\d?"
 _TIME = r"\d{2}(?::\d{2}(?::\d{2})?|\d{2}(?:\d{2})?)?(?:[.,]\d+)?"
@@ -27,39 +30,49 @@ def _week_date(text: Column) -> Column:
     week = F.substring(text, 6, 2).cast("int")
     day = F.when(F.length(text) > 7, F.substring(text, 8, 1).cast("int")).otherwise(1)
     fourth = F.concat(year, F.lit("-01-04")).try_cast("date")
-    monday = F.date_sub(fourth, F.weekday(fourth))
-    start = F.date_add(monday, (week - 1) * 7)
+    start = F.date_add(F.date_sub(fourth, F.weekday(fourth)), (week - 1) * 7)
     real = week.between(1, 52) | ((week == 53) & (F.weekofyear(start) == 53))
     return F.when(real & day.between(1, 7), F.date_add(start, day - 1)).cast("string")
 
 
-def _parts(text: Column) -> tuple[Column, Column, Column, Column]:
-    """(date text, clock text, fraction of 6 digits, offset seconds) of general ISO text."""
-    date = F.regexp_replace(F.regexp_extract(text, _GENERAL, 1), "-", "")
-    date = F.when(date.contains("W"), _week_date(date)).otherwise(
-        F.concat_ws("-", F.substring(date, 1, 4), F.substring(date, 5, 2), F.substring(date, 7, 2))
+def _offset_seconds(zone: Column) -> Column:
+    span = F.rpad(F.regexp_replace(F.regexp_replace(zone, "[.,].*$", ""), "[^0-9]", ""), 6, "0")
+    return let(span, lambda digits: (
+        F.substring(digits, 1, 2).cast("int") * 3600
+        + F.substring(digits, 3, 2).cast("int") * 60
+        + F.substring(digits, 5, 2).cast("int")
+    )) * F.when(zone.startswith("-"), -1).otherwise(1)
+
+
+def _parts(text: Column) -> Column:
+    """Struct of general ISO text: date and clock texts, fraction of 6 digits, offset seconds."""
+    date = let(
+        F.regexp_replace(F.regexp_extract(text, _GENERAL, 1), "-", ""),
+        lambda d: F.when(d.contains("W"), _week_date(d)).otherwise(
+            F.concat_ws("-", F.substring(d, 1, 4), F.substring(d, 5, 2), F.substring(d, 7, 2))
+        ),
     )
     time = F.regexp_extract(text, _GENERAL, 2)
-    digits = F.rpad(F.regexp_replace(F.regexp_replace(time, "[.,].*$", ""), ":", ""), 6, "0")
-    clock = F.concat_ws(":", F.substring(digits, 1, 2), F.substring(digits, 3, 2), F.substring(digits, 5, 2))
-    fraction = F.substring(F.rpad(F.regexp_extract(time, r"[.,](\d+)", 1), 6, "0"), 1, 6)
-    zone = F.regexp_extract(text, _GENERAL, 3)
-    span = F.rpad(F.regexp_replace(F.regexp_replace(zone, "[.,].*$", ""), "[^0-9]", ""), 6, "0")
-    seconds = (
-        F.substring(span, 1, 2).cast("int") * 3600
-        + F.substring(span, 3, 2).cast("int") * 60
-        + F.substring(span, 5, 2).cast("int")
+    clock = let(
+        F.rpad(F.regexp_replace(F.regexp_replace(time, "[.,].*$", ""), ":", ""), 6, "0"),
+        lambda d: F.concat_ws(":", F.substring(d, 1, 2), F.substring(d, 3, 2), F.substring(d, 5, 2)),
+    )
+    return F.struct(
+        date.alias("date"),
+        clock.alias("clock"),
+        F.substring(F.rpad(F.regexp_extract(time, r"[.,](\d+)", 1), 6, "0"), 1, 6).alias("fraction"),
+        _offset_seconds(F.regexp_extract(text, _GENERAL, 3)).alias("offset"),
     )
-    return date, clock, fraction, F.when(zone.startswith("-"), -seconds).otherwise(seconds)
 
 
 def _general_timestamp(text: Column) -> Column:
-    date, clock, fraction, offset = _parts(text)
-    local = F.concat(date, F.lit("T"), clock, F.lit("."), fraction, F.lit("Z")).try_cast("timestamp")
-    legal = text.rlike(_GENERAL) & ~text.startswith("0000") & (F.abs(offset) < _DAY_SECONDS)
-    return F.when(
-        legal, F.timestamp_micros(F.unix_micros(local) - offset.cast("bigint") * F.lit(1_000_000))
-    )
+    def instant(p: Column) -> Column:
+        local = F.concat(p["date"], F.lit("T"), p["clock"], F.lit("."), p["fraction"], F.lit("Z")).try_cast("timestamp")
+        shifted = F.unix_micros(local) - p["offset"].cast("bigint") * F.lit(1_000_000)
+        return F.when(F.abs(p["offset"]) < _DAY_SECONDS, F.timestamp_micros(shifted))
+
+    legal = text.rlike(_GENERAL) & ~text.startswith("0000")
+    return F.when(legal, let(_parts(text), instant))
 
 
 def iso_timestamp(text: Column) -> Column:
@@ -76,17 +89,21 @@ def iso_timestamp(text: Column) -> Column:
 
 def iso_text(text: Column) -> Column:
     """The canonical spelling of ISO-8601 text, in its own offset (+00:00 if it had none)."""
-    date, clock, fraction, offset = _parts(text)
-    size = F.abs(offset)
-    zone = F.concat(
-        F.when(offset < 0, "-").otherwise("+"),
-        F.lpad((size / 3600).cast("int").cast("string"), 2, "0"),
-        F.lit(":"),
-        F.lpad(((size % 3600) / 60).cast("int").cast("string"), 2, "0"),
-        F.when(size % 60 != 0, F.concat(F.lit(":"), F.lpad((size % 60).cast("string"), 2, "0"))).otherwise(""),
-    )
-    return F.concat(
-        date, F.lit("T"), clock,
-        F.when(fraction != "000000", F.concat(F.lit("."), fraction)).otherwise(""),
-        zone,
-    )
+
+    def two(number: Column) -> Column:
+        return F.lpad(F.floor(number).cast("string"), 2, "0")
+
+    def zone(offset: Column) -> Column:
+        size = F.abs(offset)
+        return F.concat(
+            F.when(offset < 0, "-").otherwise("+"),
+            two(size / 3600), F.lit(":"), two(size % 3600 / 60),
+            F.when(size % 60 != 0, F.concat(F.lit(":"), two(size % 60))).otherwise(""),
+        )
+
+    general = let(_parts(text), lambda p: F.concat(
+        p["date"], F.lit("T"), p["clock"],
+        F.when(p["fraction"] != "000000", F.concat(F.lit("."), p["fraction"])).otherwise(""),
+        zone(p["offset"]),
+    ))
+    return F.when(text.rlike(_CANONICAL), F.regexp_replace(text, "Z$", "+00:00")).otherwise(general)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from fleetpulse.functions.binding import let
+
 _NUMBER = r"^(BIGINT|DOUBLE|FLOAT|DECIMAL)"
 
 
@@ -21,26 +23,28 @@ def json_text(value: Column) -> Column:
 
 def number_text(value: Column) -> Column:
     """A DOUBLE in plain digits up to 16 of them, as the rejection reasons spell it."""
-    plain = F.regexp_replace(value.cast("decimal(38,18)").cast("string"), "0+$", "")
-    plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
-    size = F.abs(value)
-    return (
-        F.when(F.isnan(value), "nan")
-        .when(size == float("inf"), F.when(value > 0, "inf").otherwise("-inf"))
-        .when((size >= 1e7) & (size < 1e16), plain)
-        .when((size < 1e-3) & (size >= 1e-4), plain)
-        .otherwise(value.cast("string"))
-    )
+
+    def spell(v: Column) -> Column:
+        size = F.abs(v)
+        plain = F.regexp_replace(F.regexp_replace(v.cast("decimal(38,18)").cast("string"), "0+$", ""), r"\.$", ".0")
+        return (
+            F.when(F.isnan(v), "nan")
+            .when(size == float("inf"), F.when(v > 0, "inf").otherwise("-inf"))
+            .when(((size >= 1e7) & (size < 1e16)) | ((size < 1e-3) & (size >= 1e-4)), plain)
+            .otherwise(v.cast("string"))
+        )
+
+    usual = F.abs(value).between(1e-3, 1e7 - 1)
+    return F.when(usual, value.cast("string")).otherwise(let(value, spell))
 
 
 def value_text(value: Column) -> Column:
     """A JSON value as the rejection reasons spell it."""
-    kind = F.schema_of_variant(value)
-    return (
-        F.when(value.isNull() | F.is_variant_null(value), "None")
-        .when(kind == "STRING", F.try_variant_get(value, "$", "string"))
-        .when(kind == "BOOLEAN", F.initcap(F.try_variant_get(value, "$", "string")))
-        .when(kind == "BIGINT", F.try_variant_get(value, "$", "string"))
+    text = F.try_variant_get(value, "$", "string")
+    spelled = let(F.schema_of_variant(value), lambda kind: (
+        F.when(kind.isin("STRING", "BIGINT"), text)
+        .when(kind == "BOOLEAN", F.initcap(text))
         .when(kind.rlike(_NUMBER), number_text(F.try_variant_get(value, "$", "double")))
         .otherwise(F.to_json(value))
-    )
+    ))
+    return F.when(value.isNull() | F.is_variant_null(value), "None").otherwise(spelled)

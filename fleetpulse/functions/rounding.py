@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from fleetpulse.functions.binding import let
+
 _SCALE = 2 ** 60
 
 
@@ -15,20 +17,29 @@ def round_half_even(value: Column, digits: int) -> Column:
     a tie, the side is decided on the stored bits, in integers. Exact for sizes below 2**53
     and, for ties, down to 2**-8, which covers every tie with one or two decimals.
     """
-    size = F.abs(value)
-    spelled = size.cast("decimal(38,12)") * F.lit(10 ** digits)
-    units = F.floor(spelled)
-    is_tie = (spelled - units) == F.lit(0.5).cast("decimal(2,1)")
-
-    whole = F.floor(size)
-    stored = ((size - whole) * F.lit(float(_SCALE))).cast("bigint").cast("decimal(38,0)") * F.lit(2 * 10 ** digits)
-    odd = units.cast("bigint") * 2 + 1 - whole * F.lit(2 * 10 ** digits)
-    tie = odd.cast("decimal(38,0)") * F.lit(_SCALE)
-    up = (stored > tie) | ((stored == tie) & (units.cast("bigint") % 2 == 1))
-
-    counted = units.cast("bigint") + F.when(up, 1).otherwise(0)
-    resolved = counted.cast("double") / F.lit(float(10 ** digits)) * F.signum(value)
-    return F.when(is_tie, resolved).otherwise(F.bround(value, digits))
+    unit = 10 ** digits
+
+    def settle_tie(v: Column) -> Column:
+        size = F.abs(v)
+        whole = F.floor(size)
+        units = F.floor(_spelled(v, unit)).cast("bigint")
+        stored = ((size - whole) * F.lit(float(_SCALE))).cast("bigint").cast("decimal(38,0)") * F.lit(2 * unit)
+        tie = (units * 2 + 1 - whole * F.lit(2 * unit)).cast("decimal(38,0)") * F.lit(_SCALE)
+        up = (stored > tie) | ((stored == tie) & (units % 2 == 1))
+        counted = units + F.when(up, 1).otherwise(0)
+        return counted.cast("double") / F.lit(float(unit)) * F.signum(v)
+
+    def settle(v: Column) -> Column:
+        spelled = _spelled(v, unit)
+        is_tie = (spelled - F.floor(spelled)) == F.lit(0.5).cast("decimal(2,1)")
+        return F.when(is_tie, settle_tie(v)).otherwise(F.bround(v, digits))
+
+    return let(value, settle)
+
+
+def _spelled(value: Column, unit: int) -> Column:
+    """The size of ``value`` by its decimal spelling, in units of the last digit kept."""
+    return F.abs(value).cast("decimal(38,12)") * F.lit(unit)
 
 
 def percent(part: Column, total: Column, digits: int = 2) -> Column:

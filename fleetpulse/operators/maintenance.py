@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from fleetpulse.constants import CRITICIDAD
 from fleetpulse.functions.dates import parse_mixed_date
 from fleetpulse.functions.text import null_token_normalize, strip
+from fleetpulse.operators.relations import evaluate_once
 
 REASON = "rejection_reason"
 
@@ -26,6 +27,9 @@ def normalize_maintenance(df: DataFrame) -> DataFrame:
     """Trimmed, upper-cased and re-dated rows; ``fecha_mantenimiento`` becomes a DATE."""
     if "fecha" in df.columns and "fecha_mantenimiento" not in df.columns:
         df = df.withColumnRenamed("fecha", "fecha_mantenimiento")
+    if dict(df.dtypes).get("fecha_mantenimiento") == "string":
+        dated = evaluate_once(df, "_date", parse_mixed_date(F.col("fecha_mantenimiento")))
+        df = dated.withColumn("fecha_mantenimiento", F.col("_date")).drop("_date")
     cleaned = {
         name: null_token_normalize(F.upper(strip(F.col(name))))
         for name in ("equipo_id", "criticidad")
@@ -33,8 +37,6 @@ def normalize_maintenance(df: DataFrame) -> DataFrame:
     }
     if "tipo_falla" in df.columns:
         cleaned["tipo_falla"] = strip(F.col("tipo_falla"))
-    if "fecha_mantenimiento" in df.columns and dict(df.dtypes)["fecha_mantenimiento"] == "string":
-        cleaned["fecha_mantenimiento"] = parse_mixed_date(F.col("fecha_mantenimiento"))
     return df.withColumns(cleaned)
 
 

@@ -15,6 +15,7 @@ from fleetpulse.constants import (
     LONGITUDE_RANGE,
     MAX_AGE_SECONDS,
 )
+from fleetpulse.functions.binding import let
 from fleetpulse.functions.iso_time import iso_text, iso_timestamp
 from fleetpulse.functions.json_values import json_number, json_text, number_text, value_text
 from fleetpulse.operators.relations import evaluate_once
@@ -73,9 +74,9 @@ def decode_payload(
     """JSON text to device fields, by both spellings, plus the evidence columns.
 
     Most records are well formed, so they are parsed once, straight into typed fields. Only
-    records for which that cannot settle the outcome (a field absent, null, of another type
-    or out of range, or both spellings at once) are parsed again, each value keeping its
-    JSON type, to tell an absent key from a null and a number from text.
+    records for which that cannot settle the outcome (a field absent, null or of another
+    type, a whole number out of range, or both spellings at once) are parsed again, each value
+    keeping its JSON type, to tell an absent key from a null and a number from text.
 
     The text is parsed inside brackets: anything after the closing brace then makes it
     malformed instead of being ignored.
@@ -93,69 +94,91 @@ def decode_payload(
     text = F.concat(F.lit("["), F.col(body), F.lit("]"))
 
     df = evaluate_once(df, "_typed", F.from_json(text, f"array<struct<{typed}>>", _JSON_OPTIONS))
-    first = F.get("_typed", F.lit(0))
-    latitude = F.coalesce(first["latitud"], first["latitude"])
-    longitude = F.coalesce(first["longitud"], first["longitude"])
-    doubtful = [F.col(body).contains(f'"{es}"') & F.col(body).contains(f'"{en}"') for es, en in GPS_RENAMES.items()]
+    df = df.select("*", F.get("_typed", F.lit(0)).alias("_first"))
+    first = F.col("_first")
+
+    def clear(es: str, en: str, bounds: tuple[float, float]) -> Column:
+        """A number whose spelling, if it is to be reported, is that of the double: 20.5, not 20."""
+        value = F.coalesce(first[es], first[en])
+        return value.between(*bounds) | (value != F.rint(value))
+
+    # No two of these spellings in one record, and no key hidden by an escape.
+    single = [~(F.col(body).contains(f'"{es}"') & F.col(body).contains(f'"{en}"')) for es, en in GPS_RENAMES.items()]
     settled = (
         (F.size("_typed") == 1)
         & first["equipo_id"].isNotNull()
-        & latitude.between(*LATITUDE_RANGE)
-        & longitude.between(*LONGITUDE_RANGE)
+        & clear("latitud", "latitude", LATITUDE_RANGE)
+        & clear("longitud", "longitude", LONGITUDE_RANGE)
         & first["timestamp"].rlike(_DATED)
-        & ~(doubtful[0] | doubtful[1] | doubtful[2])
+        & single[0] & single[1] & single[2]
         & ~F.col(body).contains("\\u")
     )
-    df = evaluate_once(
-        df,
-        "_exact",
-        F.when(~F.coalesce(settled, F.lit(False)), F.from_json(text, f"array<struct<{untyped}>>", _JSON_OPTIONS)),
+    # Settled in a projection of its own, compiled, so that the next step only tests a flag.
+    df = df.withColumn("_settled", F.coalesce(settled, F.lit(False)))
+    settled = F.col("_settled")
+    exact = let(
+        F.from_json(text, f"array<struct<{untyped}>>", _JSON_OPTIONS),
+        lambda a: F.when(F.size(a) == 1, _exact_fields(F.get(a, F.lit(0)), body, passthrough)),
+    )
+    df = evaluate_once(df, "_exact", F.when(~settled, exact))
+    exact = F.col("_exact")
+
+    def pick(name: str, parsed: Column) -> Column:
+        return F.when(settled, parsed).otherwise(exact[name]).alias(name)
+
+    def number(en: str, es: str) -> Column:
+        return F.nanvl(F.coalesce(first[es], first[en]), F.lit(None).cast("double"))
+
+    kept = [c for c in df.columns if not c.startswith("_")]
+    return df.select(
+        *kept,
+        pick("equipo_id", first["equipo_id"]),
+        pick("timestamp", first["timestamp"]),
+        *[pick(en, number(en, es)) for es, en in GPS_RENAMES.items()],
+        *[pick(name, first[name]) for name in passthrough],
+        F.when(~settled & exact.isNull(), "not_a_json_object").alias("_decode_error"),
+        *[exact[name].alias(name) for name in EVIDENCE if name != "_decode_error"],
     )
-    df = df.withColumns({
-        "_settled": F.coalesce(settled, F.lit(False)),
-        "_record": F.when(F.size("_exact") == 1, F.get("_exact", F.lit(0))),
-    })
-    settled, record = F.col("_settled"), F.col("_record")
 
-    # When both spellings of a field occur, the later key of the object wins.
+
+def _exact_fields(record: Column, body: str, passthrough: Mapping[str, str]) -> Column:
+    """Fields and evidence of a record whose values kept their JSON types; NULL if it is none."""
     keys = F.json_object_keys(body)
-    chosen = {}
-    for es, en in GPS_RENAMES.items():
+
+    def chosen(es: str, en: str) -> Column:
+        """When both spellings of a field occur, the later key of the object wins."""
         later = F.array_position(keys, en) > F.array_position(keys, es)
-        chosen[en] = (
+        return (
             F.when(record[es].isNull(), record[en])
             .when(record[en].isNull(), record[es])
-            .when(later, record[en])
-            .otherwise(record[es])
+            .otherwise(F.when(later, record[en]).otherwise(record[es]))
         )
-    exact = {"equipo_id": record["equipo_id"], "timestamp": record["timestamp"], **chosen}
-    undecodable = ~settled & record.isNull()
-    absent = F.array_compact(F.array(*[F.when(exact[name].isNull(), F.lit(name)) for name in sorted(GPS_REQUIRED)]))
 
-    def number(en: str, es: str) -> Column:
-        parsed = F.when(settled, F.coalesce(first[es], first[en])).otherwise(json_number(exact[en]))
-        return F.nanvl(parsed, F.lit(None).cast("double"))
+    def describe(v: Column) -> Column:
+        return F.struct(
+            v.isNull().alias("absent"),
+            F.nanvl(json_number(v), F.lit(None).cast("double")).alias("number"),
+            value_text(v).alias("text"),
+        )
 
-    fields = {
-        "equipo_id": F.when(settled, first["equipo_id"]).otherwise(
-            F.try_variant_get(exact["equipo_id"], "$", "string")
-        ),
-        "timestamp": F.when(settled, first["timestamp"]).otherwise(json_text(exact["timestamp"])),
-        **{en: number(en, es) for es, en in GPS_RENAMES.items()},
-        **{
-            name: F.when(settled, first[name]).otherwise(F.try_variant_get(record[name], "$", kind))
-            for name, kind in passthrough.items()
-        },
-    }
-    evidence = {
-        "_decode_error": F.when(undecodable, "not_a_json_object"),
-        "_missing": F.when(~settled & ~undecodable & (F.size(absent) > 0), F.array_join(absent, ",")),
-        "_latitude_text": F.when(~settled, value_text(exact["latitude"])),
-        "_longitude_text": F.when(~settled, value_text(exact["longitude"])),
-        "_timestamp_text": F.when(~settled, value_text(exact["timestamp"])),
-    }
-    kept = [c for c in df.columns if not c.startswith("_")]
-    return df.select(*kept, *[value.alias(name) for name, value in {**fields, **evidence}.items()])
+    values = F.struct(*[let(chosen(es, en), describe).alias(en) for es, en in GPS_RENAMES.items()])
+
+    def fields(v: Column) -> Column:
+        gone = {"equipo_id": record["equipo_id"].isNull(), "timestamp": record["timestamp"].isNull()}
+        gone |= {name: v[name]["absent"] for name in ("latitude", "longitude")}
+        names = F.array_compact(F.array(*[F.when(gone[name], F.lit(name)) for name in sorted(GPS_REQUIRED)]))
+        return F.struct(
+            F.try_variant_get(record["equipo_id"], "$", "string").alias("equipo_id"),
+            json_text(record["timestamp"]).alias("timestamp"),
+            *[v[en]["number"].alias(en) for en in GPS_RENAMES.values()],
+            *[F.try_variant_get(record[name], "$", kind).alias(name) for name, kind in passthrough.items()],
+            F.nullif(F.array_join(names, ","), F.lit("")).alias("_missing"),
+            v["latitude"]["text"].alias("_latitude_text"),
+            v["longitude"]["text"].alias("_longitude_text"),
+            value_text(record["timestamp"]).alias("_timestamp_text"),
+        )
+
+    return F.when(record.isNotNull(), let(values, fields))
 
 
 def normalize_gps_fields(df: DataFrame) -> DataFrame:

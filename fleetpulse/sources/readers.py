@@ -41,7 +41,7 @@ def read_telemetry(spark: SparkSession, path: str, arrival: str = "processing")
 
 def csv_cells(df: DataFrame) -> DataFrame:
     """Missing-value words to NULL, and the file each row came from."""
-    cells = [F.when(~F.col(f"`{c}`").isin(CSV_NULL_TOKENS), F.col(f"`{c}`")).alias(c) for c in df.columns]
+    cells = [F.when(~F.col(f"`{c}`").isin(CSV_NULL_TOKENS), F.col(f"`{c}`")).alias(c) for c in df.columns if c != "source_file"]
     return df.select(*cells, F.col("_metadata.file_path").alias("source_file"))
 
 
