@@ -120,9 +120,9 @@ def dq_rules(dataset: str) -> list[Rule]:
     return rules
 
 
-def _plain(df: DataFrame, name: str) -> Column:
+def _plain(kinds: dict[str, str], name: str) -> Column:
     """A column's value; not-a-number counts as missing, since Spark sorts it above all numbers."""
-    kind = dict(df.dtypes)[name]
+    kind = kinds[name]
     return F.nanvl(F.col(name), F.lit(None).cast(kind)) if kind in ("double", "float") else F.col(name)
 
 
@@ -134,7 +134,7 @@ def _checks(df: DataFrame, dataset: str) -> list[tuple[Rule, Column, Column]]:
     for rule in dq_rules(dataset):
         if rule.column not in kinds:
             continue
-        raw = _plain(df, rule.column)
+        raw = _plain(kinds, rule.column)
         same = kinds[rule.column] == types[rule.column]
         value = raw if same else raw.try_cast(types[rule.column])
         if rule.kind == COERCE:
@@ -203,23 +203,28 @@ def dq_duplicates(df: DataFrame, dataset: str) -> DataFrame:
     return per_key.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicates_count"))
 
 
-def _checked_columns(df: DataFrame) -> list[str]:
-    return [c for c in df.columns if c != REASON]
+def _filled(df: DataFrame) -> dict[str, Column]:
+    """Per column, the aggregate counting its values."""
+    kinds = dict(df.dtypes)
+    return {c: F.count(_plain(kinds, c)) for c in kinds if c != REASON}
+
 
+def _counts(aggregates: dict[str, Column]) -> Column:
+    """The aggregates as one array of (column, n)."""
+    return F.array(*[F.struct(F.lit(c).alias("column"), n.alias("n")) for c, n in aggregates.items()])
 
-def _long(wide: DataFrame, columns: dict[str, Column], value_name: str) -> DataFrame:
-    """One row per entry of ``columns``, from a one-row frame."""
-    pairs = F.array(*[
-        F.struct(F.lit(name).alias("column"), value.alias(value_name)) for name, value in columns.items()
-    ])
-    return wide.select(F.explode(pairs).alias("_pair")).select("_pair.*")
+
+def _percentages(counts: Column, total: Column, name: str) -> Column:
+    """(column, n) entries to (column, percent of total)."""
+    return F.transform(
+        counts, lambda entry: F.struct(entry["column"].alias("column"), percent(entry["n"], total).alias(name))
+    )
 
 
 def dq_completeness(df: DataFrame) -> DataFrame:
     """``(column, completeness_pct)`` for every column."""
-    names = _checked_columns(df)
-    wide = df.agg(F.count(F.lit(1)).alias("_total"), *[F.count(_plain(df, c)).alias(c) for c in names])
-    return _long(wide, {c: percent(F.col(c), F.col("_total")) for c in names}, "completeness_pct")
+    wide = df.agg(F.count(F.lit(1)).alias("total"), _counts(_filled(df)).alias("counts"))
+    return wide.select(F.inline(_percentages(F.col("counts"), F.col("total"), "completeness_pct")))
 
 
 def _range_failures(df: DataFrame, dataset: str) -> dict[str, Column]:
@@ -231,11 +236,9 @@ def dq_out_of_range(df: DataFrame, dataset: str) -> DataFrame:
     counts = _range_failures(df, dataset)
     if not counts:
         return df.sparkSession.createDataFrame([], "column string, out_of_range_pct double")
-    wide = df.agg(F.count(F.lit(1)).alias("_total"), *[n.alias(c) for c, n in counts.items()])
-    long = _long(
-        wide, {c: F.when(F.col(c) > 0, percent(F.col(c), F.col("_total"))) for c in counts}, "out_of_range_pct"
-    )
-    return long.filter(F.col("out_of_range_pct").isNotNull())
+    wide = df.agg(F.count(F.lit(1)).alias("total"), _counts(counts).alias("counts"))
+    failing = F.filter("counts", lambda entry: entry["n"] > 0)
+    return wide.select(F.inline(_percentages(failing, F.col("total"), "out_of_range_pct")))
 
 
 def dq_metrics(df: DataFrame, dataset: str, run_ts=None) -> DataFrame:
@@ -246,7 +249,6 @@ def dq_metrics(df: DataFrame, dataset: str, run_ts=None) -> DataFrame:
     would have to carry every counter through the exchange once per distinct key.
     """
     checks = _checks(df, dataset)
-    names = _checked_columns(df)
     ranges = _range_failures(df, dataset)
     absent = len(_missing_columns(df, dataset))
     failures = reduce(lambda a, b: a + b, (f.cast("bigint") for _, _, f in checks), F.lit(0).cast("bigint"))
@@ -254,25 +256,14 @@ def dq_metrics(df: DataFrame, dataset: str, run_ts=None) -> DataFrame:
         F.count(F.lit(1)).alias("total_rows"),
         F.count_if(_any_failed(checks)).alias("rejected_rows"),
         F.coalesce(F.sum(failures), F.lit(0)).alias("_failures"),
-        F.struct(*[F.count(_plain(df, c)).alias(c) for c in names]).alias("_filled"),
-        *([F.struct(*[n.alias(c) for c, n in ranges.items()]).alias("_ranges")] if ranges else []),
+        _counts(_filled(df)).alias("_filled"),
+        (_counts(ranges) if ranges else F.lit(None)).cast("array<struct<column:string,n:bigint>>").alias("_ranges"),
     )
     total = F.col("total_rows")
+    failing = F.filter(F.coalesce("_ranges", F.array().cast("array<struct<column:string,n:bigint>>")), lambda entry: entry["n"] > 0)
+    complete = F.map_from_entries(_percentages(F.col("_filled"), total, "pct"))
+    outside = F.map_from_entries(_percentages(failing, total, "pct"))
     duplicates = dq_duplicates(df, dataset).scalar()
-
-    def as_map(values: dict[str, Column]) -> Column:
-        entries = F.array(*[F.struct(F.lit(c), v) for c, v in values.items()])
-        return F.map_from_entries(entries)
-
-    complete = as_map({c: percent(F.col("_filled")[c], total) for c in names})
-    outside = (
-        F.map_filter(
-            as_map({c: F.when(F.col("_ranges")[c] > 0, percent(F.col("_ranges")[c], total)) for c in ranges}),
-            lambda _, pct: pct.isNotNull(),
-        )
-        if ranges
-        else F.create_map().cast("map<string,double>")
-    )
     counted = stats.withColumn("duplicates_count", duplicates)
     return counted.select(
         F.lit(dataset).alias("dataset"),

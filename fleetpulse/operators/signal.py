@@ -184,7 +184,7 @@ def signal_loss_sessions(gps: DataFrame, as_of=None, gap_minutes: int = ALERT_MI
     gap = gap_minutes * 60_000_000
     micros = F.unix_micros("event_ts")
     slots = gps.filter(F.col("event_ts").isNotNull() & F.col("equipo_id").isNotNull()).groupBy(
-        "equipo_id", F.floor(micros / F.lit(gap)).alias("slot")
+        "equipo_id", (micros - F.pmod(micros, F.lit(gap))).alias("slot")
     ).agg(F.min(micros).alias("first"), F.max(micros).alias("last"), F.count(F.lit(1)).alias("n"))
     by_time = Window.partitionBy("equipo_id").orderBy("slot")
     starts = F.coalesce(F.col("first") - F.lag("last").over(by_time) > gap, F.lit(True))

@@ -84,7 +84,8 @@ def maintenance(spark: SparkSession, sf_dir: str) -> DataFrame:
         _device(F.col("o_custkey")).alias("equipo_id"),
         F.col("o_orderdate").cast("date").alias("fecha_mantenimiento"),
         F.col("o_orderpriority").alias("tipo_falla"),
-        F.when(status == "F", "ALTA").when(status == "O", "MEDIA").otherwise("BAJA").alias("criticidad"),
+        # nested, so that a filter on the result folds back to a filter on the stored column
+        F.when(status == "F", "ALTA").otherwise(F.when(status == "O", "MEDIA").otherwise("BAJA")).alias("criticidad"),
         F.when(key % 4 == 0, "RESUELTO").when(key % 4 != 1, "PENDIENTE").alias("estado"),
     )
 

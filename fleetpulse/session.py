@@ -12,6 +12,9 @@ ADVISED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A day of de-duplication keys belongs on local disk, not in the executor's heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
