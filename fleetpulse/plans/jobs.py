@@ -14,6 +14,7 @@ from fleetpulse.operators.signal import (
 )
 from fleetpulse.sources.last_seen import read_last_seen
 from fleetpulse.sources.readers import read_maintenance_csv, read_silver
+from fleetpulse.sources.storage import checkpointed
 from fleetpulse.sources.writers import (
     append_auto_maintenance, write_quality_metrics, write_rejected_maintenance, write_silver_maintenance,
 )
@@ -27,7 +28,7 @@ def ingest_frame(raw: DataFrame, silver: str, rejected: str) -> DataFrame:
     """
     checked = with_maintenance_reasons(normalize_maintenance(require_columns(raw)))
     bad = F.col("rejection_reason").isNotNull()
-    summary = ingest_summary(checked).persist()
+    summary = checkpointed(ingest_summary(checked))
     write_silver_maintenance(checked.filter(~bad).drop("rejection_reason"), silver, summary)
     write_rejected_maintenance(checked.filter(bad), rejected, summary)
     return summary

@@ -55,11 +55,16 @@ def read_maintenance_csv(spark: SparkSession, path: str | list[str], mixed_heade
     """
     if not mixed_headers:
         return csv_cells(spark.read.options(**CSV_OPTIONS).csv(path))
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("position"),
+    )
     headers = (
         lines.filter((F.col("start") == 0) & (F.trim("value") != ""))
         .groupBy("file")
-        .agg(F.min_by("value", F.monotonically_increasing_id()).alias("header"))
+        .agg(F.min_by("value", "position").alias("header"))
     )
     # One row per input file, like the file listing the driver already holds.
     layouts: dict[str, list[str]] = {}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def _fs_path(spark: SparkSession, path: str):
@@ -51,6 +51,14 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` computed now and kept in the shared folder, so that no executor's loss undoes it."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_dir(df.sparkSession))
+    return df.checkpoint()
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/fleetpulse/{name}-{uuid.uuid4().hex[:12]}"
