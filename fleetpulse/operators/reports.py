@@ -66,8 +66,12 @@ def gps_state(df: DataFrame, as_of=None, silent_min: int = ALERT_MINUTES) -> Dat
 
 
 def order_critical(df: DataFrame) -> DataFrame:
-    """Most faults first, then longest silence, unknown silence last."""
-    return df.orderBy(F.desc("total_fallas_criticas"), F.desc_nulls_last("minutos_sin_senal"))
+    """Most faults first, then longest silence, unknown silence last.
+
+    Most machines tie on both, so the name is the last key: a range sort could not split
+    one huge group of equal keys over several tasks.
+    """
+    return df.orderBy(F.desc("total_fallas_criticas"), F.desc_nulls_last("minutos_sin_senal"), "equipo_id")
 
 
 def critical_equipment_report(
@@ -92,7 +96,7 @@ def faults_by_equipment(mant: DataFrame) -> DataFrame:
     """Critical faults per machine, most first."""
     return (
         _critical(mant).groupBy("equipo_id").agg(F.count(F.lit(1)).alias("fallas_alta"))
-        .orderBy(F.desc("fallas_alta"))
+        .orderBy(F.desc("fallas_alta"), "equipo_id")
     )
 
 

@@ -126,7 +126,7 @@ def auto_maintenance_records(lost: DataFrame, as_of=None, existing: DataFrame |
         return rows
     known = existing.filter(
         (F.col("fecha_mantenimiento").cast("string") == day) & F.col("tipo_falla").contains(AUTO_FAULT)
-    ).select("equipo_id")
+    ).select("equipo_id").distinct()
     return rows.join(known, "equipo_id", "left_anti")
 
 
@@ -155,8 +155,9 @@ def fleet_status(
 
 
 def order_status(status: DataFrame) -> DataFrame:
-    """Longest silence first, unknown silence last."""
-    return status.orderBy(F.desc_nulls_last("minutos_sin_senal"))
+    """Longest silence first, unknown silence last; by name where equal, which also lets the
+    sort split a large group of equal silences."""
+    return status.orderBy(F.desc_nulls_last("minutos_sin_senal"), "equipo_id")
 
 
 def fleet_status_kpis(status: DataFrame) -> DataFrame:

@@ -71,7 +71,7 @@ def unwrap_envelope(df: DataFrame, value: str = "value", arrival: str = "process
 def decode_payload(
     df: DataFrame, body: str = "body", passthrough: Mapping[str, str] | None = None
 ) -> DataFrame:
-    """JSON text to device fields, by both spellings, plus the evidence columns.
+    """JSON text to device fields, by both spellings, ``event_ts``, and the evidence columns.
 
     Most records are well formed, so they are parsed once, straight into typed fields. Only
     records for which that cannot settle the outcome (a field absent, null or of another
@@ -103,7 +103,7 @@ def decode_payload(
         return value.between(*bounds) | (value != F.rint(value))
 
     # No two of these spellings in one record, and no key hidden by an escape.
-    single = [~(F.col(body).contains(f'"{es}"') & F.col(body).contains(f'"{en}"')) for es, en in GPS_RENAMES.items()]
+    single = [~(F.col(body).contains(f'"{en}"') & F.col(body).contains(f'"{es}"')) for es, en in GPS_RENAMES.items()]
     settled = (
         (F.size("_typed") == 1)
         & first["equipo_id"].isNotNull()
@@ -114,7 +114,9 @@ def decode_payload(
         & ~F.col(body).contains("\\u")
     )
     # Settled in a projection of its own, compiled, so that the next step only tests a flag.
-    df = df.withColumn("_settled", F.coalesce(settled, F.lit(False)))
+    df = df.withColumn("_settled", F.coalesce(settled, F.lit(False))).withColumn(
+        "_event_ts", F.when(F.col("_settled"), iso_timestamp(first["timestamp"]))
+    )
     settled = F.col("_settled")
     exact = let(
         F.from_json(text, f"array<struct<{untyped}>>", _JSON_OPTIONS),
@@ -136,6 +138,7 @@ def decode_payload(
         pick("timestamp", first["timestamp"]),
         *[pick(en, number(en, es)) for es, en in GPS_RENAMES.items()],
         *[pick(name, first[name]) for name in passthrough],
+        pick("event_ts", F.col("_event_ts")),
         F.when(~settled & exact.isNull(), "not_a_json_object").alias("_decode_error"),
         *[exact[name].alias(name) for name in EVIDENCE if name != "_decode_error"],
     )
@@ -161,21 +164,28 @@ def _exact_fields(record: Column, body: str, passthrough: Mapping[str, str]) ->
             value_text(v).alias("text"),
         )
 
-    values = F.struct(*[let(chosen(es, en), describe).alias(en) for es, en in GPS_RENAMES.items()])
+    # One description applied to all, which keeps the expression small.
+    named = [*GPS_RENAMES.values(), "timestamp"]
+    values = F.transform(
+        F.array(*[chosen(es, en) for es, en in GPS_RENAMES.items()], record["timestamp"]), describe
+    )
 
     def fields(v: Column) -> Column:
-        gone = {"equipo_id": record["equipo_id"].isNull(), "timestamp": record["timestamp"].isNull()}
-        gone |= {name: v[name]["absent"] for name in ("latitude", "longitude")}
+        of = {name: F.get(v, F.lit(position)) for position, name in enumerate(named)}
+        gone = {name: of[name]["absent"] for name in ("latitude", "longitude", "timestamp")}
+        gone["equipo_id"] = record["equipo_id"].isNull()
         names = F.array_compact(F.array(*[F.when(gone[name], F.lit(name)) for name in sorted(GPS_REQUIRED)]))
+        timestamp = json_text(record["timestamp"])
         return F.struct(
             F.try_variant_get(record["equipo_id"], "$", "string").alias("equipo_id"),
-            json_text(record["timestamp"]).alias("timestamp"),
-            *[v[en]["number"].alias(en) for en in GPS_RENAMES.values()],
+            timestamp.alias("timestamp"),
+            let(timestamp, iso_timestamp).alias("event_ts"),
+            *[of[en]["number"].alias(en) for en in GPS_RENAMES.values()],
             *[F.try_variant_get(record[name], "$", kind).alias(name) for name, kind in passthrough.items()],
             F.nullif(F.array_join(names, ","), F.lit("")).alias("_missing"),
-            v["latitude"]["text"].alias("_latitude_text"),
-            v["longitude"]["text"].alias("_longitude_text"),
-            value_text(record["timestamp"]).alias("_timestamp_text"),
+            of["latitude"]["text"].alias("_latitude_text"),
+            of["longitude"]["text"].alias("_longitude_text"),
+            of["timestamp"]["text"].alias("_timestamp_text"),
         )
 
     return F.when(record.isNotNull(), let(values, fields))

@@ -19,8 +19,9 @@ def _at_hour(df: DataFrame, now: Column) -> DataFrame:
 
 def silver_gps_columns(df: DataFrame) -> DataFrame:
     """The stored columns of a valid ping; further columns of the frame are kept after them."""
-    extra = [c for c in df.columns if c not in GPS_SILVER.fieldNames() and c not in ("body", "arrival_ts")]
-    return df.select(*GPS_SILVER.fieldNames(), *extra)
+    declared = [c for c in GPS_SILVER.fieldNames() if c in df.columns]
+    extra = [c for c in df.columns if c not in declared and c not in ("body", "arrival_ts")]
+    return df.select(*declared, *extra)
 
 
 def rejected_gps_columns(df: DataFrame) -> DataFrame:
@@ -40,8 +41,10 @@ def write_rejected_gps(df: DataFrame, path: str, now=None) -> None:
     rejected_gps_columns(_at_hour(df, moment(now))).write.mode("append").partitionBy(*HOUR_PARTITIONS).json(path)
 
 
-def _started(writer, checkpoint: str, name: str, available_now: bool, interval: str | None) -> StreamingQuery:
-    writer = writer.option("checkpointLocation", checkpoint).queryName(name)
+def start_query(writer, checkpoint: str, name: str | None, available_now: bool, interval: str | None) -> StreamingQuery:
+    writer = writer.option("checkpointLocation", checkpoint)
+    if name:
+        writer = writer.queryName(name)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif interval:
@@ -51,7 +54,7 @@ def _started(writer, checkpoint: str, name: str, available_now: bool, interval:
 
 def stream_silver_gps(
     df: DataFrame, path: str, checkpoint: str, available_now: bool = False, interval: str | None = None,
-    name: str = "silver_gps",
+    name: str | None = None,
 ) -> StreamingQuery:
     """Valid pings of a stream to Parquet, exactly once by the sink's commit log."""
     rows = silver_gps_columns(_at_hour(df, F.current_timestamp()))
@@ -59,29 +62,25 @@ def stream_silver_gps(
         rows.writeStream.format("parquet").option("compression", "snappy").option("path", path)
         .partitionBy(*HOUR_PARTITIONS).outputMode("append")
     )
-    return _started(writer, checkpoint, name, available_now, interval)
+    return start_query(writer, checkpoint, name, available_now, interval)
 
 
 def stream_rejected_gps(
     df: DataFrame, path: str, checkpoint: str, available_now: bool = False, interval: str | None = None,
-    name: str = "rejected_gps",
+    name: str | None = None,
 ) -> StreamingQuery:
     """Rejected pings of a stream to JSON lines, as a query of its own: its failures do not
     hold up the valid pings."""
     rows = rejected_gps_columns(_at_hour(df, F.current_timestamp()))
     writer = rows.writeStream.format("json").option("path", path).partitionBy(*HOUR_PARTITIONS).outputMode("append")
-    return _started(writer, checkpoint, name, available_now, interval)
+    return start_query(writer, checkpoint, name, available_now, interval)
 
 
 def _maintenance_columns(df: DataFrame) -> DataFrame:
-    """Stored columns first, typed as stored (the date as text); further columns kept."""
-    declared = MAINTENANCE_SILVER.fieldNames()
+    """Declared columns first, as text like the stored table; columns a log lacks are not made up."""
+    declared = [c for c in MAINTENANCE_SILVER.fieldNames() if c in df.columns]
     extra = [c for c in df.columns if c not in declared]
-    stored = [
-        (F.col(name).cast("string") if name in df.columns else F.lit(None).cast("string")).alias(name)
-        for name in declared
-    ]
-    return df.select(*stored, *extra)
+    return df.select(*[F.col(c).cast("string").alias(c) for c in declared], *extra)
 
 
 def write_silver_maintenance(valid: DataFrame, path: str, ingested: DataFrame | None = None) -> None:

@@ -11,9 +11,9 @@ from fleetpulse.constants import DEDUP_KEYS_GPS, DEDUP_TTL, GPS_DATASET
 from fleetpulse.operators.telemetry import decode_payload, split_valid_rejected, validate_gps
 from fleetpulse.sources.last_seen import last_seen_sink
 from fleetpulse.sources.readers import read_telemetry_stream
-from fleetpulse.sources.schemas import GPS_SILVER
+from fleetpulse.sources.schemas import GPS_SILVER_STORED
 from fleetpulse.sources.storage import make_dir
-from fleetpulse.sources.writers import stream_rejected_gps, stream_silver_gps
+from fleetpulse.sources.writers import start_query, stream_rejected_gps, stream_silver_gps
 
 
 def dedup_stream(
@@ -28,20 +28,15 @@ def dedup_stream(
 
 def stream_last_seen(
     spark: SparkSession, silver: str, state: str, checkpoint: str, available_now: bool = False,
-    interval: str | None = None, name: str = "last_seen",
+    interval: str | None = None, name: str | None = None,
 ) -> StreamingQuery:
     """Keeps the last-seen state up to date from the stored pings.
 
     It follows the Parquet table rather than the raw messages, so it reads two columns of
     rows already decoded, validated and free of copies.
     """
-    pings = spark.readStream.schema(GPS_SILVER).parquet(silver).select("equipo_id", "event_ts")
-    writer = pings.writeStream.foreachBatch(last_seen_sink(state)).option("checkpointLocation", checkpoint).queryName(name)
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    elif interval:
-        writer = writer.trigger(processingTime=interval)
-    return writer.start()
+    pings = spark.readStream.schema(GPS_SILVER_STORED).parquet(silver).select("equipo_id", "event_ts")
+    return start_query(pings.writeStream.foreachBatch(last_seen_sink(state)), checkpoint, name, available_now, interval)
 
 
 def telemetry_pipeline(

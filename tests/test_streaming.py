@@ -61,6 +61,21 @@ def test_pipeline_routes_dedups_and_survives_replay_and_restart(spark, tmp_path)
     assert state["CAM_001"] == int(later.timestamp() * 1e6 + 0.5) and set(state) == {"CAM_001", "CAM_002"}
 
 
+def test_pipeline_runs_continuously(spark, tmp_path):
+    drop(tmp_path / "in", "1.json", message("CAM_001"), message("CAM_002", latitud=1.5))
+    queries = telemetry_pipeline(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "check"), interval="1 second")
+    try:
+        for name in ("CAM_001", "CAM_009"):
+            for q in queries:
+                q.processAllAvailable()
+            seen = read_last_seen(spark, str(tmp_path / "out" / "state" / "last_seen"))
+            assert name in {r["equipo_id"] for r in seen.collect()}
+            drop(tmp_path / "in", "2.json", message("CAM_009"))
+    finally:
+        for q in queries:
+            q.stop()
+
+
 def test_stream_and_batch_read_the_same(spark, tmp_path):
     drop(tmp_path / "in", "1.json", message("A"), json.dumps({"body": json.dumps(message("B")), "attributes": {"SentTimestamp": "1779278400123"}}))
     batch = read_telemetry(spark, str(tmp_path / "in"), "transport").select("body").collect()
