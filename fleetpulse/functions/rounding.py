@@ -4,10 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from fleetpulse.functions.binding import let
-
 _SCALE = 2 ** 60
 
+# v is the value, unit 10**digits. ``spelled`` is the size by its decimal spelling in units of
+# the last digit kept, ``stored`` and ``tie`` are the fractions of value and tie times 2**60.
+_SPELLED = "(CAST(abs(v) AS DECIMAL(38, 12)) * {unit})"
+_UNITS = f"CAST(floor({_SPELLED}) AS BIGINT)"
+_STORED = f"CAST(CAST((abs(v) - floor(abs(v))) * {_SCALE}D AS BIGINT) AS DECIMAL(38, 0)) * (2 * {{unit}})"
+_TIE = f"CAST({_UNITS} * 2 + 1 - floor(abs(v)) * (2 * {{unit}}) AS DECIMAL(38, 0)) * {_SCALE}"
+_ROUND = f"""v -> CASE
+  WHEN {_SPELLED} - floor({_SPELLED}) <> 0.5 OR v IS NULL THEN bround(v, {{digits}})
+  WHEN {_STORED} > {_TIE} OR ({_STORED} = {_TIE} AND {_UNITS} % 2 = 1) THEN signum(v) * ({_UNITS} + 1) / {{unit}}D
+  ELSE signum(v) * {_UNITS} / {{unit}}D END"""
+
 
 def round_half_even(value: Column, digits: int) -> Column:
     """``value`` (DOUBLE) rounded to ``digits`` decimals.
@@ -17,29 +26,8 @@ def round_half_even(value: Column, digits: int) -> Column:
     a tie, the side is decided on the stored bits, in integers. Exact for sizes below 2**53
     and, for ties, down to 2**-8, which covers every tie with one or two decimals.
     """
-    unit = 10 ** digits
-
-    def settle_tie(v: Column) -> Column:
-        size = F.abs(v)
-        whole = F.floor(size)
-        units = F.floor(_spelled(v, unit)).cast("bigint")
-        stored = ((size - whole) * F.lit(float(_SCALE))).cast("bigint").cast("decimal(38,0)") * F.lit(2 * unit)
-        tie = (units * 2 + 1 - whole * F.lit(2 * unit)).cast("decimal(38,0)") * F.lit(_SCALE)
-        up = (stored > tie) | ((stored == tie) & (units % 2 == 1))
-        counted = units + F.when(up, 1).otherwise(0)
-        return counted.cast("double") / F.lit(float(unit)) * F.signum(v)
-
-    def settle(v: Column) -> Column:
-        spelled = _spelled(v, unit)
-        is_tie = (spelled - F.floor(spelled)) == F.lit(0.5).cast("decimal(2,1)")
-        return F.when(is_tie, settle_tie(v)).otherwise(F.bround(v, digits))
-
-    return let(value, settle)
-
-
-def _spelled(value: Column, unit: int) -> Column:
-    """The size of ``value`` by its decimal spelling, in units of the last digit kept."""
-    return F.abs(value).cast("decimal(38,12)") * F.lit(unit)
+    body = F.expr(_ROUND.format(unit=10 ** digits, digits=digits))
+    return F.get(F.call_function("transform", F.array(value), body), F.lit(0))
 
 
 def percent(part: Column, total: Column, digits: int = 2) -> Column:

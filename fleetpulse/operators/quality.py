@@ -25,9 +25,16 @@ REASON = "rejection_reason"
 NOT_NULL, COERCE, RANGE, MISSING = "not_nullable", "coerce_dtype", "in_range", "column_in_dataframe"
 
 
+# how the checks spell the declared types
+TYPE_NAMES = {"string": "str", "double": "float64"}
+
+
 @dataclass(frozen=True)
 class Rule:
-    """``failed(value)`` is true for a bad value; NULL values reach only NOT_NULL rules."""
+    """``failed(value)`` is true for a bad value of the declared type.
+
+    NULL fails only NOT_NULL, and COERCE where the stored value was not NULL.
+    """
 
     column: str
     kind: str
@@ -113,7 +120,7 @@ def dq_rules(dataset: str) -> list[Rule]:
     """Every rule of a dataset in reporting order, type coercion and not-null included."""
     rules = []
     for field in _dataset(dataset).fields:
-        rules.append(Rule(field.name, COERCE, f"{COERCE}('{field.type}')", lambda v: v.isNotNull()))
+        rules.append(Rule(field.name, COERCE, f"{COERCE}('{TYPE_NAMES[field.type]}')", lambda v: v.isNull()))
         if not field.nullable:
             rules.append(not_null(field.name))
         rules.extend(field.rules)
@@ -140,9 +147,9 @@ def _checks(df: DataFrame, dataset: str) -> list[tuple[Rule, Column, Column]]:
         if rule.kind == COERCE:
             if same or types[rule.column] == "string":
                 continue  # cannot fail
-            failed = raw.isNotNull() & value.isNull()
+            failed = raw.isNotNull() & rule.failed(value)
         elif rule.kind == NOT_NULL:
-            failed = raw.isNull()
+            failed = rule.failed(raw)
         else:
             failed = F.coalesce(rule.failed(value), F.lit(False))
         checks.append((rule, raw, failed))

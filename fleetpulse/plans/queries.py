@@ -44,7 +44,11 @@ QUERIES: dict[str, Query] = {}
 WIDE = {"alert_min": 600, "maint_min": 1800}
 
 
-def query(fn: Query) -> Query:
+def query(fn: Query | None = None, *, name: str | None = None):
+    """Registers ``fn`` under ``name``, or under its own."""
+    if fn is None:
+        return lambda f: query(f, name=name)
+
     @wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = fn(prepare(spark), sf_dir)
@@ -53,7 +57,7 @@ def query(fn: Query) -> Query:
             f.name: F.col(f.name).cast("timestamp_ntz") for f in df.schema if isinstance(f.dataType, TimestampType)
         })
 
-    QUERIES[fn.__name__] = run
+    QUERIES[name or fn.__name__] = run
     return run
 
 
@@ -263,16 +267,13 @@ def dedup_batch(spark, sf):
     )
 
 
-@query
-def union_by_name_query(spark, sf):
+@query(name="union_by_name")
+def _union_by_name_query(spark, sf):
     pings = data.pings(spark, sf).select("equipo_id", F.col("event_ts").alias("momento"), "speed_kmh")
     faults = data.maintenance(spark, sf).select("equipo_id", "criticidad")
     return union_by_name([pings, faults])
 
 
-QUERIES["union_by_name"] = QUERIES.pop("union_by_name_query")
-
-
 # --- maintenance log -------------------------------------------------------------------
 
 @query
@@ -285,26 +286,20 @@ def normalize_maintenance(spark, sf):
     return _normal_log(spark, sf).withColumn("fecha_mantenimiento", F.col("fecha_mantenimiento").cast("string"))
 
 
-@query
-def parse_mixed_date_query(spark, sf):
+@query(name="parse_mixed_date")
+def _parse_mixed_date_query(spark, sf):
     return data.raw_maintenance(spark, sf).select(
         "order_id", parse_mixed_date(F.col("fecha")).cast("string").alias("fecha_mantenimiento")
     )
 
 
-QUERIES["parse_mixed_date"] = QUERIES.pop("parse_mixed_date_query")
-
-
-@query
-def null_token_normalize_query(spark, sf):
+@query(name="null_token_normalize")
+def _null_token_normalize_query(spark, sf):
     return data.raw_maintenance(spark, sf).select(
         "order_id", null_token_normalize(F.upper(strip(F.col("equipo_id")))).alias("equipo_id")
     )
 
 
-QUERIES["null_token_normalize"] = QUERIES.pop("null_token_normalize_query")
-
-
 def _one_reason(spark, sf, rule):
     log = _normal_log(spark, sf)
     return log.select("order_id", rule(log).alias("reason"))

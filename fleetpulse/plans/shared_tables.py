@@ -8,8 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from fleetpulse.sources.storage import scratch
-
 AS_OF = "2024-01-31 00:00:00"
 
 
@@ -126,10 +124,3 @@ def device_state(spark: SparkSession, sf_dir: str) -> DataFrame:
         _device(F.col("user_id")).alias("equipo_id"),
         F.when(F.col("user_id") % 41 == 0, "sin dato").when(F.col("user_id") % 37 != 0, text).alias("last_seen"),
     )
-
-
-def staged(df: DataFrame, name: str) -> str:
-    """Writes ``df`` below the shared folder, for operators that start from files."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return path

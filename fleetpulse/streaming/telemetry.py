@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -42,14 +42,16 @@ def stream_last_seen(
 def telemetry_pipeline(
     spark: SparkSession, source: str, out: str, checkpoint: str, available_now: bool = False,
     interval: str | None = None, max_files: int | None = None, arrival: str = "processing",
+    passthrough: Mapping[str, str] | None = None,
 ) -> list[StreamingQuery]:
     """Messages to valid pings, rejected pings and last-seen state, as three queries.
 
     Each has its own checkpoint and restarts alone. ``available_now`` works off what is
     there and stops; the valid pings are then finished before the state follows them.
+    ``passthrough`` names further message fields to store, with their types.
     """
     def validated() -> DataFrame:
-        return validate_gps(decode_payload(read_telemetry_stream(spark, source, max_files, arrival)))
+        return validate_gps(decode_payload(read_telemetry_stream(spark, source, max_files, arrival), passthrough=passthrough))
 
     valid, _ = split_valid_rejected(validated())
     _, rejected = split_valid_rejected(validated())

@@ -53,6 +53,14 @@ def test_silver_gps_layout_and_read_back(spark, tmp_path):
     assert read_silver(spark, str(tmp_path / "none")).columns == []
 
 
+def test_a_folder_without_rows_reads_as_empty(spark, tmp_path):
+    path = str(tmp_path / "silver")
+    write_silver_gps(pings(spark, ("A", AS_OF)).limit(0), path, AS_OF)
+    assert not [f for _, _, files in os.walk(path) for f in files if f.endswith(".parquet")]
+    assert read_silver(spark, path).columns == [] and read_silver(spark, path, GPS_SILVER).count() == 0
+    assert dq_run(spark, str(tmp_path), str(tmp_path / "gold"), [GPS_DATASET]) == [{"dataset": GPS_DATASET, "status": "no_data"}]
+
+
 def test_silver_files_of_different_columns_are_merged_by_name(spark, tmp_path):
     path = str(tmp_path / "silver")
     spark.createDataFrame([("A", 1.0)], "equipo_id string, latitude double").write.parquet(f"{path}/one")
