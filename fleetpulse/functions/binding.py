@@ -15,3 +15,8 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     the body is interpreted rather than compiled.
     """
     return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def let_sql(value: Column, body: str) -> Column:
+    """``let`` with its body as a SQL lambda: one parsed text instead of many client calls."""
+    return F.get(F.call_function("transform", F.array(value), F.expr(body)), F.lit(0))

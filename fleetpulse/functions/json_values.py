@@ -4,16 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from fleetpulse.functions.binding import let
+from fleetpulse.functions.binding import let_sql
 
-_NUMBER = r"^(BIGINT|DOUBLE|FLOAT|DECIMAL)"
+_IS_NUMBER = "schema_of_variant(v) RLIKE '^(BIGINT|DOUBLE|FLOAT|DECIMAL)'"
 
+# Plain digits from 1e-4 up to 1e16, where Spark would use an exponent from 1e-3 down and 1e7 up.
+_SPELL = """n -> CASE
+  WHEN isnan(n) THEN 'nan'
+  WHEN abs(n) = double('infinity') THEN if(n > 0, 'inf', '-inf')
+  WHEN (abs(n) >= 1e7D AND abs(n) < 1e16D) OR (abs(n) < 1e-3D AND abs(n) >= 1e-4D)
+    THEN regexp_replace(regexp_replace(CAST(CAST(n AS DECIMAL(38, 18)) AS STRING), '0+$', ''), '[.]$', '.0')
+  ELSE CAST(n AS STRING) END"""
 
-def json_number(value: Column) -> Column:
-    """DOUBLE of a JSON number; NULL for text, booleans, null and absent keys."""
-    return F.when(
-        F.schema_of_variant(value).rlike(_NUMBER), F.try_variant_get(value, "$", "double")
-    )
+_DESCRIBE = f"""v -> named_struct(
+  'absent', v IS NULL,
+  'number', CASE WHEN {_IS_NUMBER} THEN nanvl(try_variant_get(v, '$', 'double'), NULL) END,
+  'text', CASE
+    WHEN v IS NULL OR is_variant_null(v) THEN 'None'
+    WHEN schema_of_variant(v) IN ('STRING', 'BIGINT') THEN try_variant_get(v, '$', 'string')
+    WHEN schema_of_variant(v) = 'BOOLEAN' THEN initcap(try_variant_get(v, '$', 'string'))
+    WHEN {_IS_NUMBER} THEN get(transform(array(try_variant_get(v, '$', 'double')), {_SPELL}), 0)
+    ELSE to_json(v) END)"""
 
 
 def json_text(value: Column) -> Column:
@@ -21,30 +32,13 @@ def json_text(value: Column) -> Column:
     return F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string"))
 
 
-def number_text(value: Column) -> Column:
-    """A DOUBLE in plain digits up to 16 of them, as the rejection reasons spell it."""
-
-    def spell(v: Column) -> Column:
-        size = F.abs(v)
-        plain = F.regexp_replace(F.regexp_replace(v.cast("decimal(38,18)").cast("string"), "0+$", ""), r"\.$", ".0")
-        return (
-            F.when(F.isnan(v), "nan")
-            .when(size == float("inf"), F.when(v > 0, "inf").otherwise("-inf"))
-            .when(((size >= 1e7) & (size < 1e16)) | ((size < 1e-3) & (size >= 1e-4)), plain)
-            .otherwise(v.cast("string"))
-        )
+def describe_values(values: Column) -> Column:
+    """Per JSON value of an array: ``absent``, ``number`` (NULL if it is none or not a number),
+    and ``text`` as the rejection reasons spell it."""
+    return F.call_function("transform", values, F.expr(_DESCRIBE))
+
 
+def number_text(value: Column) -> Column:
+    """A DOUBLE as the rejection reasons spell it."""
     usual = F.abs(value).between(1e-3, 1e7 - 1)
-    return F.when(usual, value.cast("string")).otherwise(let(value, spell))
-
-
-def value_text(value: Column) -> Column:
-    """A JSON value as the rejection reasons spell it."""
-    text = F.try_variant_get(value, "$", "string")
-    spelled = let(F.schema_of_variant(value), lambda kind: (
-        F.when(kind.isin("STRING", "BIGINT"), text)
-        .when(kind == "BOOLEAN", F.initcap(text))
-        .when(kind.rlike(_NUMBER), number_text(F.try_variant_get(value, "$", "double")))
-        .otherwise(F.to_json(value))
-    ))
-    return F.when(value.isNull() | F.is_variant_null(value), "None").otherwise(spelled)
+    return F.when(usual, value.cast("string")).otherwise(let_sql(value, _SPELL))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from fleetpulse.functions.binding import let_sql
+
 _SCALE = 2 ** 60
 
 # v is the value, unit 10**digits. ``spelled`` is the size by its decimal spelling in units of
@@ -26,8 +28,7 @@ def round_half_even(value: Column, digits: int) -> Column:
     a tie, the side is decided on the stored bits, in integers. Exact for sizes below 2**53
     and, for ties, down to 2**-8, which covers every tie with one or two decimals.
     """
-    body = F.expr(_ROUND.format(unit=10 ** digits, digits=digits))
-    return F.get(F.call_function("transform", F.array(value), body), F.lit(0))
+    return let_sql(value, _ROUND.format(unit=10 ** digits, digits=digits))
 
 
 def percent(part: Column, total: Column, digits: int = 2) -> Column:

@@ -17,7 +17,7 @@ from fleetpulse.constants import (
 )
 from fleetpulse.functions.binding import let
 from fleetpulse.functions.iso_time import iso_text, iso_timestamp
-from fleetpulse.functions.json_values import json_number, json_text, number_text, value_text
+from fleetpulse.functions.json_values import describe_values, json_text, number_text
 from fleetpulse.operators.relations import evaluate_once
 
 REASON = "rejection_reason"
@@ -73,6 +73,8 @@ def decode_payload(
 ) -> DataFrame:
     """JSON text to device fields, by both spellings, ``event_ts``, and the evidence columns.
 
+    ``passthrough`` names further message fields to keep, with their types.
+
     Most records are well formed, so they are parsed once, straight into typed fields. Only
     records for which that cannot settle the outcome (a field absent, null or of another
     type, a whole number out of range, or both spellings at once) are parsed again, each value
@@ -81,7 +83,7 @@ def decode_payload(
     The text is parsed inside brackets: anything after the closing brace then makes it
     malformed instead of being ignored.
     """
-    passthrough = dict(passthrough or {"estado": "string"})
+    passthrough = {"estado": "string", **(passthrough or {})}
     spellings = list(GPS_RENAMES) + list(GPS_RENAMES.values())
     typed = ", ".join(
         ["equipo_id:string", "timestamp:string"]
@@ -157,18 +159,8 @@ def _exact_fields(record: Column, body: str, passthrough: Mapping[str, str]) ->
             .otherwise(F.when(later, record[en]).otherwise(record[es]))
         )
 
-    def describe(v: Column) -> Column:
-        return F.struct(
-            v.isNull().alias("absent"),
-            F.nanvl(json_number(v), F.lit(None).cast("double")).alias("number"),
-            value_text(v).alias("text"),
-        )
-
-    # One description applied to all, which keeps the expression small.
     named = [*GPS_RENAMES.values(), "timestamp"]
-    values = F.transform(
-        F.array(*[chosen(es, en) for es, en in GPS_RENAMES.items()], record["timestamp"]), describe
-    )
+    values = describe_values(F.array(*[chosen(es, en) for es, en in GPS_RENAMES.items()], record["timestamp"]))
 
     def fields(v: Column) -> Column:
         of = {name: F.get(v, F.lit(position)) for position, name in enumerate(named)}
