@@ -25,6 +25,7 @@ DEDUP_KEYS_MAINTENANCE = ["equipo_id", "fecha_mantenimiento", "tipo_falla"]
 MAX_TIPO_FALLA = 200
 MIN_CRITICAL_FAULTS = 3
 AUTO_FAULT = "GPS DESCONECTADO"
+AUTO_SOURCE = "auto_gps_loss_"
 AUTO_FAULT_FORMAT = "GPS DESCONECTADO (%s min sin señal)"
 # cell texts that a CSV reader takes as missing
 CSV_NULL_TOKENS = [

@@ -14,7 +14,7 @@ from fleetpulse.operators.signal import (
     alert_payload, auto_maintenance_records, signal_loss_alert, signal_loss_maintenance, signal_sweep_summary,
 )
 from fleetpulse.sources.last_seen import read_last_seen
-from fleetpulse.sources.readers import read_maintenance_csv, read_silver
+from fleetpulse.sources.readers import read_auto_maintenance, read_maintenance_csv, read_silver
 from fleetpulse.sources.storage import checkpointed
 from fleetpulse.sources.writers import (
     append_auto_maintenance, write_quality_metrics, write_rejected_maintenance, write_silver_maintenance,
@@ -53,9 +53,7 @@ def signal_sweep(
     seen = read_last_seen(spark, state)
     alerts = signal_loss_alert(seen, as_of, alert_min)
     lost = signal_loss_maintenance(seen, as_of, maint_min)
-    existing = read_silver(spark, silver_maintenance) if skip_repeated else None
-    if existing is not None and not existing.columns:
-        existing = None
+    existing = read_auto_maintenance(spark, silver_maintenance, as_of) if skip_repeated else None
     append_auto_maintenance(auto_maintenance_records(lost, as_of, existing), silver_maintenance, as_of)
     return alert_payload(alerts, as_of, alert_min, maint_min), signal_sweep_summary(alerts, lost)
 

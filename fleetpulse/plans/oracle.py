@@ -441,7 +441,7 @@ ORACLE: dict[str, str] = {
     "dedup_stream": f"""WITH {_PINGS} SELECT event_id, equipo_id, "timestamp" FROM pings""",
     "signal_loss_stream": f"""WITH {_GAPPED} SELECT * FROM stretches
         WHERE lost_at <= (SELECT date_trunc('millisecond', max(event_ts)) FROM pings) - INTERVAL 1 HOUR""",
-    "telemetry_pipeline": _KEPT_FIRST + """, once AS (SELECT * FROM kept WHERE k = 1)
+    "telemetry_end_to_end": _KEPT_FIRST + """, once AS (SELECT * FROM kept WHERE k = 1)
         SELECT equipo_id AS name, count(*) AS n, 'silver' AS part FROM once GROUP BY equipo_id
         UNION ALL SELECT code, count(*), 'rejected' FROM coded WHERE code IS NOT NULL GROUP BY code
         UNION ALL SELECT equipo_id, epoch_us(max(event_ts)), 'last_seen' FROM once GROUP BY equipo_id""",

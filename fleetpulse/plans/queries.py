@@ -691,8 +691,9 @@ def signal_loss_stream(spark, sf):
     return _streamed(silent_sessions(_event_stream(spark, sf)), "silent")
 
 
-@query
-def telemetry_pipeline(spark, sf):
+@query(name="telemetry_end_to_end")
+def _telemetry_end_to_end(spark, sf):
+    """The three streaming queries of telemetry_pipeline, over everything there is."""
     folder, out = scratch(spark, "messages"), scratch(spark, "pipeline")
     data.envelopes(spark, sf).write.text(folder)
     for running in run_pipeline(spark, folder, out, f"{out}/checkpoint", available_now=True, arrival="transport"):

@@ -6,11 +6,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from fleetpulse.constants import CSV_NULL_TOKENS
+from fleetpulse.constants import AUTO_SOURCE, CSV_NULL_TOKENS
+from fleetpulse.functions.moments import moment
 from fleetpulse.functions.rounding import round_half_even
 from fleetpulse.operators.relations import union_by_name
 from fleetpulse.operators.telemetry import unwrap_envelope
-from fleetpulse.sources.schemas import GPS_REJECTED, HOUR_PARTITIONS, QUALITY_RUN
+from fleetpulse.sources.schemas import GPS_REJECTED, HOUR_PARTITIONS, MAINTENANCE_SILVER, QUALITY_RUN
 from fleetpulse.sources.storage import exists
 
 CSV_OPTIONS = {
@@ -94,6 +95,16 @@ def read_silver(spark: SparkSession, path: str, schema: StructType | None = None
     return df.drop(*HOUR_PARTITIONS, "source_file")
 
 
+def read_auto_maintenance(spark: SparkSession, path: str, as_of=None) -> DataFrame:
+    """The automatic records opened on the day of ``as_of``; only their partitions are read."""
+    stored = StructType(MAINTENANCE_SILVER.fields).add("source_file", "string")
+    if not exists(spark, path):
+        return spark.createDataFrame([], MAINTENANCE_SILVER)
+    today = F.concat(F.lit(AUTO_SOURCE), F.date_format(moment(as_of), "yyyyMMdd"))
+    rows = spark.read.schema(stored).parquet(path)
+    return rows.filter(F.startswith("source_file", today)).drop("source_file")
+
+
 def read_quality_history(spark: SparkSession, path: str, dataset: str) -> DataFrame:
     """One row per quality run of ``dataset``, oldest first; absent numbers are 0, absent maps empty."""
     folder = f"{path}/json/dataset={dataset}"

@@ -14,7 +14,7 @@ from fleetpulse.plans.jobs import dq_run, ingest_maintenance, signal_sweep
 from fleetpulse.sources import storage
 from fleetpulse.sources.last_seen import read_last_seen, upsert_last_seen, write_last_seen
 from fleetpulse.sources.readers import (
-    read_maintenance_csv, read_quality_history, read_rejected, read_silver, rejected_sample,
+    read_auto_maintenance, read_maintenance_csv, read_quality_history, read_rejected, read_silver, rejected_sample,
 )
 from fleetpulse.sources.schemas import GPS_SILVER, LAST_SEEN, MAINTENANCE_SILVER
 from fleetpulse.sources.tables import create_tables, refresh_tables
@@ -179,6 +179,9 @@ def test_signal_sweep_job(spark, tmp_path):
         assert (summary.head()["alert_lost"], summary.head()["maint_created"]) == (2, 1)
     stored = read_silver(spark, path, MAINTENANCE_SILVER).collect()
     assert [(r["equipo_id"], r["tipo_falla"], r["criticidad"]) for r in stored] == [("lost", "GPS DESCONECTADO (40 min sin señal)", "ALTA")]
+    today = read_auto_maintenance(spark, path, AS_OF)
+    assert today.count() == 1 and read_auto_maintenance(spark, path, AS_OF + timedelta(days=1)).count() == 0
+    assert "StartsWith(source_file" in today._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1]
     signal_sweep(spark, state, path, AS_OF + timedelta(minutes=3), skip_repeated=False)
     assert read_silver(spark, path, MAINTENANCE_SILVER).count() == 2
 
