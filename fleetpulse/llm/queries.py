@@ -5,14 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetpulse.llm.common import table
+from fleetpulse.llm.chat import digests, windows
+from fleetpulse.llm.common import crc_mod, table
 from fleetpulse.llm.decontaminate import contamination
+from fleetpulse.llm.language import languages
+from fleetpulse.llm.licenses import licenses, licenses_sql
 from fleetpulse.llm.mixing import mix
+from fleetpulse.llm.pages import extracted
 from fleetpulse.llm.quality import quality
+from fleetpulse.llm.scoring import scored
 from fleetpulse.llm.simhash import near_duplicates
 from fleetpulse.llm.suffixes import deduplicated
 
 
+def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hard = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", hard), (-1, 1, "assistant", hard)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(extra)
+    return digests(windows(turns))
+
+
 def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"), size=3, threshold=3)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -26,21 +38,44 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row_key")
 
 
+def lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scored(table(spark, sf_dir, "documents"), crc_mod(F.col("doc_id"), 7) == 2)
+
+
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
 
 
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(table(spark, sf_dir, "documents"), crc_mod(F.col("doc_id"), 3) == 1)
+
+
+def license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses(table(spark, sf_dir, "documents"))
+
+
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extracted(table(spark, sf_dir, "pages"))
+
+
 def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 QUERIES = {
+    "op1_chat_formatting": chat_formatting,
     "op2_simhash_near_dedup": simhash_near_dedup,
     "op3_suffix_array_dedup": suffix_array_dedup,
     "op4_decontamination": decontamination,
+    "op5_lm_scoring": lm_scoring,
     "op6_quality_rules": quality_rules,
+    "op7_language_id": language_id,
+    "op8_license_scans": license_scans,
+    "op9_html_extraction": html_extraction,
     "op10_mixing": mixing,
 }
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op8_license_scans": licenses_sql(),
+}

@@ -463,7 +463,7 @@ def deduplicated_documents(docs: DataFrame) -> DataFrame:
     Whole characters are removed only. Other columns, and null texts, stay as they are.
     """
     kept = deduplicated(docs, whole=True).where("n_removed > 0").select(
-        F.col("row_key").alias("_key"), F.decode("kept", F.lit("UTF-8")).alias("_kept")
+        F.col("row_key").alias("_key"), F.col("kept").cast("string").alias("_kept")
     )
     cut = docs.join(kept.dropDuplicates(["_key"]), row_key(docs) == F.col("_key"), "left")
     cut = cut.where("_kept is null or trim(_kept) <> ''")
