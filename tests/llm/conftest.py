@@ -1,0 +1,27 @@
+import pytest
+from pyspark.sql import functions as F
+
+WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
+
+
+def prose(seed: int, n: int) -> str:
+    """n words without a regular pattern."""
+    state, out = seed * 7919 + 13, []
+    for _ in range(n):
+        state = (state * 1103515245 + 12345) % 2**31
+        out.append(WORDS[state // 65536 % len(WORDS)] + WORDS[state // 8192 % len(WORDS)])
+    return " ".join(out)
+
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="session")
+def documents(spark):
+    def make(rows, **extra):
+        """From (doc_id, text[, lang[, source]]), with columns whose names the operators use inside."""
+        full = [(r[0], r[1], r[2] if len(r) > 2 else "en", r[3] if len(r) > 3 else "a", len(r[1] or "")) for r in rows]
+        df = spark.createDataFrame(full, SCHEMA)
+        return df.withColumns({name: F.lit(value) for name, value in extra.items()})
+
+    return make
