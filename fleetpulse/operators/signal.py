@@ -5,16 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fleetpulse.constants import (
-    ALERT_MINUTES, ALERT_TYPE, AUTO_FAULT, AUTO_FAULT_FORMAT, CRITICAL, FLEET_ALERT, FLEET_BAD_DATA,
+    ALERT_MINUTES, ALERT_TYPE, AUTO_FAULT, AUTO_FAULT_FORMAT, AUTO_SOURCE, CRITICAL, FLEET_ALERT, FLEET_BAD_DATA,
     FLEET_NO_RECORD, FLEET_OK, FLEET_SILENT, MAINTENANCE_MINUTES, NO_SIGNAL_TEXT,
 )
 from fleetpulse.functions.iso_time import iso_timestamp
 from fleetpulse.functions.moments import before, moment
 from fleetpulse.functions.rounding import round_half_even
 
-# Devices named in one alert document. Fleets up to this size get a single document.
-DEVICES_PER_DOCUMENT = 10_000
-
 
 def _seen_ts(last_seen: DataFrame) -> Column:
     column = F.col("last_seen")
@@ -53,58 +50,39 @@ def signal_loss_maintenance(
     return _silent_longer(last_seen, as_of, threshold_min)
 
 
-def _in_documents(df: DataFrame, total: DataFrame, per_document: int) -> DataFrame:
-    """Adds ``part`` and ``parts``: rows spread by device over documents of a bounded size."""
-    parts = F.greatest(F.ceil(total.scalar() / F.lit(per_document)), F.lit(1)).cast("int")
-    return df.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("equipo_id"), F.col("parts")) + 1)
-
-
 def alert_payload(
-    alerts: DataFrame, as_of=None, alert_min: int = ALERT_MINUTES, maint_min: int = MAINTENANCE_MINUTES,
-    per_document: int = DEVICES_PER_DOCUMENT,
+    alerts: DataFrame, as_of=None, alert_min: int = ALERT_MINUTES, maint_min: int = MAINTENANCE_MINUTES
 ) -> DataFrame:
-    """The alert document for the devices in ``alerts``; no row if there are none.
+    """The alert for the devices in ``alerts``: one row each, under the alert's header columns.
 
-    A fleet of up to ``per_document`` silent devices gives one document. A larger one is
-    spread over several, numbered ``part`` of ``parts`` and each carrying the full count, so
-    that no task ever gathers the whole fleet.
+    The shape is the same for any number of devices; without any there is no row.
     """
-    count = alerts.agg(F.count(F.lit(1)))
-    device = F.struct("equipo_id", "last_seen", "minutes_silent")
-    return (
-        _in_documents(alerts, count, per_document)
-        .groupBy("part", "parts")
-        .agg(F.sort_array(F.collect_list(device)).alias("affected_equipos"))
-        .select(
-            F.lit(ALERT_TYPE).alias("alert_type"),
-            moment(as_of).alias("detected_at"),
-            F.lit(alert_min).alias("alert_threshold_min"),
-            F.lit(maint_min).alias("maint_threshold_min"),
-            count.scalar().alias("affected_count"),
-            "affected_equipos", "part", "parts",
-        )
+    return alerts.select(
+        F.lit(ALERT_TYPE).alias("alert_type"),
+        moment(as_of).alias("detected_at"),
+        F.lit(alert_min).alias("alert_threshold_min"),
+        F.lit(maint_min).alias("maint_threshold_min"),
+        alerts.agg(F.count(F.lit(1))).scalar().alias("affected_count"),
+        "equipo_id", "last_seen", "minutes_silent",
     )
 
 
-def signal_sweep_summary(
-    alerts: DataFrame, maint: DataFrame, per_document: int = DEVICES_PER_DOCUMENT
-) -> DataFrame:
-    """Counts of a sweep and the devices alerted, listed in documents like ``alert_payload``.
+def sweep_name(as_of=None) -> Column:
+    """Names the automatic records of the sweep at ``as_of`` in the maintenance table."""
+    return F.concat(F.lit(AUTO_SOURCE), F.date_format(moment(as_of), "yyyyMMdd_HHmmss"))
+
+
+def signal_sweep_summary(alerts: DataFrame, maint: DataFrame, as_of=None) -> DataFrame:
+    """Counts of a sweep, where its records went, and one row for each device alerted.
 
-    A quiet sweep still gives its one row, with an empty list.
+    ``maint_key`` is null if no record was opened. A quiet sweep still gives one row, whose
+    ``equipo_id`` is null.
     """
-    alerted, opened = alerts.agg(F.count(F.lit(1))), maint.agg(F.count(F.lit(1)))
-    spark = alerts.sparkSession
-    # Part 1 always exists, so that the summary has a row when nothing is silent.
-    first = spark.range(1).select(F.lit(None).cast("string").alias("equipo_id"), F.lit(1).cast("bigint").alias("part"))
-    listed = _in_documents(alerts.select("equipo_id"), alerted, per_document).select("equipo_id", "part")
-    return (
-        listed.unionByName(first)
-        .groupBy("part")
-        .agg(F.sort_array(F.collect_list("equipo_id")).alias("equipos"))
-        .select(
-            alerted.scalar().alias("alert_lost"), opened.scalar().alias("maint_created"), "equipos", "part",
-        )
+    alerted, opened = (df.agg(F.count(F.lit(1))).scalar() for df in (alerts, maint))
+    quiet = alerts.sparkSession.range(1).where(alerted == 0).select(F.lit(None).cast("string").alias("equipo_id"))
+    return alerts.select("equipo_id").union(quiet).select(
+        alerted.alias("alert_lost"), opened.alias("maint_created"),
+        F.when(opened > 0, sweep_name(as_of)).alias("maint_key"), "equipo_id",
     )
 
 
@@ -126,7 +104,7 @@ def auto_maintenance_records(lost: DataFrame, as_of=None, existing: DataFrame |
         return rows
     known = existing.filter(
         (F.col("fecha_mantenimiento").cast("string") == day) & F.col("tipo_falla").contains(AUTO_FAULT)
-    ).select("equipo_id").distinct()
+    ).select("equipo_id")
     return rows.join(known, "equipo_id", "left_anti")
 
 

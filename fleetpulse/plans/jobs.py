@@ -15,6 +15,7 @@ from fleetpulse.operators.signal import (
 )
 from fleetpulse.sources.last_seen import read_last_seen
 from fleetpulse.sources.readers import read_auto_maintenance, read_maintenance_csv, read_silver
+from fleetpulse.sources.schemas import GPS_SILVER, MAINTENANCE_SILVER
 from fleetpulse.sources.storage import checkpointed
 from fleetpulse.sources.writers import (
     append_auto_maintenance, write_quality_metrics, write_rejected_maintenance, write_silver_maintenance,
@@ -46,16 +47,17 @@ def signal_sweep(
     spark: SparkSession, state: str, silver_maintenance: str, as_of=None,
     alert_min: int = ALERT_MINUTES, maint_min: int = MAINTENANCE_MINUTES, skip_repeated: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
-    """(alert documents, summary) of one sweep; opens maintenance records on the way.
+    """(alert, summary) of one sweep; opens maintenance records on the way.
 
-    ``skip_repeated=False`` opens a record at every sweep for a device that stays silent.
+    A sweep repeated at the same ``as_of`` replaces its own records and no others, so a
+    device that became silent in between is added and none is lost. ``skip_repeated=False`` opens a record at every sweep for a device that stays silent.
     """
     seen = read_last_seen(spark, state)
     alerts = signal_loss_alert(seen, as_of, alert_min)
     lost = signal_loss_maintenance(seen, as_of, maint_min)
-    existing = read_auto_maintenance(spark, silver_maintenance, as_of) if skip_repeated else None
+    existing = read_auto_maintenance(spark, silver_maintenance, as_of, other_sweeps=True) if skip_repeated else None
     append_auto_maintenance(auto_maintenance_records(lost, as_of, existing), silver_maintenance, as_of)
-    return alert_payload(alerts, as_of, alert_min, maint_min), signal_sweep_summary(alerts, lost)
+    return alert_payload(alerts, as_of, alert_min, maint_min), signal_sweep_summary(alerts, lost, as_of)
 
 
 def dq_run(
@@ -64,14 +66,15 @@ def dq_run(
 ) -> list[dict]:
     """Metrics of each dataset's stored table, written to ``gold``; one entry per dataset.
 
-    Unknown names are skipped; a dataset without rows is reported as ``no_data``. A dataset
-    named in ``schemas`` is read with that schema, without a pass over all file footers.
+    Unknown names are skipped; a dataset without rows is reported as ``no_data``. Tables are
+    read with their declared schemas, or those in ``schemas``, without a pass over all footers.
     """
+    schemas = {GPS_DATASET: GPS_SILVER, MAINTENANCE_DATASET: MAINTENANCE_SILVER, **(schemas or {})}
     results = []
     for dataset in datasets if datasets is not None else [GPS_DATASET, MAINTENANCE_DATASET]:
         if dataset not in DATASETS:
             continue
-        table = read_silver(spark, f"{silver}/{dataset}", (schemas or {}).get(dataset))
+        table = read_silver(spark, f"{silver}/{dataset}", schemas.get(dataset))
         if not table.columns or table.isEmpty():
             results.append({"dataset": dataset, "status": "no_data"})
             continue

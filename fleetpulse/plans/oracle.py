@@ -384,7 +384,9 @@ ORACLE: dict[str, str] = {
         600 AS alert_threshold_min, 1800 AS maint_threshold_min, (SELECT count(*) FROM lost) AS affected_count, * FROM lost""",
     "auto_maintenance_records": f"""WITH {_DEVICES} SELECT * FROM ({_AUTO}) WHERE right(equipo_id, 1) NOT IN ('1', '3', '5', '7', '9')""",
     "signal_sweep_summary": f"""WITH {_DEVICES} SELECT (SELECT count(*) FROM ({_sweep(600)})) AS alert_lost,
-        (SELECT count(*) FROM ({_sweep(1800)})) AS maint_created, equipo_id FROM ({_sweep(600)})""",
+        (SELECT count(*) FROM ({_sweep(1800)})) AS maint_created,
+        CASE WHEN (SELECT count(*) FROM ({_sweep(1800)})) > 0 THEN 'auto_gps_loss_' || strftime({AS_OF}, '%Y%m%d_%H%M%S') END AS maint_key,
+        equipo_id FROM ({_sweep(600)})""",
     "fleet_status": f"WITH {_DEVICES} {_fleet(600, 1800)}",
     "order_status": f"WITH {_DEVICES} SELECT equipo_id, minutos_sin_senal FROM ({_fleet(10, 30)})",
     "fleet_status_kpis": f"""WITH {_DEVICES} SELECT count(*) AS total_equipos, count(*) FILTER (WHERE estado = 'OK') AS senal_ok,

@@ -352,11 +352,7 @@ def signal_loss_maintenance(spark, sf):
 @query
 def alert_payload(spark, sf):
     alerts = sg.signal_loss_alert(data.device_state(spark, sf), AS_OF, WIDE["alert_min"])
-    documents = sg.alert_payload(alerts, AS_OF, **WIDE)
-    listed = F.explode("affected_equipos").alias("equipo")
-    return documents.select(
-        "alert_type", "detected_at", "alert_threshold_min", "maint_threshold_min", "affected_count", listed
-    ).select("*", "equipo.*").drop("equipo")
+    return sg.alert_payload(alerts, AS_OF, **WIDE)
 
 
 @query
@@ -373,11 +369,10 @@ def auto_maintenance_records(spark, sf):
 @query
 def signal_sweep_summary(spark, sf):
     devices = data.device_state(spark, sf)
-    summary = sg.signal_sweep_summary(
+    return sg.signal_sweep_summary(
         sg.signal_loss_alert(devices, AS_OF, WIDE["alert_min"]),
-        sg.signal_loss_maintenance(devices, AS_OF, WIDE["maint_min"]),
+        sg.signal_loss_maintenance(devices, AS_OF, WIDE["maint_min"]), AS_OF,
     )
-    return summary.select("alert_lost", "maint_created", F.explode("equipos").alias("equipo_id"))
 
 
 @query

@@ -19,10 +19,14 @@ ADVISED = {
 }
 
 
+# Of these, what the streaming plans rely on whatever the cluster's defaults.
+STREAMING = {key: value for key, value in ADVISED.items() if key.startswith("spark.sql.streaming.")}
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Applies the settings a result depends on to an existing session."""
-    for key, value in REQUIRED.items():
-        if spark.conf.get(key) != value:
+    """Applies the settings that results and streaming plans depend on to an existing session."""
+    for key, value in {**REQUIRED, **STREAMING}.items():
+        if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
 

@@ -10,6 +10,7 @@ from fleetpulse.constants import AUTO_SOURCE, CSV_NULL_TOKENS
 from fleetpulse.functions.moments import moment
 from fleetpulse.functions.rounding import round_half_even
 from fleetpulse.operators.relations import union_by_name
+from fleetpulse.operators.signal import sweep_name
 from fleetpulse.operators.telemetry import unwrap_envelope
 from fleetpulse.sources.schemas import GPS_REJECTED, HOUR_PARTITIONS, MAINTENANCE_SILVER, QUALITY_RUN
 from fleetpulse.sources.storage import exists
@@ -95,14 +96,18 @@ def read_silver(spark: SparkSession, path: str, schema: StructType | None = None
     return df.drop(*HOUR_PARTITIONS, "source_file")
 
 
-def read_auto_maintenance(spark: SparkSession, path: str, as_of=None) -> DataFrame:
-    """The automatic records opened on the day of ``as_of``; only their partitions are read."""
+def read_auto_maintenance(spark: SparkSession, path: str, as_of=None, other_sweeps: bool = False) -> DataFrame:
+    """The automatic records opened on the day of ``as_of``; only their partitions are read.
+
+    ``other_sweeps`` leaves out those of the sweep at ``as_of`` itself.
+    """
     stored = StructType(MAINTENANCE_SILVER.fields).add("source_file", "string")
     if not exists(spark, path):
         return spark.createDataFrame([], MAINTENANCE_SILVER)
     today = F.concat(F.lit(AUTO_SOURCE), F.date_format(moment(as_of), "yyyyMMdd"))
     rows = spark.read.schema(stored).parquet(path)
-    return rows.filter(F.startswith("source_file", today)).drop("source_file")
+    rows = rows.filter(F.startswith("source_file", today))
+    return (rows.filter(F.col("source_file") != sweep_name(as_of)) if other_sweeps else rows).drop("source_file")
 
 
 def read_quality_history(spark: SparkSession, path: str, dataset: str) -> DataFrame:
@@ -137,7 +142,7 @@ def read_rejected(spark: SparkSession, path: str, schema: StructType = GPS_REJEC
 
 
 def rejected_sample(spark: SparkSession, path: str, n: int = 5, schema: StructType = GPS_REJECTED) -> DataFrame:
-    """The first ``n`` records of the newest rejected file.
+    """The first ``n`` records, by their columns, of the newest rejected file.
 
     The newest file is found from the listing alone; only that one file is then read.
     """
@@ -150,4 +155,4 @@ def rejected_sample(spark: SparkSession, path: str, n: int = 5, schema: StructTy
     newest = files.agg(F.max(F.struct("modificationTime", "path")).alias("newest")).head()["newest"]
     if newest is None:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).json(newest["path"]).limit(n)
+    return spark.read.schema(schema).json(newest["path"]).orderBy(*schema.fieldNames()).limit(n)

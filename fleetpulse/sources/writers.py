@@ -1,12 +1,16 @@
-"""Writing the stored tables. Every batch write can be repeated without doubling rows."""
+"""Writing the stored tables.
+
+Maintenance tables and sweeps replace their own partitions, so a repeated batch does not
+double rows. Batch appends of pings, rejected pings and quality metrics do add rows again.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fleetpulse.constants import AUTO_SOURCE
 from fleetpulse.functions.moments import moment
+from fleetpulse.operators.signal import sweep_name
 from fleetpulse.operators.telemetry import hour_partition_columns
 from fleetpulse.sources.schemas import GPS_SILVER, HOUR_PARTITIONS, MAINTENANCE_SILVER
 from fleetpulse.sources.storage import delete, exists
@@ -135,8 +139,7 @@ def append_auto_maintenance(records: DataFrame, path: str, as_of=None) -> None:
     The partition is named after ``as_of``: other sweeps' records stay, and repeating a
     sweep that failed half-way replaces its own.
     """
-    name = F.concat(F.lit(AUTO_SOURCE), F.date_format(moment(as_of), "yyyyMMdd_HHmmss"))
     (
-        _maintenance_columns(records.withColumn("source_file", name)).write.mode("overwrite")
+        _maintenance_columns(records.withColumn("source_file", sweep_name(as_of))).write.mode("overwrite")
         .options(**_REPLACE_PARTITIONS).option("compression", "snappy").partitionBy("source_file").parquet(path)
     )

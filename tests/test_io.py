@@ -174,8 +174,8 @@ def test_signal_sweep_job(spark, tmp_path):
     rows = [("fresh", AS_OF), ("alert", AS_OF - timedelta(minutes=20)), ("lost", AS_OF - timedelta(minutes=40))]
     write_last_seen(spark.createDataFrame(rows, LAST_SEEN), state)
     for as_of in (AS_OF, AS_OF + timedelta(minutes=1), AS_OF + timedelta(minutes=2)):
-        documents, summary = signal_sweep(spark, state, path, as_of)
-        assert [e["equipo_id"] for e in documents.head()["affected_equipos"]] == ["alert", "lost"]
+        alert, summary = signal_sweep(spark, state, path, as_of)
+        assert sorted(r["equipo_id"] for r in alert.collect()) == ["alert", "lost"]
         assert (summary.head()["alert_lost"], summary.head()["maint_created"]) == (2, 1)
     stored = read_silver(spark, path, MAINTENANCE_SILVER).collect()
     assert [(r["equipo_id"], r["tipo_falla"], r["criticidad"]) for r in stored] == [("lost", "GPS DESCONECTADO (40 min sin señal)", "ALTA")]
@@ -186,6 +186,14 @@ def test_signal_sweep_job(spark, tmp_path):
     assert read_silver(spark, path, MAINTENANCE_SILVER).count() == 2
 
 
+def test_a_repeated_sweep_keeps_its_records_and_adds_new_ones(spark, tmp_path):
+    state, path = str(tmp_path / "seen"), str(tmp_path / "mant")
+    for silent in (["A", "B"], ["A", "B", "C"]):
+        write_last_seen(spark.createDataFrame([(x, AS_OF - timedelta(minutes=40)) for x in silent], LAST_SEEN), state)
+        signal_sweep(spark, state, path, AS_OF)
+    assert sorted(r["equipo_id"] for r in read_silver(spark, path, MAINTENANCE_SILVER).collect()) == ["A", "B", "C"]
+
+
 def test_quality_run_and_history(spark, tmp_path):
     silver, gold = str(tmp_path / "silver"), str(tmp_path / "gold")
     write_silver_gps(pings(spark, ("A", AS_OF), ("A", AS_OF)), f"{silver}/{GPS_DATASET}", AS_OF)

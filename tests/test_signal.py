@@ -50,35 +50,33 @@ def test_timestamp_state_pushes_the_threshold_to_the_scan(spark, tmp_path):
     assert "LessThan(last_seen" in alerts._jdf.queryExecution().executedPlan().toString()
 
 
-def test_alert_document(spark):
+def test_alert_rows(spark):
     alerts = signal_loss_alert(seen(spark, b=1200, a=2400, ok=5), AS_OF)
-    row = alert_payload(alerts, AS_OF).collect()
-    assert len(row) == 1
-    row = row[0]
-    assert (row["alert_type"], row["affected_count"], row["alert_threshold_min"], row["maint_threshold_min"]) == ("SIGNAL_LOSS", 2, 10, 30)
-    assert [(d["equipo_id"], d["minutes_silent"]) for d in row["affected_equipos"]] == [("a", 40.0), ("b", 20.0)]
+    rows = sorted(alert_payload(alerts, AS_OF).collect(), key=lambda r: r["equipo_id"])
+    assert {(r["alert_type"], r["affected_count"], r["alert_threshold_min"], r["maint_threshold_min"]) for r in rows} == {("SIGNAL_LOSS", 2, 10, 30)}
+    assert [(r["equipo_id"], r["minutes_silent"]) for r in rows] == [("a", 40.0), ("b", 20.0)]
     assert alert_payload(alerts.limit(0), AS_OF).count() == 0
 
 
-def test_large_alerts_are_spread_over_documents_without_losing_a_device(spark):
-    df = spark.range(1000).select(
-        F.format_string("CAM_%04d", "id").alias("equipo_id"), F.lit("2026-05-20T10:00:00").alias("last_seen")
+def test_an_alert_has_a_row_for_each_device_whatever_the_fleet(spark):
+    df = spark.range(10_001).select(
+        F.format_string("CAM_%05d", "id").alias("equipo_id"), F.lit("2026-05-20T10:00:00").alias("last_seen")
     )
-    documents = alert_payload(signal_loss_alert(df, AS_OF), AS_OF, per_document=100).collect()
-    assert len(documents) == 10 and {d["parts"] for d in documents} == {10}
-    assert {d["affected_count"] for d in documents} == {1000}
-    listed = [e["equipo_id"] for d in documents for e in d["affected_equipos"]]
-    assert len(listed) == len(set(listed)) == 1000
-    assert max(len(d["affected_equipos"]) for d in documents) < 200
+    alerts = signal_loss_alert(df, AS_OF)
+    rows = alert_payload(alerts, AS_OF)
+    assert rows.select("equipo_id").distinct().count() == rows.count() == 10_001
+    assert rows.head()["affected_count"] == 10_001
+    assert signal_sweep_summary(alerts, alerts, AS_OF).count() == 10_001
 
 
 def test_sweep_summary(spark):
     df = seen(spark, a=1200, b=2400, ok=5)
-    summary = signal_sweep_summary(signal_loss_alert(df, AS_OF), signal_loss_maintenance(df, AS_OF)).collect()
-    assert [(r["alert_lost"], r["maint_created"], r["equipos"]) for r in summary] == [(2, 1, ["a", "b"])]
+    rows = signal_sweep_summary(signal_loss_alert(df, AS_OF), signal_loss_maintenance(df, AS_OF), AS_OF).collect()
+    key = f"auto_gps_loss_{AS_OF:%Y%m%d_%H%M%S}"
+    assert sorted(tuple(r) for r in rows) == [(2, 1, key, "a"), (2, 1, key, "b")]
     quiet = df.limit(0)
-    summary = signal_sweep_summary(signal_loss_alert(quiet, AS_OF), signal_loss_maintenance(quiet, AS_OF)).collect()
-    assert [(r["alert_lost"], r["maint_created"], r["equipos"]) for r in summary] == [(0, 0, [])]
+    rows = signal_sweep_summary(signal_loss_alert(quiet, AS_OF), signal_loss_maintenance(quiet, AS_OF), AS_OF).collect()
+    assert [tuple(r) for r in rows] == [(0, 0, None, None)]
 
 
 def test_auto_records_once_a_day(spark):
