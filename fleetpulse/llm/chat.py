@@ -120,17 +120,20 @@ def windows(turns: DataFrame, budget: int = BUDGET, history: tuple[int, int] = (
             yield pa.record_batch([*batch.columns, pa.array(n, pa.int64())], ["conv_id", "turn", "role", "text", "tokens"])
 
     empty = F.lit("")
-    rows = turns.select(
+    plain = turns.select(
         F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.coalesce("role", empty).alias("role"), F.coalesce("text", empty).alias("text")
-    ).mapInArrow(measure, "conv_id long, turn long, role string, text string, tokens long")
-    block = F.floor(F.coalesce("turn", F.lit(-1)) / BLOCK)
-    rows = rows.withColumn("block", block).withColumn("old", F.lit(False))
-    # The last turns of a block are history of the next one.
-    last = rows.where(F.pmod(F.coalesce("turn", F.lit(-1)), F.lit(BLOCK)) >= BLOCK - history[1])
-    rows = rows.union(last.withColumn("block", F.col("block") + 1).withColumn("old", F.lit(True)))
+    )
+    measured = "conv_id long, turn long, role string, text string, tokens long"
+    number = F.coalesce("turn", F.lit(-1))
+    block = F.floor(number / BLOCK)
+    place = lambda b, old: F.struct(b.alias("block"), F.lit(old).alias("old"))
+    # The last turns of a block are history of the next one too.
+    places = F.when(F.pmod(number, F.lit(BLOCK)) >= BLOCK - history[1], F.array(place(block, False), place(block + 1, True)))
+    places = F.explode(places.otherwise(F.array(place(block, False))))
+    rows = plain.mapInArrow(measure, measured).select("*", places.alias("place")).select("*", "place.*").drop("place")
     turn = F.struct((~F.col("old")).alias("new"), "turn", "role", "text", "tokens")
     blocks = rows.groupBy("conv_id", "block").agg(F.sort_array(F.collect_list(turn)).alias("turns"), F.max(~F.col("old")).alias("any"))
-    system = rows.where("role = 'system' and not old").groupBy(F.col("conv_id").alias("_conv")).agg(
+    system = plain.where("role = 'system'").mapInArrow(measure, measured).groupBy(F.col("conv_id").alias("_conv")).agg(
         F.min(F.struct("turn", "role", "text", "tokens")).alias("system")
     )
     blocks = blocks.where("any").join(system, F.col("conv_id").eqNullSafe(F.col("_conv")), "left")
