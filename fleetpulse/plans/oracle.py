@@ -443,6 +443,14 @@ ORACLE: dict[str, str] = {
     "dedup_stream": f"""WITH {_PINGS} SELECT event_id, equipo_id, "timestamp" FROM pings""",
     "signal_loss_stream": f"""WITH {_GAPPED} SELECT * FROM stretches
         WHERE lost_at <= (SELECT date_trunc('millisecond', max(event_ts)) FROM pings) - INTERVAL 1 HOUR""",
+    "dedup_stream_disordered": _KEPT_FIRST + """ SELECT equipo_id, "timestamp" FROM kept WHERE k = 1""",
+    "pipeline_accounting": _KEPT_FIRST + """ SELECT count(*) AS n, 'received' AS part FROM coded
+        UNION ALL SELECT count(*), 'valid' FROM kept WHERE k = 1
+        UNION ALL SELECT count(*), 'copies' FROM kept WHERE k > 1
+        UNION ALL SELECT count(*), 'rejected' FROM coded WHERE code IS NOT NULL
+        UNION ALL SELECT 0, 'lost'
+        UNION ALL SELECT 0, 'twice'""",
+    "stream_and_backfill": f"""WITH {_PINGS} SELECT equipo_id, "timestamp", event_ts FROM pings""",
     "telemetry_end_to_end": _KEPT_FIRST + """, once AS (SELECT * FROM kept WHERE k = 1)
         SELECT equipo_id AS name, count(*) AS n, 'silver' AS part FROM once GROUP BY equipo_id
         UNION ALL SELECT code, count(*), 'rejected' FROM coded WHERE code IS NOT NULL GROUP BY code

@@ -34,6 +34,7 @@ from fleetpulse.sources import readers, writers
 from fleetpulse.sources.schemas import GPS_SILVER, MAINTENANCE_SILVER
 from fleetpulse.sources.storage import scratch
 from fleetpulse.sources.tables import create_tables as make_tables
+from fleetpulse.sources.writers import stream_silver_gps
 from fleetpulse.streaming.signal import signal_loss_stream as silent_sessions
 from fleetpulse.streaming.telemetry import dedup_stream as first_arrivals
 from fleetpulse.streaming.telemetry import telemetry_pipeline as run_pipeline
@@ -686,13 +687,58 @@ def signal_loss_stream(spark, sf):
     return _streamed(silent_sessions(_event_stream(spark, sf)), "silent")
 
 
-@query(name="telemetry_end_to_end")
-def _telemetry_end_to_end(spark, sf):
-    """The three streaming queries of telemetry_pipeline, over everything there is."""
+def _pipeline_output(spark, envelopes: DataFrame, max_files: int | None = None) -> str:
     folder, out = scratch(spark, "messages"), scratch(spark, "pipeline")
-    data.envelopes(spark, sf).write.text(folder)
-    for running in run_pipeline(spark, folder, out, f"{out}/checkpoint", available_now=True, arrival="transport"):
+    envelopes.write.text(folder)
+    for running in run_pipeline(spark, folder, out, f"{out}/checkpoint", available_now=True, max_files=max_files, arrival="transport"):
         running.awaitTermination()
+    return out
+
+
+@query
+def dedup_stream_disordered(spark, sf):
+    """Weeks of messages in files of mixed time order, one file a micro-batch: none is late."""
+    shuffled = data.envelopes(spark, sf).repartition(5, F.xxhash64("value"))
+    out = _pipeline_output(spark, shuffled, max_files=1)
+    return readers.read_silver(spark, f"{out}/silver/{GPS_DATASET}", GPS_SILVER).select("equipo_id", "timestamp")
+
+
+@query
+def pipeline_accounting(spark, sf):
+    """Every message is valid, a copy, or rejected, and is in one place only."""
+    messages = data.envelopes(spark, sf)
+    out = _pipeline_output(spark, messages)
+    silver = readers.read_silver(spark, f"{out}/silver/{GPS_DATASET}", GPS_SILVER).select("equipo_id", "timestamp")
+    rejected = readers.read_rejected(spark, f"{out}/rejected/{GPS_DATASET}").select("equipo_id", "timestamp", "arrival_ts", "rejection_reason")
+    judged = spark.read.parquet(f"{out}/landing/{GPS_DATASET}")
+    accepted = judged.filter("rejection_reason IS NULL").select(*silver.columns)
+    refused = judged.filter("rejection_reason IS NOT NULL").select(*rejected.columns)
+    once = accepted.distinct()
+    counts = {
+        "received": messages, "valid": silver, "copies": accepted.exceptAll(once), "rejected": rejected,
+        "lost": union_by_name([once.exceptAll(silver), refused.exceptAll(rejected).select(*silver.columns)]),
+        "twice": union_by_name([silver.exceptAll(once), rejected.exceptAll(refused).select(*silver.columns)]),
+    }
+    return union_by_name([
+        rows.agg(F.count(F.lit(1)).alias("n")).withColumn("part", F.lit(part)) for part, rows in counts.items()
+    ])
+
+
+@query
+def stream_and_backfill(spark, sf):
+    """One half of the pings streamed, the other stored twice as one batch: each is read once."""
+    out, half = scratch(spark, "silver"), F.col("event_id") % 2
+    streamed = _event_stream(spark, sf).filter(half == 0)
+    stream_silver_gps(first_arrivals(streamed).drop("event_id"), f"{out}/rows", f"{out}/checkpoint", available_now=True).awaitTermination()
+    for _run in range(2):
+        writers.write_silver_gps(data.pings(spark, sf).filter(half == 1).drop("event_id"), f"{out}/rows", AS_OF, batch="backfill")
+    return readers.read_silver(spark, f"{out}/rows", GPS_SILVER).select("equipo_id", "timestamp", "event_ts")
+
+
+@query(name="telemetry_end_to_end")
+def _telemetry_end_to_end(spark, sf):
+    """The streaming queries of telemetry_pipeline, over everything there is."""
+    out = _pipeline_output(spark, data.envelopes(spark, sf))
     silver = readers.read_silver(spark, f"{out}/silver/{GPS_DATASET}", GPS_SILVER)
     rejected = readers.read_rejected(spark, f"{out}/rejected/{GPS_DATASET}")
     seen = state.read_last_seen(spark, f"{out}/state/last_seen")

@@ -12,7 +12,7 @@ from fleetpulse.functions.rounding import round_half_even
 from fleetpulse.operators.relations import union_by_name
 from fleetpulse.operators.signal import sweep_name
 from fleetpulse.operators.telemetry import unwrap_envelope
-from fleetpulse.sources.schemas import GPS_REJECTED, HOUR_PARTITIONS, MAINTENANCE_SILVER, QUALITY_RUN
+from fleetpulse.sources.schemas import GPS_REJECTED, MAINTENANCE_SILVER, PING_PARTITIONS, QUALITY_RUN
 from fleetpulse.sources.storage import exists
 
 CSV_OPTIONS = {
@@ -93,7 +93,7 @@ def read_silver(spark: SparkSession, path: str, schema: StructType | None = None
         if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
             raise
         return spark.createDataFrame([], StructType([]))
-    return df.drop(*HOUR_PARTITIONS, "source_file")
+    return df.drop(*PING_PARTITIONS, "source_file")
 
 
 def read_auto_maintenance(spark: SparkSession, path: str, as_of=None, other_sweeps: bool = False) -> DataFrame:

@@ -3,6 +3,7 @@
 from pyspark.sql import types as T
 
 HOUR_PARTITIONS = ["year", "month", "day", "hour"]
+PING_PARTITIONS = [*HOUR_PARTITIONS, "batch"]
 
 GPS_SILVER = T.StructType([
     T.StructField("equipo_id", T.StringType()),
@@ -14,12 +15,6 @@ GPS_SILVER = T.StructType([
     T.StructField("event_ts", T.TimestampType()),
 ])
 
-# With the partition columns, as a stream over the stored folder needs: it is planned before
-# the first partition exists.
-GPS_SILVER_STORED = T.StructType(
-    GPS_SILVER.fields + [T.StructField(name, T.IntegerType()) for name in HOUR_PARTITIONS]
-)
-
 GPS_REJECTED = T.StructType([
     T.StructField("equipo_id", T.StringType()),
     T.StructField("latitude", T.StringType()),

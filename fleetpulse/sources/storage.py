@@ -36,6 +36,11 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(target))
 
 
+def modified_ms(spark: SparkSession, path: str) -> int:
+    fs, target = _fs_path(spark, path)
+    return fs.getFileStatus(target).getModificationTime()
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it in spark.checkpoint.dir.
 

@@ -8,7 +8,8 @@ from fleetpulse.constants import GPS_DATASET, MAINTENANCE_DATASET
 
 _GPS = """
     equipo_id STRING, latitude DOUBLE, longitude DOUBLE, timestamp STRING, speed_kmh DOUBLE,
-    heading DOUBLE, estado STRING, event_ts TIMESTAMP, year INT, month INT, day INT, hour INT
+    heading DOUBLE, estado STRING, event_ts TIMESTAMP, year INT, month INT, day INT, hour INT,
+    batch STRING
 """
 _MAINTENANCE = """
     equipo_id STRING, fecha_mantenimiento STRING, tipo_falla STRING, criticidad STRING,
@@ -20,7 +21,7 @@ def create_tables(spark: SparkSession, database: str, silver_path: str) -> None:
     """External tables over ``silver_path``; existing ones are kept. No data is moved."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{silver_path}/_{database}'")
     for name, columns, partitions in (
-        (GPS_DATASET, _GPS, "year, month, day, hour"),
+        (GPS_DATASET, _GPS, "year, month, day, hour, batch"),
         (MAINTENANCE_DATASET, _MAINTENANCE, "source_file"),
     ):
         spark.sql(

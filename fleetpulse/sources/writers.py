@@ -1,18 +1,20 @@
 """Writing the stored tables.
 
-Maintenance tables and sweeps replace their own partitions, so a repeated batch does not
-double rows. Batch appends of pings, rejected pings and quality metrics do add rows again.
+Every write of pings, maintenance rows and sweeps replaces its own partitions, so a repeated
+one does not double rows. Quality metrics are appended: each run is a row of its own.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fleetpulse.functions.moments import moment
 from fleetpulse.operators.signal import sweep_name
 from fleetpulse.operators.telemetry import hour_partition_columns
-from fleetpulse.sources.schemas import GPS_SILVER, HOUR_PARTITIONS, MAINTENANCE_SILVER
+from fleetpulse.sources.schemas import GPS_SILVER, MAINTENANCE_SILVER, PING_PARTITIONS
 from fleetpulse.sources.storage import delete, exists
 
 _REPLACE_PARTITIONS = {"partitionOverwriteMode": "dynamic"}
@@ -25,7 +27,7 @@ def _at_hour(df: DataFrame, now: Column) -> DataFrame:
 def silver_gps_columns(df: DataFrame) -> DataFrame:
     """The stored columns of a valid ping; further columns of the frame are kept after them."""
     declared = [c for c in GPS_SILVER.fieldNames() if c in df.columns]
-    extra = [c for c in df.columns if c not in declared and c not in ("body", "arrival_ts")]
+    extra = [c for c in df.columns if c not in declared and c not in ("body", "arrival_ts", "rejection_reason")]
     return df.select(*declared, *extra)
 
 
@@ -34,16 +36,27 @@ def rejected_gps_columns(df: DataFrame) -> DataFrame:
     return df.withColumnRenamed("body", "_raw") if "body" in df.columns else df
 
 
-def write_silver_gps(df: DataFrame, path: str, now=None) -> None:
-    """Appends valid pings under the hour of writing; an empty frame writes no data file."""
+def _store_batch(df: DataFrame, path: str, kind: str, batch: str) -> None:
+    """Puts ``df`` under its hours, in partitions named ``batch``; those of that name are replaced."""
     (
-        silver_gps_columns(_at_hour(df, moment(now))).write.mode("append")
-        .option("compression", "snappy").partitionBy(*HOUR_PARTITIONS).parquet(path)
+        df.withColumn("batch", F.lit(batch)).write.mode("overwrite").options(**_REPLACE_PARTITIONS)
+        .partitionBy(*PING_PARTITIONS).format(kind).save(path)
     )
 
 
-def write_rejected_gps(df: DataFrame, path: str, now=None) -> None:
-    rejected_gps_columns(_at_hour(df, moment(now))).write.mode("append").partitionBy(*HOUR_PARTITIONS).json(path)
+def write_silver_gps(df: DataFrame, path: str, now=None, batch: str | None = None) -> None:
+    """Stores valid pings under the hour of writing; an empty frame writes no data file.
+
+    A write with the ``batch`` name and the hour of an earlier one replaces it. Without a name
+    it is a batch of its own and adds to what is there. Streams write into the same table in
+    the same way, so what either of them stores is read alike.
+    """
+    _store_batch(silver_gps_columns(_at_hour(df, moment(now))), path, "parquet", batch or uuid.uuid4().hex)
+
+
+def write_rejected_gps(df: DataFrame, path: str, now=None, batch: str | None = None) -> None:
+    """Stores rejected pings as JSON lines, by hour and batch like the valid ones."""
+    _store_batch(rejected_gps_columns(_at_hour(df, moment(now))), path, "json", batch or uuid.uuid4().hex)
 
 
 def start_query(writer, checkpoint: str, name: str | None, available_now: bool, interval: str | None) -> StreamingQuery:
@@ -57,17 +70,28 @@ def start_query(writer, checkpoint: str, name: str | None, available_now: bool,
     return writer.start()
 
 
+def batch_name(batch: DataFrame, batch_id: int) -> str:
+    """Of a micro-batch: the same when it is repeated after a failure, and no other's."""
+    return f"{batch.sparkSession.sparkContext.getLocalProperty('sql.streaming.queryId')}-{batch_id}"
+
+
+def _batch_sink(path: str, kind: str):
+    """The hours are columns of the stream: a repeated micro-batch keeps its time, and so
+    replaces what its first attempt wrote."""
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        _store_batch(batch, path, kind, batch_name(batch, batch_id))
+
+    return store
+
+
 def stream_silver_gps(
     df: DataFrame, path: str, checkpoint: str, available_now: bool = False, interval: str | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
-    """Valid pings of a stream to Parquet, exactly once by the sink's commit log."""
+    """Valid pings of a stream to Parquet, each micro-batch once."""
     rows = silver_gps_columns(_at_hour(df, F.current_timestamp()))
-    writer = (
-        rows.writeStream.format("parquet").option("compression", "snappy").option("path", path)
-        .partitionBy(*HOUR_PARTITIONS).outputMode("append")
-    )
-    return start_query(writer, checkpoint, name, available_now, interval)
+    return start_query(rows.writeStream.foreachBatch(_batch_sink(path, "parquet")), checkpoint, name, available_now, interval)
 
 
 def stream_rejected_gps(
@@ -77,8 +101,7 @@ def stream_rejected_gps(
     """Rejected pings of a stream to JSON lines, as a query of its own: its failures do not
     hold up the valid pings."""
     rows = rejected_gps_columns(_at_hour(df, F.current_timestamp()))
-    writer = rows.writeStream.format("json").option("path", path).partitionBy(*HOUR_PARTITIONS).outputMode("append")
-    return start_query(writer, checkpoint, name, available_now, interval)
+    return start_query(rows.writeStream.foreachBatch(_batch_sink(path, "json")), checkpoint, name, available_now, interval)
 
 
 def _maintenance_columns(df: DataFrame) -> DataFrame:

@@ -4,39 +4,43 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from fleetpulse.constants import DEDUP_KEYS_GPS, DEDUP_TTL, GPS_DATASET
 from fleetpulse.operators.telemetry import decode_payload, split_valid_rejected, validate_gps
+from fleetpulse.session import prepare
 from fleetpulse.sources.last_seen import last_seen_sink
 from fleetpulse.sources.readers import read_telemetry_stream
-from fleetpulse.sources.schemas import GPS_SILVER_STORED
 from fleetpulse.sources.storage import make_dir
 from fleetpulse.sources.writers import start_query, stream_rejected_gps, stream_silver_gps
 
 
-def dedup_stream(
-    df: DataFrame, keys: Sequence[str] = tuple(DEDUP_KEYS_GPS), ts: str = "event_ts", ttl: str = DEDUP_TTL
-) -> DataFrame:
+def dedup_stream(df: DataFrame, keys: Sequence[str] = tuple(DEDUP_KEYS_GPS), ttl: str = DEDUP_TTL) -> DataFrame:
     """First arrival per key, remembered for ``ttl`` across batches and restarts.
 
-    Goes after validation: a rejected future time must not advance the watermark.
+    ``ttl`` runs from when a micro-batch took the row in, a time that never goes back. So no
+    row is ever late: a backlog in any order of event times loses nothing to a watermark.
     """
-    return df.withWatermark(ts, ttl).dropDuplicatesWithinWatermark(list(keys))
+    taken = df.withColumn("_taken", F.current_timestamp()).withWatermark("_taken", ttl)
+    return taken.dropDuplicatesWithinWatermark(list(keys)).drop("_taken")
 
 
-def stream_last_seen(
-    spark: SparkSession, silver: str, state: str, checkpoint: str, available_now: bool = False,
-    interval: str | None = None, name: str | None = None,
-) -> StreamingQuery:
-    """Keeps the last-seen state up to date from the stored pings.
+def stream_judged(
+    spark: SparkSession, source: str, landing: str, checkpoint: str, available_now: bool = False,
+    interval: str | None = None, max_files: int | None = None, arrival: str = "processing",
+    passthrough: Mapping[str, str] | None = None,
+) -> tuple[StreamingQuery, StructType]:
+    """Decodes, stamps and validates each message once; stores it with ``arrival_ts`` and reason.
 
-    It follows the Parquet table rather than the raw messages, so it reads two columns of
-    rows already decoded, validated and free of copies.
+    Returns the query and the schema of the stored rows. Exactly once by the sink's commit
+    log, which every follower of the table reads by.
     """
-    pings = spark.readStream.schema(GPS_SILVER_STORED).parquet(silver).select("equipo_id", "event_ts")
-    return start_query(pings.writeStream.foreachBatch(last_seen_sink(state)), checkpoint, name, available_now, interval)
+    judged = validate_gps(decode_payload(read_telemetry_stream(spark, source, max_files, arrival), passthrough=passthrough))
+    make_dir(spark, landing)
+    writer = judged.writeStream.format("parquet").option("path", landing).outputMode("append")
+    return start_query(writer, checkpoint, None, available_now, interval), judged.schema
 
 
 def telemetry_pipeline(
@@ -44,24 +48,25 @@ def telemetry_pipeline(
     interval: str | None = None, max_files: int | None = None, arrival: str = "processing",
     passthrough: Mapping[str, str] | None = None,
 ) -> list[StreamingQuery]:
-    """Messages to valid pings, rejected pings and last-seen state, as three queries.
+    """Messages to valid pings, rejected pings and last-seen state, as four queries.
 
-    Each has its own checkpoint and restarts alone. ``available_now`` works off what is
-    there and stops; the valid pings are then finished before the state follows them.
+    The first judges every message and lands it under ``landing``; the others follow that
+    table. So a message has one verdict, however far apart the stages run and whichever of
+    them was down: it is stored as valid, as a copy left out, or as rejected, and never in two
+    places. Each query has its own checkpoint and restarts alone. ``available_now`` works off
+    what is there and stops; the verdicts are then finished before the others follow them.
     ``passthrough`` names further message fields to store, with their types.
     """
-    def validated() -> DataFrame:
-        return validate_gps(decode_payload(read_telemetry_stream(spark, source, max_files, arrival), passthrough=passthrough))
-
-    valid, _ = split_valid_rejected(validated())
-    _, rejected = split_valid_rejected(validated())
-    silver, state = f"{out}/silver/{GPS_DATASET}", f"{out}/state/last_seen"
-    make_dir(spark, silver)
-    first = stream_silver_gps(dedup_stream(valid), silver, f"{checkpoint}/silver", available_now, interval)
-    second = stream_rejected_gps(
-        rejected, f"{out}/rejected/{GPS_DATASET}", f"{checkpoint}/rejected", available_now, interval
+    prepare(spark)
+    landing = f"{out}/landing/{GPS_DATASET}"
+    first, schema = stream_judged(
+        spark, source, landing, f"{checkpoint}/landing", available_now, interval, max_files, arrival, passthrough
     )
     if available_now:
         first.awaitTermination()
-    third = stream_last_seen(spark, silver, state, f"{checkpoint}/last_seen", available_now, interval)
-    return [first, second, third]
+    valid, rejected = split_valid_rejected(spark.readStream.schema(schema).parquet(landing))
+    second = stream_silver_gps(dedup_stream(valid), f"{out}/silver/{GPS_DATASET}", f"{checkpoint}/silver", available_now, interval)
+    third = stream_rejected_gps(rejected, f"{out}/rejected/{GPS_DATASET}", f"{checkpoint}/rejected", available_now, interval)
+    # Copies share their event time, so the latest ping needs no rows without them.
+    seen = valid.select("equipo_id", "event_ts").writeStream.foreachBatch(last_seen_sink(f"{out}/state/last_seen"))
+    return [first, second, third, start_query(seen, f"{checkpoint}/last_seen", None, available_now, interval)]

@@ -12,7 +12,9 @@ from fleetpulse.operators.reports import critical_equipment_report, faults_by_eq
 from fleetpulse.operators.signal import auto_maintenance_records, signal_loss_maintenance
 from fleetpulse.plans.jobs import dq_run, ingest_maintenance, signal_sweep
 from fleetpulse.sources import storage
-from fleetpulse.sources.last_seen import read_last_seen, upsert_last_seen, write_last_seen
+from fleetpulse.sources.last_seen import (
+    compact_last_seen, last_seen_sink, read_last_seen, upsert_last_seen, write_last_seen,
+)
 from fleetpulse.sources.readers import (
     read_auto_maintenance, read_maintenance_csv, read_quality_history, read_rejected, read_silver, rejected_sample,
 )
@@ -152,13 +154,37 @@ def test_last_seen_versions(spark, tmp_path):
     for minute in range(5):
         fresh = upsert_last_seen(read_last_seen(spark, path), pings(spark, ("A", AS_OF + timedelta(minutes=minute))))
         write_last_seen(fresh, path)
-    assert storage.child_names(spark, path) == ["v=2", "v=3", "v=4"]
+    assert storage.child_names(spark, path) == [f"v={i}" for i in range(5)]
     os.remove(f"{path}/v=4/_SUCCESS")  # a write that died half-way
     assert read_last_seen(spark, path).head()["last_seen"].minute == 3
     write_last_seen(read_last_seen(spark, path), path)
     assert os.path.exists(f"{path}/v=4/_SUCCESS")
 
 
+def test_a_last_seen_frame_outlives_later_micro_batches(spark, tmp_path):
+    path = str(tmp_path / "seen")
+    merge = last_seen_sink(path, compact_every=3)
+    merge(pings(spark, ("A", AS_OF), ("B", AS_OF), (None, AS_OF)), 0)
+    early = read_last_seen(spark, path)
+    for i in range(1, 11):
+        merge(pings(spark, ("A", AS_OF + timedelta(minutes=i)), ("B", AS_OF - timedelta(minutes=i))), i)
+    merge(pings(spark, ("A", AS_OF + timedelta(minutes=10))), 10)  # repeated after a failure
+    assert {(r["equipo_id"], r["last_seen"].minute) for r in early.collect()} == {("A", 0), ("B", 0)}
+    now = {(r["equipo_id"], r["last_seen"].minute) for r in read_last_seen(spark, path).collect()}
+    assert now == {("A", 10), ("B", 0)}
+    compact_last_seen(spark, path, keep_seconds=-60)
+    assert storage.child_names(spark, path) == ["v=3"]
+    assert {(r["equipo_id"], r["last_seen"].minute) for r in read_last_seen(spark, path).collect()} == now
+
+
+def test_a_named_batch_of_pings_replaces_itself(spark, tmp_path):
+    path = str(tmp_path / "silver")
+    for machines in ("AB", "ABC"):
+        write_silver_gps(pings(spark, *[(m, AS_OF) for m in machines]), path, AS_OF, batch="backfill")
+    write_silver_gps(pings(spark, ("D", AS_OF)), path, AS_OF)
+    assert sorted(r["equipo_id"] for r in read_silver(spark, path, GPS_SILVER).collect()) == ["A", "B", "C", "D"]
+
+
 def test_auto_records_are_stored_once_per_sweep(spark, tmp_path):
     path = str(tmp_path / "mant")
     base = spark.createDataFrame([("A", "2026-05-01", "Motor", "ALTA", "taller.csv")], "equipo_id string, fecha_mantenimiento string, tipo_falla string, criticidad string, source_file string")

@@ -2,6 +2,9 @@
 
 import base64
 import json
+import os
+import re
+import time
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F, types as T
@@ -13,7 +16,7 @@ from fleetpulse.sources.readers import read_rejected, read_silver, read_telemetr
 from fleetpulse.sources.schemas import GPS_SILVER, MAINTENANCE_SILVER
 from fleetpulse.streaming.maintenance import ingest_maintenance_stream
 from fleetpulse.streaming.signal import signal_loss_stream
-from fleetpulse.streaming.telemetry import dedup_stream, telemetry_pipeline
+from fleetpulse.streaming.telemetry import dedup_stream, stream_judged, telemetry_pipeline
 
 PING = T.StructType([
     T.StructField("equipo_id", T.StringType()), T.StructField("timestamp", T.StringType()), T.StructField("event_ts", T.TimestampType()),
@@ -61,6 +64,33 @@ def test_pipeline_routes_dedups_and_survives_replay_and_restart(spark, tmp_path)
     assert state["CAM_001"] == int(later.timestamp() * 1e6 + 0.5) and set(state) == {"CAM_001", "CAM_002"}
 
 
+def test_a_ping_on_the_edge_has_one_verdict_however_late_the_stages_run(spark, tmp_path):
+    edge = datetime.now(timezone.utc) - timedelta(minutes=60) + timedelta(seconds=20)
+    drop(tmp_path / "in", "1.json", message("CAM_001", edge), message("CAM_002", edge - timedelta(hours=1)))
+    landing = str(tmp_path / "out" / "landing" / GPS_DATASET)
+    first, _ = stream_judged(spark, str(tmp_path / "in"), landing, str(tmp_path / "check" / "landing"), available_now=True)
+    first.awaitTermination()
+    time.sleep(max(0, (edge + timedelta(hours=1, seconds=1) - datetime.now(timezone.utc)).total_seconds()))
+    for _ in range(2):  # the second run finds nothing left to do
+        silver, rejected, seen = run(spark, tmp_path)
+        assert [r["equipo_id"] for r in silver.collect()] == ["CAM_001"] == [r["equipo_id"] for r in seen.collect()]
+        assert [r["equipo_id"] for r in rejected.collect()] == ["CAM_002"]
+    folders = {d for _, ds, _ in os.walk(tmp_path / "out" / "silver") for d in ds if d.startswith("batch=")}
+    assert len(folders) == 1 and re.fullmatch(r"batch=[0-9a-f-]{36}-0", folders.pop())
+
+
+def test_a_pipeline_needs_no_settings_from_its_session(spark, tmp_path):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    kept = spark.conf.get(key)
+    spark.conf.unset(key)
+    try:
+        drop(tmp_path / "in", "1.json", message("CAM_001"))
+        run(spark, tmp_path)
+        assert spark.conf.get(key) == kept and "RocksDB" in kept
+    finally:
+        spark.conf.set(key, kept)
+
+
 def test_pipeline_runs_continuously(spark, tmp_path):
     drop(tmp_path / "in", "1.json", message("CAM_001"), message("CAM_002", latitud=1.5))
     queries = telemetry_pipeline(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "check"), interval="1 second")
@@ -107,6 +137,13 @@ def test_dedup_across_micro_batches(spark, tmp_path):
     assert sorted((r["equipo_id"], r["timestamp"][14:19]) for r in rows) == [("A", "00:00"), ("A", "01:00"), ("B", "00:05"), ("C", "01:10")]
 
 
+def test_a_backlog_out_of_order_loses_nothing(spark, tmp_path):
+    day = 86_400
+    stream = _ping_stream(spark, tmp_path, [[("A", 9 * day)], [("A", 5 * day), ("B", 0)], [("A", 6 * day), ("B", 0), ("A", 9 * day)]])
+    rows = _collect(spark, dedup_stream(stream), tmp_path).collect()
+    assert sorted((r["equipo_id"], r["event_ts"].day - START.day) for r in rows) == [("A", 5), ("A", 6), ("A", 9), ("B", 0)]
+
+
 def test_silent_devices_are_given_out_like_in_batch(spark, tmp_path):
     batches = [[("A", 0), ("A", 600), ("B", 0)], [("A", 1201), ("B", 30)], [("Z", 40_000)]]
     stream = _ping_stream(spark, tmp_path, batches)
