@@ -4,30 +4,45 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from fleetpulse.constants import ALARMS
 
 
-def _period_value(agg: str, value: Column, threshold: float) -> tuple[Column, Column]:
-    """(aggregate shown, breach) for one period; every aggregate is mergeable."""
-    if agg == "sum":
-        return F.sum(value), F.sum(value) > threshold
-    if agg == "max":
-        return F.max(value), F.max(value) > threshold
-    if agg.startswith("p"):
-        share = float(agg[1:]) / 100
-        within, n = F.count_if(value <= threshold), F.count(value)
-        # The nearest-rank percentile exceeds the threshold exactly when fewer than that
-        # share of the values lie within it, so the decision needs two counts and no sorted
-        # list of the period. The value shown comes from a sketch, held to the right side.
-        breach = within < F.ceil(n.cast("decimal(20,0)") * F.lit(agg[1:]).cast("decimal(6,3)") / 100)
-        sketch = F.percentile_approx(value, share, 10_000)
-        shown = F.when(breach, F.greatest(sketch, F.min(F.when(value > threshold, value)))).otherwise(
-            F.least(sketch, F.max(F.when(value <= threshold, value)))
+MARGIN = 0.001  # of the ranks, on both sides of a sketched percentile; ten times the sketch's error
+
+
+def _percentile(rows: DataFrame, keys: Sequence[str], share: str) -> DataFrame:
+    """(keys, value): the nearest-rank percentile ``share`` of ``_v`` per group, exactly.
+
+    A sketch brackets it; a second pass counts what lies below the bracket and each value
+    inside. Only the bracket's distinct values of a group, a small part of it, are sorted
+    together.
+    """
+    at, n = float(share) / 100, F.col("n").cast("decimal(20,0)")
+    sides = [max(0.0, at - MARGIN), min(1.0, at + MARGIN)]
+    named = {k: f"_key{i}" for i, k in enumerate(keys)}
+    bracket = (
+        rows.groupBy(*keys)
+        .agg(F.count("_v").alias("n"), F.percentile_approx("_v", sides, 10_000).alias("q"))
+        .select(
+            *[F.col(k).alias(as_) for k, as_ in named.items()], F.col("q")[0].alias("low"), F.col("q")[1].alias("high"),
+            F.ceil(n * F.lit(share).cast("decimal(6,3)") / 100).alias("rank"),
         )
-        return shown, breach
-    raise ValueError(f"unknown aggregate {agg!r}: use sum, max or pNN")
+    )
+    same = [F.col(k).eqNullSafe(F.col(as_)) for k, as_ in named.items()]
+    inside = rows.join(bracket, same).where(F.col("_v") <= F.col("high"))
+    counted = inside.groupBy(*keys, "rank", F.when(F.col("_v") >= F.col("low"), F.col("_v")).alias("_v")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    upward = Window.partitionBy(*keys).orderBy(F.asc_nulls_first("_v")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counted.withColumn("upto", F.sum("n").over(upward))
+    reached = F.col("upto") >= F.col("rank")
+    missed = F.coalesce(F.bool_or(F.col("_v").isNull() & reached), F.lit(False)) | ~F.bool_or(reached)
+    return ranked.groupBy(*keys).agg(
+        F.when(missed, F.raise_error(F.lit("the sketch did not bracket the percentile")).cast("double"))
+        .otherwise(F.min(F.when(reached, F.col("_v")))).alias("value")
+    )
 
 
 def windowed_threshold_alarm(
@@ -41,11 +56,17 @@ def windowed_threshold_alarm(
     to the ``periods`` periods it can contribute to, and an alarm is a period with full
     credit. That is a plain grouped sum, spread over all tasks.
     """
-    start = F.window(ts, period)["start"]
-    shown, breach = _period_value(agg, F.col(value).cast("double"), threshold)
-    measured = df.filter(F.col(value).isNotNull()).groupBy(*by, start.alias("period_start")).agg(
-        shown.alias("value"), breach.alias("breaching")
+    keys = [*by, "period_start"]
+    rows = df.filter(F.col(value).isNotNull()).select(
+        *by, F.window(ts, period)["start"].alias("period_start"), F.col(value).cast("double").alias("_v")
     )
+    if agg in ("sum", "max"):
+        measured = rows.groupBy(*keys).agg(getattr(F, agg)("_v").alias("value"))
+    elif agg.startswith("p"):
+        measured = _percentile(rows, keys, agg[1:])
+    else:
+        raise ValueError(f"unknown aggregate {agg!r}: use sum, max or pNN")
+    measured = measured.withColumn("breaching", F.col("value") > threshold)
     if periods == 1:
         return measured.withColumn("alarm", F.col("breaching"))
     ahead = F.when(F.col("breaching"), F.sequence(F.lit(0), F.lit(periods - 1))).otherwise(F.array(F.lit(0)))

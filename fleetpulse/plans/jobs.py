@@ -25,10 +25,11 @@ from fleetpulse.sources.writers import (
 def ingest_frame(raw: DataFrame, silver: str, rejected: str) -> DataFrame:
     """Cleans, validates and stores raw maintenance rows; returns the per-file summary.
 
-    The summary, one row per file, is kept: it tells which files lost all their valid or
-    all their rejected rows, and whether there is anything to reject at all.
+    The rows are parsed and judged once, into the shared folder, so that summary, valid and
+    rejected rows agree even if a file changes meanwhile. The summary, one row per file, is
+    kept: it tells which files lost all their valid or all their rejected rows.
     """
-    checked = with_maintenance_reasons(normalize_maintenance(require_columns(raw)))
+    checked = checkpointed(with_maintenance_reasons(normalize_maintenance(require_columns(raw))))
     bad = F.col("rejection_reason").isNotNull()
     summary = checkpointed(ingest_summary(checked))
     write_silver_maintenance(checked.filter(~bad).drop("rejection_reason"), silver, summary)

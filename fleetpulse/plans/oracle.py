@@ -459,9 +459,9 @@ ORACLE: dict[str, str] = {
     "windowed_threshold_alarm": f"WITH {_PINGS}" + _alarm("pings", "event_ts", "speed_kmh", "sum", "6 hours", 400, 3, "estado"),
     "windowed_threshold_alarm_p99": f"WITH {_PINGS}" + _alarm("pings", "event_ts", "speed_kmh", "p99", "1 day", 150, 2, "estado"),
     "alarm_validate_errors": f"WITH {_PINGS}" + _alarm(
-        "(SELECT event_ts, CASE WHEN estado = 'error' THEN 1 ELSE 0 END AS e FROM pings)", "event_ts", "e", "sum", "1 minute", 5, 1),
+        "(SELECT event_ts, CASE WHEN estado = 'error' THEN event_id % 10 ELSE 0 END AS e FROM pings)", "event_ts", "e", "sum", "1 minute", 5, 1),
     "alarm_sweep_errors": f"WITH {_PINGS}" + _alarm(
-        "(SELECT event_ts, CASE WHEN estado = 'error' THEN 1 ELSE 0 END AS e FROM pings)", "event_ts", "e", "sum", "5 minutes", 1, 1),
+        "(SELECT event_ts, CASE WHEN estado = 'error' THEN event_id % 10 ELSE 0 END AS e FROM pings)", "event_ts", "e", "sum", "5 minutes", 1, 1),
     "alarm_oldest_message_age": f"WITH {_PINGS}" + _alarm(
         "(SELECT arrival_ts, (epoch_us(arrival_ts) - epoch_us(event_ts)) / CAST(1000000 AS DOUBLE) AS age FROM pings)",
         "arrival_ts", "age", "max", "1 minute", 60, 2),

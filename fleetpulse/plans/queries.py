@@ -763,7 +763,8 @@ def windowed_threshold_alarm_p99(spark, sf):
 
 
 def _errors(spark, sf):
-    return data.pings(spark, sf).withColumn("errors", F.when(F.col("estado") == "error", 1).otherwise(0))
+    """Some failures count several errors, so that a minute of the sparse data can breach."""
+    return data.pings(spark, sf).withColumn("errors", F.when(F.col("estado") == "error", F.col("event_id") % 10).otherwise(0))
 
 
 @query

@@ -5,6 +5,7 @@ from collections import defaultdict
 from datetime import datetime, timedelta, timezone
 
 import pytest
+from pyspark.sql import functions as F
 
 from fleetpulse.operators.monitoring import preset_alarm, windowed_threshold_alarm
 
@@ -62,3 +63,16 @@ def test_against_brute_force(spark):
 def test_unknown_aggregate(spark):
     with pytest.raises(ValueError):
         windowed_threshold_alarm(series(spark, (0, 1)), "ts", "value", "mean", "1 minute", 1.0)
+
+
+def test_percentile_of_a_large_group_is_exact(spark):
+    n = 1_000_000
+    mixed = F.pmod(F.xxhash64("id"), F.lit(10_000_019)) / F.lit(7.0)
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, "a").alias("name"), F.lit(START).alias("ts"), mixed.alias("value")
+    )
+    got = {r["name"]: r["value"] for r in windowed_threshold_alarm(df, "ts", "value", "p99", "1 day", 1.0, 1, ["name"]).collect()}
+    values = defaultdict(list)
+    for name, value in df.select("name", "value").collect():
+        values[name].append(value)
+    assert got == {name: sorted(v)[-(-len(v) * 99 // 100) - 1] for name, v in values.items()}
