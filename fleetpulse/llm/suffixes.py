@@ -19,6 +19,7 @@ GRAM = 20  # bytes of an anchor
 PIECE = 1 << 20  # bytes of text handled at once
 HELD = 1 << 20  # entries a task gathers before it passes them on
 SYMBOL = 7  # bytes of a symbol of the suffix array
+CROWD, CROWDED = 256, 1 << 16  # leaders of one anchor in a task, and in a range, from which it is split
 DEPTH = 6  # symbols that every string of LENGTH bytes contains; 8 bytes are left over
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -197,15 +198,23 @@ def fold(e: dict[str, np.ndarray]) -> tuple[dict[str, np.ndarray], np.ndarray]:
     return e, e["doc"] > np.repeat(e["doc"][heads], sizes)
 
 
-def _found(e: dict[str, np.ndarray], chosen: np.ndarray, asked: bool) -> pa.RecordBatch:
+def groups(sorted_values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and sizes of the stretches of equal values."""
+    heads = np.flatnonzero(np.append(True, sorted_values[1:] != sorted_values[:-1]))
+    return heads, np.diff(np.append(heads, len(sorted_values)))
+
+
+def _found(e: dict[str, np.ndarray], chosen: np.ndarray, asked: bool, split: np.ndarray | bool = False) -> pa.RecordBatch:
+    n = int(chosen.sum())
     return pa.record_batch(
         [pa.array(e["key"][chosen]), pa.array(e["first"][chosen].astype(np.int32)), pa.array(e["count"][chosen].astype(np.int32)),
-         pa.array(e["offset"][chosen].astype(np.int32)), pa.array(np.full(int(chosen.sum()), asked))],
-        ["key", "first", "count", "offset", "asked"],
+         pa.array(e["offset"][chosen].astype(np.int32)), pa.array(np.full(n, asked)),
+         pa.array(split[chosen] if isinstance(split, np.ndarray) else np.full(n, split))],
+        ["key", "first", "count", "offset", "asked", "split"],
     )
 
 
-_FOUND = "key long, first int, count int, offset int, asked boolean"
+_FOUND = "key long, first int, count int, offset int, asked boolean, split boolean"
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list[int], list[int], list[bytes]]]:
@@ -231,19 +240,34 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list
 
 
 def anchored(docs: DataFrame, ranges: int) -> DataFrame:
-    """(part, kind, blob): the runs of all documents, dealt by anchor; kind 0 are leaders, 1 followers.
+    """(part, kind, blob): the runs of all documents; kind 0 are leaders, 1 followers.
 
     Followers within one task are settled there, so a passage that very many documents share
-    costs one entry a task and context.
+    costs one entry a task and context. Entries are dealt by anchor. An anchor with many
+    contexts, as over the edges of such a passage, would fill its range: where it has more
+    than a range's share of a task's leaders, those are dealt by context (kind 2), and two
+    of them with different documents tell the anchor's range of it (kind 3).
     """
     shift = np.uint64(64 - (ranges.bit_length() - 1))
 
     def send(parts: list[dict]) -> Iterator[pa.RecordBatch]:
         e, follows = fold({name: np.concatenate([p[name] for p in parts]) for name in COLUMNS})
-        part = (e["anchor"] >> shift).astype(np.int64)  # entries are sorted by anchor
+        part = (e["anchor"] >> shift).astype(np.int64)
+        lead = np.flatnonzero(~follows)
+        heads, sizes = groups(e["anchor"][lead])
+        docs = e["doc"][lead]
+        lowest, highest = np.minimum.reduceat(docs, heads), np.maximum.reduceat(docs, heads)
+        crowd = (sizes > max(CROWD, len(lead) // ranges)) & (lowest != highest)
+        crowded, markers = np.zeros(len(part), bool), np.zeros(len(part), bool)
+        crowded[lead] = np.repeat(crowd, sizes)
+        for h, n in zip(heads[crowd].tolist(), sizes[crowd].tolist()):
+            markers[lead[h + docs[h : h + n].argmin()]] = markers[lead[h + docs[h : h + n].argmax()]] = True
+        by_context = ((e["context"] * _MIX ^ e["anchor"]) * _MIX >> shift).astype(np.int64)
         rows = []
-        for kind, chosen in ((0, ~follows), (1, follows)):
-            cut = np.searchsorted(part[chosen], np.arange(ranges + 1))
+        for kind, chosen, to in ((0, ~follows & ~crowded, part), (1, follows, part), (2, crowded, by_context), (3, markers, part)):
+            chosen = np.flatnonzero(chosen)
+            chosen = chosen[np.argsort(to[chosen], kind="stable")]
+            cut = np.searchsorted(to[chosen], np.arange(ranges + 1))
             chosen = {name: x[chosen] for name, x in e.items()}
             for p in np.flatnonzero(np.diff(cut)).tolist():
                 own = {name: x[cut[p] : cut[p + 1]] for name, x in chosen.items()}
@@ -276,17 +300,24 @@ def anchored(docs: DataFrame, ranges: int) -> DataFrame:
 def settle(frame: pd.DataFrame) -> pd.DataFrame:
     """Of one range of anchors: followers, and leaders whose strings must be compared.
 
-    Those are the leaders of anchors with two contexts and two documents at least.
+    Those are the leaders of anchors with two contexts and two documents at least. Anchors
+    that a task has split, or that are very many here, are marked: their strings will be
+    dealt one by one. The markers and the anchor's range agree on that for all its leaders.
     """
     local = unpack(frame.loc[frame["kind"] == 1, "blob"], COLUMNS)
-    e, follows = fold(unpack(frame.loc[frame["kind"] == 0, "blob"], COLUMNS))
-    tables = [_found(local, np.ones(len(local["doc"]), bool), False), _found(e, follows, False)]
+    dealt, late = fold(unpack(frame.loc[frame["kind"] == 2, "blob"], COLUMNS))
+    tables = [_found(local, np.ones(len(local["doc"]), bool), False), _found(dealt, late, False), _found(dealt, ~late, True, True)]
+    markers = unpack(frame.loc[frame["kind"] == 3, "blob"], COLUMNS)
+    e, follows = fold(unpack(frame.loc[frame["kind"].isin([0, 3]), "blob"], COLUMNS))
+    tables.append(_found(e, follows, False))
     e = {name: x[~follows] for name, x in e.items()}
     if len(e["doc"]):
-        heads = np.flatnonzero(np.append(True, e["anchor"][1:] != e["anchor"][:-1]))
-        sizes = np.diff(np.append(heads, len(e["doc"])))
-        several = np.repeat(np.minimum.reduceat(e["doc"], heads) != np.maximum.reduceat(e["doc"], heads), sizes)
-        tables.append(_found(e, several, True))
+        heads, sizes = groups(e["anchor"])
+        several = np.minimum.reduceat(e["doc"], heads) != np.maximum.reduceat(e["doc"], heads)
+        split = (sizes > CROWDED) | np.isin(e["anchor"][heads], markers["anchor"])
+        # A marker's own leader may be among the followers here, so its anchor is asked in any case.
+        asked = several | split
+        tables.append(_found(e, np.repeat(asked, sizes), True, np.repeat(split, sizes)))
     return pa.Table.from_batches(tables).to_pandas()
 
 
@@ -344,13 +375,42 @@ def covered(contexts: dict[str, np.ndarray], text: np.ndarray) -> dict[str, np.n
     heads = np.flatnonzero(np.append(True, ~equal))
     repeated = np.zeros(len(own), bool)
     repeated[by] = doc[by] > np.repeat(doc[by][heads], np.diff(np.append(heads, len(by))))
-    hit = np.flatnonzero(repeated)
+    return stretches(contexts, own, string, np.flatnonzero(repeated))
+
+
+def stretches(contexts: dict[str, np.ndarray], own: np.ndarray, string: np.ndarray, hit: np.ndarray) -> dict[str, np.ndarray]:
+    """The strings numbered ``hit``, in order, as (key, first, count): neighbours of one context together."""
     new = np.flatnonzero(np.append(True, (hit[1:] != hit[:-1] + 1) | (own[hit[1:]] != own[hit[:-1]]))) if len(hit) else hit
     first = hit[new]
     return {"key": contexts["key"][own[first]], "first": contexts["first"][own[first]] + string[first].astype(np.int32),
             "count": np.diff(np.append(new, len(hit))).astype(np.int32)}
 
 
+def single_strings(contexts: dict[str, np.ndarray], text: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray, dict[str, np.ndarray]]:
+    """Contexts cut into their strings: (strings as contexts of one, their bytes, their hashes,
+    what is settled). Of strings equal byte by byte those of the smallest document stay; the
+    others are settled, as (key, first, count)."""
+    count = contexts["count"].astype(np.int64)
+    own = np.repeat(np.arange(len(count)), count)
+    string = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    begin = np.cumsum(count + LENGTH - 1) - (count + LENGTH - 1)
+    rows = np.lib.stride_tricks.sliding_window_view(text, LENGTH)[begin[own] + string]
+    mixed = np.zeros(len(own), np.uint64)
+    for j in range(LENGTH):
+        mixed = (mixed ^ rows[:, j]) * _MIX
+        mixed ^= mixed >> np.uint64(32)
+    doc, offset = contexts["doc"][own], contexts["offset"][own] - string
+    by = np.lexsort((doc, offset, mixed))
+    same = (rows[by][1:] == rows[by][:-1]).all(1) & (offset[by][1:] == offset[by][:-1])
+    heads = np.flatnonzero(np.append(True, ~same))
+    follows = np.zeros(len(own), bool)
+    follows[by] = doc[by] > np.repeat(doc[by][heads], np.diff(np.append(heads, len(by))))
+    stay = np.flatnonzero(~follows)
+    strings = {"doc": doc[stay], "key": contexts["key"][own[stay]], "first": contexts["first"][own[stay]] + string[stay],
+               "count": np.ones(len(stay), np.int64), "offset": offset[stay]}
+    return strings, rows[stay], mixed[stay], stretches(contexts, own, string, np.flatnonzero(follows))
+
+
 def kept_bytes(text: bytes, first: list[int], count: list[int], whole: bool = False) -> tuple[bytes, int]:
     """What is left of a text without the strings that start at the given places, and the
     number of maximal removed stretches. With ``whole``, characters of which only a part
@@ -377,8 +437,10 @@ def deduplicated(docs: DataFrame, text: bool = True, whole: bool = False) -> Dat
     Strings meet at their anchor, one in about sixteen positions. Anchors are dealt to
     ranges of hash values. A context that an earlier document repeats as a whole is settled
     by its hash, first within a task and then within the range. The other contexts of shared
-    anchors are compared by suffix array, range by range. Texts move twice in the plan, by
-    the same exchange, and are never gathered.
+    anchors are compared by suffix array, range by range. An anchor with very many contexts
+    is not kept in one range: they are settled by context and then compared string by string,
+    dealt by the string's hash, after a task has folded its equal ones. Texts move twice in
+    the plan, by the same exchange, and are never gathered.
 
     Null texts are empty; a null doc_id neither removes nor loses anything. Equal rows keep
     what they keep alike, as no other id is smaller; rows of one doc_id with different texts
@@ -392,49 +454,75 @@ def deduplicated(docs: DataFrame, text: bool = True, whole: bool = False) -> Dat
         F.coalesce("text", F.lit("")).cast("binary").alias("text"),
     )
     found = staged(anchored(keyed, ranges).groupBy("part").applyInPandas(settle, _FOUND), "anchors").distinct()
-    asked = found.where("asked").groupBy("key").agg(F.collect_list(F.struct("first", "count", "offset")).alias("runs"))
+    asked = found.where("asked").groupBy("key").agg(F.collect_list(F.struct("first", "count", "offset", "split")).alias("runs"))
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shift = np.uint64(64 - (ranges.bit_length() - 1))
 
-        def send(entries: list[tuple], anchors: list[bytes], bodies: list[bytes]) -> pa.RecordBatch:
+        def dealt(kind: int, part: np.ndarray, columns: dict[str, np.ndarray], body) -> Iterator[tuple]:
+            for p in np.unique(part).tolist():
+                own = np.flatnonzero(part == p)
+                yield p, kind, pack({n: x[own] for n, x in columns.items()}, CONTEXTS), zstandard.ZstdCompressor(level=1).compress(body(own))
+
+        def by_anchor(entries: list[tuple], anchors: list[bytes], bodies: list[bytes]) -> Iterator[tuple]:
             columns = np.array(entries, np.int64).reshape(-1, 5)
             hashes = np.frombuffer(b"".join(anchors), np.uint8).reshape(-1, GRAM).astype(np.uint64)
             mixed = np.zeros(len(hashes), np.uint64)
             for j in range(GRAM):
                 mixed = (mixed ^ hashes[:, j]) * _MIX
                 mixed ^= mixed >> np.uint64(32)
-            part = (mixed >> shift).astype(np.int64)
-            rows = []
-            for p in np.unique(part).tolist():
-                own = np.flatnonzero(part == p)
-                rows.append((p, pack({n: columns[own, i] for i, n in enumerate(CONTEXTS)}, CONTEXTS),
-                             zstandard.ZstdCompressor(level=1).compress(b"".join([bodies[i] for i in own]))))
-            a, b, c = zip(*rows)
-            return pa.record_batch([pa.array(a, pa.int32()), pa.array(b, pa.binary()), pa.array(c, pa.binary())], ["part", "entries", "bodies"])
+            columns = {n: columns[:, i] for i, n in enumerate(CONTEXTS)}
+            return dealt(0, (mixed >> shift).astype(np.int64), columns, lambda own: b"".join([bodies[i] for i in own]))
 
-        entries, anchors, bodies = [], [], []
+        def by_string(entries: list[tuple], bodies: list[bytes]) -> Iterator[tuple]:
+            columns = np.array(entries, np.int64).reshape(-1, 5)
+            columns = {n: columns[:, i] for i, n in enumerate(CONTEXTS)}
+            strings, rows, mixed, settled = single_strings(columns, np.frombuffer(b"".join(bodies), np.uint8))
+            yield from dealt(0, (mixed >> shift).astype(np.int64), strings, lambda own: rows[own].tobytes())
+            settled |= {"doc": settled["key"], "offset": settled["key"] * 0}
+            yield from dealt(1, settled["key"] & (ranges - 1), settled, lambda own: b"")
+
+        def packed(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+            columns = list(zip(*rows))
+            if columns:
+                kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
+                yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], ["part", "kind", "entries", "bodies"])
+
+        entries, anchors, bodies, single, single_bodies = [], [], [], [], []
         for batch in batches:
             for doc, key, text, own in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 for r in own:
                     a, n, o = r["first"], r["count"], r["offset"]
+                    if r["split"]:
+                        single.append((doc, key, a, n, o))
+                        single_bodies.append(text[a : a + n + LENGTH - 1])
+                        if len(single) >= HELD // 128:
+                            yield from packed(by_string(single, single_bodies))
+                            single, single_bodies = [], []
+                        continue
                     entries.append((doc, key, a, n, o))
                     anchors.append(text[a + o : a + o + GRAM])
                     bodies.append(text[a : a + n + LENGTH - 1])
                 if len(entries) >= HELD // 8:
-                    yield send(entries, anchors, bodies)
+                    yield from packed(by_anchor(entries, anchors, bodies))
                     entries, anchors, bodies = [], [], []
         if entries:
-            yield send(entries, anchors, bodies)
+            yield from packed(by_anchor(entries, anchors, bodies))
+        if single:
+            yield from packed(by_string(single, single_bodies))
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        body = b"".join(zstandard.ZstdDecompressor().decompress(x) for x in frame["bodies"])
-        return pd.DataFrame(covered(unpack(frame["entries"], CONTEXTS), np.frombuffer(body, np.uint8)))
+        settled, frame = unpack(frame.loc[frame["kind"] == 1, "entries"], CONTEXTS), frame[frame["kind"] == 0]
+        out = pd.DataFrame({name: settled[name] for name in ("key", "first", "count")})
+        if len(frame):
+            body = b"".join(zstandard.ZstdDecompressor().decompress(x) for x in frame["bodies"])
+            out = pd.concat([out, pd.DataFrame(covered(unpack(frame["entries"], CONTEXTS), np.frombuffer(body, np.uint8)))])
+        return out
 
     span = "key long, first int, count int"
     compared = (
         keyed.join(asked, keyed["row_key"] == asked["key"]).select("doc_id", "row_key", "text", "runs")
-        .mapInArrow(contexts, "part int, entries binary, bodies binary")
+        .mapInArrow(contexts, "part int, kind int, entries binary, bodies binary")
         .groupBy("part").applyInPandas(compare, span)
     )
     spans = found.where("not asked").select("key", "first", "count").union(compared)

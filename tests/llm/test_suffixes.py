@@ -46,9 +46,11 @@ def brute(rows):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("piece", [1 << 20, 700])
-def test_removal_against_brute_force(documents, monkeypatch, piece):
-    monkeypatch.setattr(suffixes, "PIECE", piece)
+@pytest.mark.parametrize("limits", [{}, {"PIECE": 700}, {"CROWD": 1}, {"CROWDED": 1}, {"CROWD": 3, "CROWDED": 4}])
+def test_removal_against_brute_force(documents, monkeypatch, limits):
+    """In one piece and in several, with anchors kept whole, split by tasks and by ranges."""
+    for name, value in limits.items():
+        monkeypatch.setattr(suffixes, name, value)
     random.seed(11)
     passage, line = prose(1, 40), "é" * 30 + " end of line.\n"
     rows = [(1, passage), (2, "x" + passage + "y"), (3, passage[:200] + "Z" + passage[201:]), (4, line * 30), (5, line * 3 + "tail"),
@@ -63,6 +65,34 @@ def test_removal_against_brute_force(documents, monkeypatch, piece):
     assert sorted(((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got), key=str) == brute(rows)
 
 
+def test_crowded_anchor_is_dealt_over_ranges(documents, monkeypatch):
+    """One passage behind a different word in each of many documents."""
+    monkeypatch.setattr(suffixes, "CROWD", 4)
+    passage = prose(1, 20)
+    rows = [(k, f"{k * 7919 % 10007:05d}{'ab'[k % 2]} {passage} {k * 104729 % 100003:05d}") for k in range(300)]
+    docs = documents(rows).repartition(4)
+    ranges = 64
+    keyed = docs.selectExpr("doc_id", "doc_id as row_key", "cast(text as binary) text")
+    blobs = suffixes.anchored(keyed, ranges).collect()
+    sizes = {}
+    for b in blobs:
+        if b["kind"] in (0, 2):
+            sizes[b["part"]] = sizes.get(b["part"], 0) + len(suffixes.unpack([b["blob"]], suffixes.COLUMNS)["doc"])
+    assert any(b["kind"] == 2 for b in blobs) and max(sizes.values()) < sum(sizes.values()) / 8
+    got = deduplicated(docs).collect()
+    assert sorted(((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got), key=str) == brute(rows)
+
+
+def test_strings_of_a_context():
+    texts = [b"0123" + b"q" * 26 + b"the anchor is here now and more of it", b"xyz3" + b"q" * 26 + b"the anchor is here now and more of it"]
+    n = len(texts[0]) - 49
+    contexts = {"doc": [4, 2], "key": [40, 20], "first": [100, 0], "count": [n, n], "offset": [30, 30]}
+    strings, rows, mixed, settled = suffixes.single_strings({k: np.array(v) for k, v in contexts.items()}, np.frombuffer(b"".join(texts), np.uint8))
+    assert len(rows) == len(mixed) == len(strings["doc"]) == n + 3
+    assert {k: v.tolist() for k, v in settled.items()} == {"key": [40], "first": [103], "count": [n - 3]}
+    assert strings["offset"].tolist() == [30, 29, 28, *range(30, 30 - n, -1)]
+
+
 def test_whole_characters_are_kept():
     text = ("é" * 60).encode()
     assert kept_bytes(text, [1], [1], True)[0].decode() == "é" * (60 - 24)
