@@ -12,14 +12,19 @@ from fleetpulse.operators.relations import evaluate_once
 REASON = "rejection_reason"
 
 
-def require_columns(df: DataFrame) -> DataFrame:
-    """``df`` itself, or ValueError naming the columns it lacks."""
+def missing_columns(df: DataFrame) -> list[str]:
+    """Names of the columns a maintenance log must have and ``df`` lacks."""
     needed = {"equipo_id", "tipo_falla"}
     if "fecha_mantenimiento" not in df.columns:
         needed.add("fecha")
-    missing = needed - set(df.columns)
+    return sorted(needed - set(df.columns))
+
+
+def require_columns(df: DataFrame) -> DataFrame:
+    """``df`` itself, or ValueError naming the columns it lacks."""
+    missing = missing_columns(df)
     if missing:
-        raise ValueError(f"maintenance log lacks columns: {', '.join(sorted(missing))}")
+        raise ValueError(f"maintenance log lacks columns: {', '.join(missing)}")
     return df
 
 

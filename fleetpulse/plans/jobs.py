@@ -2,46 +2,67 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from fleetpulse.constants import ALERT_MINUTES, GPS_DATASET, MAINTENANCE_DATASET, MAINTENANCE_MINUTES
 from fleetpulse.operators.maintenance import (
-    ingest_summary, normalize_maintenance, require_columns, with_maintenance_reasons,
+    ingest_summary, missing_columns, normalize_maintenance, require_columns, with_maintenance_reasons,
 )
 from fleetpulse.operators.quality import DATASETS, dq_metrics
 from fleetpulse.operators.signal import (
     alert_payload, auto_maintenance_records, signal_loss_alert, signal_loss_maintenance, signal_sweep_summary,
 )
+from fleetpulse.operators.relations import union_by_name
 from fleetpulse.sources.last_seen import read_last_seen
-from fleetpulse.sources.readers import read_auto_maintenance, read_maintenance_csv, read_silver
+from fleetpulse.sources.readers import maintenance_layouts, read_auto_maintenance, read_maintenance_csv, read_silver
 from fleetpulse.sources.schemas import GPS_SILVER, MAINTENANCE_SILVER
 from fleetpulse.sources.storage import checkpointed
 from fleetpulse.sources.writers import (
-    append_auto_maintenance, write_quality_metrics, write_rejected_maintenance, write_silver_maintenance,
+    append_auto_maintenance, partition_folder, write_quality_metrics, write_rejected_maintenance, write_silver_maintenance,
 )
 
 
-def ingest_frame(raw: DataFrame, silver: str, rejected: str) -> DataFrame:
+def ingest_frames(layouts: Sequence[DataFrame], silver: str, rejected: str) -> DataFrame:
     """Cleans, validates and stores raw maintenance rows; returns the per-file summary.
 
-    The rows are parsed and judged once, into the shared folder, so that summary, valid and
-    rejected rows agree even if a file changes meanwhile. The summary, one row per file, is
-    kept: it tells which files lost all their valid or all their rejected rows.
+    Each layout is judged by the columns it has. Rows of one without a required column are
+    all rejected, with the columns' names; if no layout has them, nothing is taken in and
+    ValueError says what is missing. The rows are parsed and judged once, into the shared
+    folder, so that summary, valid and rejected rows agree even if a file changes meanwhile.
+    The summary, one row per file, is kept: it tells which files lost all their valid or all
+    their rejected rows, and as ``silver_key`` where a file's valid rows are stored.
     """
-    checked = checkpointed(with_maintenance_reasons(normalize_maintenance(require_columns(raw))))
+    fit = [df for df in layouts if not missing_columns(df)] or [require_columns(layouts[0])]
+    judged = union_by_name([with_maintenance_reasons(normalize_maintenance(df)) for df in fit])
+    unfit = [
+        normalize_maintenance(df).withColumn("rejection_reason", F.lit(f"missing_columns:{','.join(missing_columns(df))}"))
+        for df in layouts if missing_columns(df)
+    ]
+    checked = checkpointed(union_by_name([judged, *unfit]))
     bad = F.col("rejection_reason").isNotNull()
-    summary = checkpointed(ingest_summary(checked))
-    write_silver_maintenance(checked.filter(~bad).drop("rejection_reason"), silver, summary)
+    summary = checkpointed(ingest_summary(checked).withColumn("silver_key", partition_folder(silver, "source_file")))
+    write_silver_maintenance(checked.filter(~bad).select(*judged.columns).drop("rejection_reason"), silver, summary)
     write_rejected_maintenance(checked.filter(bad), rejected, summary)
     return summary
 
 
+def ingest_frame(raw: DataFrame, silver: str, rejected: str) -> DataFrame:
+    """As ``ingest_frames`` for rows of one layout."""
+    return ingest_frames([raw], silver, rejected)
+
+
 def ingest_maintenance(
-    spark: SparkSession, path: str | list[str], silver: str, rejected: str, mixed_headers: bool = False
+    spark: SparkSession, path: str | list[str], silver: str, rejected: str, mixed_headers: bool = True
 ) -> DataFrame:
-    """CSV files to the maintenance table and the rejected zone."""
-    return ingest_frame(read_maintenance_csv(spark, path, mixed_headers), silver, rejected)
+    """CSV files to the maintenance table and the rejected zone, each by its own header.
+
+    ``mixed_headers=False`` saves the pass that finds the headers where all files share one.
+    """
+    layouts = maintenance_layouts(spark, path) if mixed_headers else [read_maintenance_csv(spark, path)]
+    return ingest_frames(layouts, silver, rejected)
 
 
 def signal_sweep(

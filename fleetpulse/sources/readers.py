@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from fleetpulse.constants import AUTO_SOURCE, CSV_NULL_TOKENS
@@ -41,6 +41,11 @@ def read_telemetry(spark: SparkSession, path: str, arrival: str = "processing")
     return unwrap_envelope(spark.read.text(path), arrival=arrival)
 
 
+def listed_path(file: Column) -> Column:
+    """A path to read from the encoded one in a row's metadata; a plus sign stands for itself."""
+    return F.url_decode(F.replace(file, F.lit("+"), F.lit("%2B")))
+
+
 def csv_cells(df: DataFrame) -> DataFrame:
     """Missing-value words to NULL, and the file each row came from."""
     cells = [F.when(~F.col(f"`{c}`").isin(CSV_NULL_TOKENS), F.col(f"`{c}`")).alias(c) for c in df.columns if c != "source_file"]
@@ -57,6 +62,11 @@ def read_maintenance_csv(spark: SparkSession, path: str | list[str], mixed_heade
     """
     if not mixed_headers:
         return csv_cells(spark.read.options(**CSV_OPTIONS).csv(path))
+    return union_by_name(maintenance_layouts(spark, path))
+
+
+def maintenance_layouts(spark: SparkSession, path: str | list[str]) -> list[DataFrame]:
+    """The CSV files as one frame per header that occurs among them."""
     lines = spark.read.text(path).select(
         "value",
         F.col("_metadata.file_path").alias("file"),
@@ -68,13 +78,12 @@ def read_maintenance_csv(spark: SparkSession, path: str | list[str], mixed_heade
         .groupBy("file")
         .agg(F.min_by("value", "position").alias("header"))
     )
-    # One row per input file, like the file listing the driver already holds.
-    layouts: dict[str, list[str]] = {}
-    for row in headers.toLocalIterator():
-        layouts.setdefault(row["header"], []).append(row["file"])
-    if not layouts:
+    # One row per layout, with the names of its files, which the driver's listing holds anyway.
+    layouts = headers.groupBy("header").agg(F.sort_array(F.collect_list(listed_path(F.col("file")))).alias("files")).orderBy("header")
+    frames = [csv_cells(spark.read.options(**CSV_OPTIONS).csv(row["files"])) for row in layouts.toLocalIterator()]
+    if not frames:
         raise ValueError(f"no CSV header found under {path}")
-    return union_by_name([csv_cells(spark.read.options(**CSV_OPTIONS).csv(files)) for _, files in sorted(layouts.items())])
+    return frames
 
 
 def read_silver(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:

@@ -15,7 +15,7 @@ from fleetpulse.functions.moments import moment
 from fleetpulse.operators.signal import sweep_name
 from fleetpulse.operators.telemetry import hour_partition_columns
 from fleetpulse.sources.schemas import GPS_SILVER, MAINTENANCE_SILVER, PING_PARTITIONS
-from fleetpulse.sources.storage import delete, exists
+from fleetpulse.sources.storage import child_names, delete
 
 _REPLACE_PARTITIONS = {"partitionOverwriteMode": "dynamic"}
 
@@ -132,16 +132,28 @@ def write_rejected_maintenance(rejected: DataFrame, path: str, ingested: DataFra
         _drop_partitions(path, ingested.filter("rejected = 0"))
 
 
+# What Spark writes as % and two hexadecimal digits in a partition's folder name.
+_ENCODED = "%\"#'*/:=?\\{[]^\x7f" + "".join(map(chr, range(1, 32)))
+
+
+def partition_folder(path: str, column: str) -> Column:
+    """The folder below ``path`` that holds the rows with this row's value of ``column``."""
+    value = F.col(column)
+    for character in _ENCODED:  # the percent sign comes first
+        value = F.replace(value, F.lit(character), F.lit(f"%{ord(character):02X}"))
+    return F.concat(F.lit(f"{path}/{column}="), value)
+
+
 def _drop_partitions(path: str, files: DataFrame) -> None:
-    """Removes the partitions of ``files``, one row per input file, where they exist."""
+    """Removes the partitions of ``files``, one row per input file, where they exist.
+
+    The table is listed once; only partitions that are there and stale come back.
+    """
     spark = files.sparkSession
-    if not exists(spark, path):
-        return
-    escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    for row in files.select("source_file").toLocalIterator():
-        stale = f"{path}/source_file={escape(row['source_file'])}"
-        if exists(spark, stale):
-            delete(spark, stale)
+    stored = [(f"{path}/{name}",) for name in child_names(spark, path)]
+    stale = files.select(partition_folder(path, "source_file").alias("folder"))
+    for row in spark.createDataFrame(stored, "folder string").join(stale, "folder").toLocalIterator():
+        delete(spark, row["folder"])
 
 
 def write_quality_metrics(metrics: DataFrame, path: str) -> None:

@@ -115,8 +115,10 @@ def test_ingest_is_repeatable_and_drops_what_went_bad(spark, tmp_path):
     csv_file(folder, "a.csv", HEADER, "cam_001,2026-05-20,Motor,alta", "cam_002,20/05/2026,Motor,URGENTE")
     csv_file(folder, "b.csv", HEADER, "cam_003,2026-05-20,Motor,baja")
     for _ in range(2):
-        summary = {os.path.basename(r["source_file"]): tuple(r)[1:] for r in ingest_maintenance(spark, str(folder), silver, rejected).collect()}
+        rows = ingest_maintenance(spark, str(folder), silver, rejected).collect()
+        summary = {os.path.basename(r["source_file"]): (r["total"], r["valid"], r["rejected"]) for r in rows}
     assert summary == {"a.csv": (2, 1, 1), "b.csv": (1, 1, 0)}
+    assert all(spark.read.parquet(r["silver_key"]).count() == r["valid"] for r in rows)
     assert sorted(r["equipo_id"] for r in read_silver(spark, silver, MAINTENANCE_SILVER).collect()) == ["CAM_001", "CAM_003"]
     assert [r["rejection_reason"] for r in spark.read.json(rejected).collect()] == ["invalid_criticidad:URGENTE"]
 
@@ -127,6 +129,23 @@ def test_ingest_is_repeatable_and_drops_what_went_bad(spark, tmp_path):
     assert [r["rejection_reason"] for r in spark.read.json(rejected).collect()] == ["invalid_fecha_mantenimiento"]
 
 
+def test_each_file_is_ingested_by_its_own_header(spark, tmp_path):
+    folder, silver, rejected = tmp_path / "in", str(tmp_path / "silver"), str(tmp_path / "rejected")
+    csv_file(folder, "a +%b.csv", HEADER, "A,2026-05-20,x,ALTA", "A,2026-05-20,x,URGENTE")
+    csv_file(folder, "b.csv", "criticidad,tipo_falla,fecha_mantenimiento,equipo_id", "BAJA,y,2026-05-21,B")
+    csv_file(folder, "c.csv", "equipo_id,fecha,nota", "C,2026-05-22,n", "C,2026-05-23,n")
+    csv_file(folder, "d.csv", "equipo_id,fecha,tipo_falla", "D,2026-05-24,z")
+    for _ in range(2):
+        rows = ingest_maintenance(spark, str(folder), silver, rejected).collect()
+    assert sorted((r["total"], r["valid"], r["rejected"]) for r in rows) == [(1, 1, 0), (1, 1, 0), (2, 0, 2), (2, 1, 1)]
+    assert all(os.path.exists(r["silver_key"]) == (r["valid"] > 0) for r in rows)
+    stored = spark.read.parquet(silver)
+    assert "nota" not in stored.columns
+    assert sorted((r["equipo_id"], r["fecha_mantenimiento"]) for r in stored.collect()) == [("A", "2026-05-20"), ("B", "2026-05-21"), ("D", "2026-05-24")]
+    reasons = sorted((r["equipo_id"], r["rejection_reason"]) for r in spark.read.json(rejected).collect())
+    assert reasons == [("A", "invalid_criticidad:URGENTE")] + 2 * [("C", "missing_columns:tipo_falla")]
+
+
 def test_ingest_names_missing_columns(spark, tmp_path):
     csv_file(tmp_path / "in", "a.csv", "equipo_id,criticidad", "A,ALTA")
     with pytest.raises(ValueError, match="fecha, tipo_falla"):

@@ -153,6 +153,17 @@ def test_silent_devices_are_given_out_like_in_batch(spark, tmp_path):
     assert got == sorted(tuple(r) for r in batch.collect()) and [r[4] for r in got] == [2, 1, 2]
 
 
+def test_maintenance_files_of_other_layouts_do_not_stop_the_stream(spark, tmp_path):
+    paths = [str(tmp_path / p) for p in ("silver", "rejected", "check")]
+    drop(tmp_path / "csv", "a.csv", "equipo_id,fecha,tipo_falla,criticidad", "cam_001,2026-05-20,Motor,alta")
+    drop(tmp_path / "csv", "b.csv", "criticidad,equipo_id,fecha,tipo_falla", "baja,cam_002,2026-05-20,Motor")
+    drop(tmp_path / "csv", "c.csv", "equipo_id,fecha", "cam_003,2026-05-20")
+    for _ in range(2):
+        ingest_maintenance_stream(spark, str(tmp_path / "csv"), None, *paths).awaitTermination()
+    assert sorted(r["equipo_id"] for r in read_silver(spark, paths[0], MAINTENANCE_SILVER).collect()) == ["CAM_001", "CAM_002"]
+    assert [r["rejection_reason"] for r in spark.read.json(paths[1]).collect()] == ["missing_columns:tipo_falla"]
+
+
 def test_new_maintenance_files_are_taken_once(spark, tmp_path):
     schema = T.StructType([T.StructField(c, T.StringType()) for c in ("equipo_id", "fecha", "tipo_falla", "criticidad")])
     paths = [str(tmp_path / p) for p in ("silver", "rejected", "check")]
