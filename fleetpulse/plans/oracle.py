@@ -426,13 +426,16 @@ ORACLE: dict[str, str] = {
         FROM coded WHERE code IS NOT NULL GROUP BY code""",
     "read_rejected": f"""WITH {_CHECKED} SELECT equipo_id, latitude, longitude, "timestamp", date_trunc('millisecond', arrival_ts) AS arrival_ts, rejection_reason, TRUE AS raw_kept
         FROM checked WHERE rejection_reason IS NOT NULL""",
+    "rejected_sample_facts": f"""WITH {_CHECKED} SELECT least(5, count(*)) AS n, TRUE AS all_with_reason, TRUE AS all_from_newest
+        FROM coded WHERE code IS NOT NULL""",
     "write_silver_maintenance": f"""WITH {_LOG} SELECT source_file, criticidad, count(*) AS n, max(fecha_mantenimiento) AS last_date
         FROM judged WHERE rejection_reason IS NULL GROUP BY source_file, criticidad""",
     "write_rejected_maintenance": f"""WITH {_LOG} SELECT source_file, rejection_reason, count(*) AS n
         FROM judged WHERE rejection_reason IS NOT NULL GROUP BY source_file, rejection_reason""",
     "ingest_maintenance": f"""WITH {_LOG} SELECT replace(source_file, '.csv', '') AS batch, count(*) AS total,
-        count(*) FILTER (WHERE rejection_reason IS NULL) AS valid, count(*) FILTER (WHERE rejection_reason IS NOT NULL) AS rejected
-        FROM judged GROUP BY batch""",
+        count(*) FILTER (WHERE rejection_reason IS NULL AND NOT lacking) AS valid,
+        count(*) FILTER (WHERE rejection_reason IS NOT NULL OR lacking) AS rejected
+        FROM (SELECT *, source_file = 'mant_6.csv' AND order_id % 2 = 0 AS lacking FROM judged) GROUP BY batch""",
     "upsert_last_seen": f"WITH {_PINGS} SELECT equipo_id, max(event_ts) AS last_seen FROM pings GROUP BY equipo_id",
     "read_last_seen": f"WITH {_PINGS} SELECT equipo_id, max(event_ts) AS last_seen FROM pings GROUP BY equipo_id",
     "append_auto_maintenance": f"""WITH {_MAINTENANCE}, {_PINGS}, {_LAST} SELECT equipo_id, count(*) AS fallas_alta FROM (

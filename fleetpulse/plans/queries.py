@@ -583,6 +583,20 @@ def rejected_sample(spark, sf):
     return readers.rejected_sample(spark, _rejected_zone(spark, sf)).select("equipo_id", "latitude", "longitude", "rejection_reason")
 
 
+@query
+def rejected_sample_facts(spark, sf):
+    """What holds of the sample whichever file is the newest."""
+    path = _rejected_zone(spark, sf)
+    sample = readers.rejected_sample(spark, path).withColumn("row", F.monotonically_increasing_id())
+    stored = readers.read_rejected(spark, path)
+    newest = stored.agg(F.max(F.struct("modified", "file")).alias("newest")).select("newest.file")
+    known = stored.join(newest, "file", "left_semi").select("_raw").distinct()
+    return sample.join(known.withColumn("known", F.lit(True)), "_raw", "left").agg(
+        F.count_distinct("row").alias("n"), F.bool_and(F.col("rejection_reason").isNotNull()).alias("all_with_reason"),
+        F.bool_and(F.col("known").isNotNull()).alias("all_from_newest"),
+    )
+
+
 @query
 def write_silver_maintenance(spark, sf):
     """Ingested twice; the second run replaces the first."""
@@ -607,11 +621,22 @@ def write_rejected_maintenance(spark, sf):
 
 @query
 def ingest_maintenance(spark, sf):
-    """CSV files in, per-file summary out; the files are one per batch of orders."""
+    """CSV files in, per-file summary out; the files are those of batches of orders.
+
+    Some have their columns in another order, and half of the last batch lacks one.
+    """
     folder, out = scratch(spark, "csv"), scratch(spark, "ingest")
-    data.raw_maintenance(spark, sf).drop("order_id").write.option("header", True).option(
-        "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).partitionBy("source_file").csv(folder)
-    summary = jobs.ingest_maintenance(spark, folder, f"{out}/silver", f"{out}/rejected")
+    log = data.raw_maintenance(spark, sf)
+    batch, even = F.regexp_extract("source_file", "[0-9]+", 0).cast("int"), F.col("order_id") % 2 == 0
+    layouts = {
+        "plain": log.filter(batch < 3).drop("order_id"),
+        "turned": log.filter((batch >= 3) & ~((batch == 6) & even)).select("criticidad", "tipo_falla", "fecha", "equipo_id", "source_file"),
+        "short": log.filter((batch == 6) & even).drop("order_id", "tipo_falla"),
+    }
+    for name, rows in layouts.items():
+        rows.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option(
+            "ignoreTrailingWhiteSpace", False).partitionBy("source_file").csv(f"{folder}/{name}")
+    summary = jobs.ingest_maintenance(spark, f"{folder}/*/*", f"{out}/silver", f"{out}/rejected")
     batch = F.regexp_extract("source_file", "source_file=(mant_[0-9]+)", 1)
     return summary.groupBy(batch.alias("batch")).agg(*[F.sum(c).alias(c) for c in ("total", "valid", "rejected")])
 
