@@ -216,9 +216,18 @@ def distinct_documents(docs: DataFrame, size: int = 3, threshold: int = 3) -> Da
     Of rows with that id, or of rows without any, the one with the smallest row key stays;
     of equal rows one.
     """
-    found = near_duplicates(docs, size, threshold)
+    return first_of_groups(docs, near_duplicates(docs, size, threshold))
+
+
+def one_of_equals(docs: DataFrame) -> DataFrame:
+    """One of each set of equal rows of ``docs``, with its row key as _row."""
+    numbered = docs.withColumn("_row", row_key(docs))
+    return numbered.withColumn("_copy", F.row_number().over(Window.partitionBy("_row").orderBy("_row"))).where("_copy = 1")
+
+
+def first_of_groups(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The row of ``docs`` with the smallest doc_id for each root in ``found`` (doc_id, row_key, root)."""
     first = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "row_key")).alias("first")
     keep = found.groupBy("root").agg(first).select(F.col("first.row_key").alias("_key"))
-    numbered = docs.withColumn("_row", row_key(docs))
-    once = numbered.withColumn("_copy", F.row_number().over(Window.partitionBy("_row").orderBy("_row"))).where("_copy = 1")
+    once = one_of_equals(docs)
     return once.join(keep, F.col("_row") == F.col("_key"), "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
