@@ -46,26 +46,38 @@ MARKS = ("licens", "permission", "copyright", "warranty", "redistribut", "reserv
 BOUNDARY = "[.!?]+[\\x20\\x09-\\x0D]+|[\\n\\r]+"
 
 
+# What standard headers make of a known sentence, with its identifier.
+FORMS = {
+    "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license": "apache2-notice",
+    "licensed under the apache license version 2 0 the license": "apache2-notice",
+}
+# In a wrapped text a line feed may stand within a sentence; terminators and blank lines may not.
+HARD = "\x01"
+ENDS = "[.!?]+[\\x20\\x09-\\x0D]+|\\n[^a-z0-9\\n]*\\n"
+
+
 def sentence_ids(text: Column) -> Column:
-    """Identifiers of the known sentences of a text, in order."""
+    """Identifiers of the known sentences of a text, in order.
+
+    A known sentence is a run of whole lines, or of parts of lines that terminators cut off,
+    without a terminator or blank line inside; comment signs count as blanks.
+    """
     lowered = F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
     marked = F.lit(False)
     for mark in MARKS:
         marked = marked | lowered.contains(mark)
-    normal = lambda s: F.trim(F.regexp_replace(s, "[^a-z0-9]+", " "))
-    known = F.create_map(*(F.lit(x) for name, s in SENTENCES.items() for x in (s, name)))
-    likely = F.filter(F.split(lowered, BOUNDARY), lambda s: _any(s))
-    ids = F.filter(F.transform(likely, lambda s: F.element_at(known, normal(s))), lambda x: x.isNotNull())
+    forms = {s: name for name, s in SENTENCES.items()} | FORMS
+    lines = F.regexp_replace(F.translate(lowered, HARD, " "), "\\r\\n?", "\n")
+    lines = F.concat(F.lit(HARD), F.regexp_replace(lines, ENDS, HARD), F.lit(HARD))
+    for pattern, by in (("[^a-z0-9\\n\\x01]+", " "), ("[ \\n]*\\x01[ \\n\\x01]*", HARD), (" *\\n[ \\n]*", "\n")):
+        lines = F.regexp_replace(lines, pattern, by)
+    any_form = "|".join(s.replace(" ", "[ \\n]") for s in sorted(forms, key=len, reverse=True))
+    found = F.regexp_extract_all(lines, F.lit(f"(?<=[\\n\\x01])({any_form})(?=[\\n\\x01])"), F.lit(1))
+    known = F.create_map(*(F.lit(x) for pair in forms.items() for x in pair))
+    ids = F.transform(found, lambda s: F.element_at(known, F.translate(s, "\n", " ")))
     return F.when(marked, ids).otherwise(F.array().cast("array<string>"))
 
 
-def _any(sentence: Column) -> Column:
-    found = F.lit(False)
-    for mark in MARKS:
-        found = found | sentence.contains(mark)
-    return found
-
-
 def licenses(docs: DataFrame) -> DataFrame:
     """(doc_id, sentences, licenses, n_sentences) for every row of ``docs`` (doc_id, text).
 
