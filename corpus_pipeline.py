@@ -13,7 +13,7 @@ from fleetpulse.llm.common import staged, table
 from fleetpulse.llm.decontaminate import decontaminated
 from fleetpulse.llm.mixing import take
 from fleetpulse.llm.quality import quality_filter
-from fleetpulse.llm.resemblance import dissimilar_documents
+from fleetpulse.llm.simhash import distinct_documents
 from fleetpulse.llm.suffixes import deduplicated_documents
 
 
@@ -23,8 +23,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group, the one with the smallest id."""
-    return dissimilar_documents(docs)
+    """One document of each group whose fingerprints are linked, the one with the smallest id.
+
+    Three-word shingles and at most three differing bits, as in the operator's contract.
+    """
+    return distinct_documents(docs, size=3, threshold=3)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
