@@ -13,6 +13,9 @@ WEIGHTS = (1, 2, 3)  # dealt to the sources in order, again and again
 MOST_COPIES = 3
 BLOCK = 4096  # units that one flight moves
 NEAR = 1e-9  # a probability so close to 0 or 1 is that
+FEW = 16  # undecided units of a source of which the landing tries every choice
+PAIRED = 256  # units whose pairs the landing tries with each other unit
+EQUAL_ROWS = 65536  # of a set of equal rows, so many at most are one unit
 
 
 def flight(size: np.ndarray, prob: np.ndarray, random: np.random.Generator) -> np.ndarray:
@@ -44,8 +47,8 @@ def landing(size: np.ndarray, start: np.ndarray, prob: np.ndarray) -> np.ndarray
     """Decides the two units at most that a flight leaves, nearest to the total of ``start``.
 
     A very large document stays undecided to the end and cannot be met by the other unit.
-    So units of the same flight are then turned over, always the one that helps most, as
-    long as the total comes nearer.
+    So units of the same flight are then turned over: the one, two or three that together
+    bring the total nearest, as long as it comes nearer. Of few units every choice is tried.
     """
     prob = prob.copy()
     free, left = np.flatnonzero((start > NEAR) & (start < 1 - NEAR)), np.flatnonzero((prob > NEAR) & (prob < 1 - NEAR))
@@ -54,16 +57,56 @@ def landing(size: np.ndarray, start: np.ndarray, prob: np.ndarray) -> np.ndarray
     prob[left] = min(choices, key=lambda x: abs(float((size[left] * (x - prob[left])).sum())))
     while len(free):
         gap = want - float((size * prob).sum())
-        after = np.abs(gap - size[free] * (1 - 2 * prob[free]))
-        best = int(after.argmin())
-        if after[best] > abs(gap) - 0.5:
+        turn = exchange(size[free] * (1 - 2 * prob[free]), gap)
+        if not len(turn):
             break
-        prob[free[best]] = 1 - prob[free[best]]
+        prob[free[turn]] = 1 - prob[free[turn]]
     return prob
 
 
+def exchange(change: np.ndarray, gap: float) -> np.ndarray:
+    """Up to three units (all, where there are few) whose changes add up nearest to ``gap``.
+
+    Empty if none comes nearer than leaving all as they are. Sums of two are sorted and
+    searched; a third is tried with the pairs of PAIRED units, taken evenly from all sizes.
+    """
+    n, none = len(change), np.zeros(0, np.int64)
+    if n <= FEW:
+        masks = np.arange(1 << n)
+        sums = ((masks[:, None] >> np.arange(n) & 1) * change).sum(1)
+        best = int(np.abs(gap - sums).argmin())
+        return np.flatnonzero(best >> np.arange(n) & 1) if abs(gap - sums[best]) < abs(gap) - 0.5 else none
+
+    def nearest(values: np.ndarray, wanted: np.ndarray, clash) -> tuple[float, int, int]:
+        """(miss, position in wanted, position in values), values being sorted."""
+        at = np.searchsorted(values, wanted)
+        found = (np.inf, 0, 0)
+        for step in (-2, -1, 0, 1):
+            there = np.clip(at + step, 0, len(values) - 1)
+            miss = np.where(clash(there), np.inf, np.abs(wanted - values[there]))
+            k = int(miss.argmin())
+            found = min(found, (float(miss[k]), k, int(there[k])))
+        return found
+
+    order = np.argsort(change, kind="stable")
+    one = int(np.abs(gap - change).argmin())
+    tries = [(abs(gap - change[one]), [one])]
+    ranked, each = change[order], np.arange(n)
+    miss, i, j = nearest(ranked, gap - change, lambda there: order[there] == each)
+    tries.append((miss, [i, int(order[j])]))
+    some = order[np.unique(np.linspace(0, n - 1, min(n, PAIRED)).astype(np.int64))]
+    first, second = np.triu_indices(len(some), 1)
+    first, second = some[first], some[second]
+    by_sum = np.argsort(change[first] + change[second], kind="stable")
+    first, second = first[by_sum], second[by_sum]
+    miss, i, j = nearest(change[first] + change[second], gap - change, lambda there: (first[there] == each) | (second[there] == each))
+    tries.append((miss, [i, int(first[j]), int(second[j])]))
+    miss, turn = min(tries, key=lambda t: (t[0], len(t[1])))
+    return np.array(turn) if miss < abs(gap) - 0.5 else none
+
+
 def _fly(group: pd.DataFrame) -> pd.DataFrame:
-    group = group.sort_values(["order", "doc_id", "size"], ignore_index=True)
+    group = group.sort_values(["order", "row_key", "chunk", "doc_id", "size"], ignore_index=True)
     size, prob = group["size"].to_numpy(float), group["prob"].to_numpy(float)
     random = np.random.default_rng([int(group["seed"].iloc[0]) % 2**32, len(group)])
     prob = flight(size, prob, random)
@@ -73,7 +116,7 @@ def _fly(group: pd.DataFrame) -> pd.DataFrame:
 
 
 def source_targets(sizes: DataFrame) -> DataFrame:
-    """(source, source_size, n, target) from rows (source, size).
+    """(source, source_size, units, target) from rows (source, size, equal), equal counting copies.
 
     Sources in order of code point, null last, take the weights in turn and share the sum
     of all sizes; a target stops at three times its source's size and what is over is shared
@@ -81,10 +124,12 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     but sums.
     """
     spark = sizes.sparkSession
-    totals = staged(sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n")), "sources")
+    totals = staged(sizes.groupBy("source").agg(
+        F.sum(F.col("size") * F.col("equal")).alias("source_size"), F.sum(F.ceil(F.col("equal") / EQUAL_ROWS)).alias("units")
+    ), "sources")
     ordered = totals.orderBy(F.col("source").asc_nulls_last()).rdd.zipWithIndex()
     rows = ordered.map(lambda x: (*x[0], WEIGHTS[x[1] % len(WEIGHTS)]))
-    weighted = staged(spark.createDataFrame(rows, "source string, source_size long, n long, weight long"), "weights")
+    weighted = staged(spark.createDataFrame(rows, "source string, source_size long, units long, weight long"), "weights")
     total, all_weights = weighted.agg(F.sum("source_size"), F.sum("weight")).head()
     rest, weights, stopped = total or 0, all_weights or 1, -1
     while True:
@@ -101,36 +146,47 @@ def mix(docs: DataFrame) -> DataFrame:
 
     A source's rate is target / size of the source. Each document is taken floor(rate)
     times, and once more with the fraction as its probability, decided by the cube method:
-    the source is cut into blocks of some thousand documents, flights in each leave two
+    the source is cut into blocks of some thousand units, flights in each leave two
     units, which fly again with those of other blocks until one block a source is left,
     where the last two are rounded, and a few others turned over, towards the number of words.
-    Documents and words of a source are thus met up to the landing. Choices follow from ids
-    and a fixed seed, so reruns agree. A hot source only has more blocks.
+    Documents and words of a source are thus met up to the landing.
+
+    Choices follow from a row's content and a fixed seed, so reruns agree, whatever the ids
+    and the partitioning. Equal rows are interchangeable: a set of them (in portions of
+    EQUAL_ROWS) is one unit, of which the whole part of rows times fraction is taken for
+    certain. A hot source, id or row only has more units or blocks.
 
-    Null texts have size 0; a null source is a source; null ids and repeated rows are units
-    like others; an empty table gives no rows. Only doc_id, source and text are read.
+    Null texts have size 0; a null source is a source; null ids and repeated rows are taken
+    like others; ties of size change nothing; the length of a text only counts as its size;
+    an empty table gives no rows. Only doc_id, source and text are read by name, all columns
+    by the row's key, so names cannot clash.
     """
     sized = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), row_key(docs).alias("row_key"),
         "source", word_count(F.col("text")).alias("size"),
     )
-    sized = staged(sized, "sizes")
+    sized = staged(sized.groupBy("doc_id", "row_key", "source", "size").agg(F.count("*").alias("equal")), "sizes")
     targets = staged(source_targets(sized), "targets")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    portion = F.least(F.lit(EQUAL_ROWS), F.col("equal") - EQUAL_ROWS * F.col("chunk"))
+    wanted = F.col("rows") * F.greatest(F.col("rate") - F.col("base"), F.lit(0.0))
+    blocks = F.ceil(F.col("units") / BLOCK).cast("long")
     units = (
         sized.withColumnRenamed("source", "own")
         .join(targets, F.col("own").eqNullSafe(F.col("source")))
         .withColumn("rate", F.least(rate, F.lit(float(MOST_COPIES))))
         .withColumn("base", F.floor(F.col("rate") + NEAR).cast("int"))
+        .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("equal") - 1) / EQUAL_ROWS).cast("int"))))
+        .withColumn("rows", portion.cast("int"))
+        .withColumn("sure", F.floor(wanted + NEAR).cast("int"))
         .select(
-            "doc_id", "row_key", "source", "size", "source_size", "target", "base",
-            F.greatest(F.col("rate") - F.col("base"), F.lit(0.0)).alias("prob"),
-            F.xxhash64("doc_id", F.lit(1)).alias("order"),
-            F.pmod(F.xxhash64("doc_id", F.lit(2)), F.ceil(F.col("n") / BLOCK)).cast("long").alias("block"),
-            F.ceil(F.col("n") / BLOCK).cast("long").alias("blocks"),
+            "doc_id", "row_key", "chunk", "source", "size", "source_size", "target", "base", "rows", "sure",
+            F.greatest(wanted - F.col("sure"), F.lit(0.0)).alias("prob"),
+            F.xxhash64("row_key", "chunk", F.lit(1)).alias("order"),
+            F.pmod(F.xxhash64("row_key", "chunk", F.lit(2)), blocks).alias("block"), blocks.alias("blocks"),
         )
     )
-    decided, blocks = [], targets.agg(F.max(F.ceil(F.col("n") / BLOCK))).head()[0] or 1
+    decided, blocks = [], targets.agg(F.max(F.ceil(F.col("units") / BLOCK))).head()[0] or 1
     while True:
         flown = units.select(
             "*", F.xxhash64("source", "block", "blocks").alias("seed"), (F.col("blocks") <= 1).alias("last")
@@ -149,10 +205,11 @@ def mix(docs: DataFrame) -> DataFrame:
     out = decided[0]
     for more in decided[1:]:
         out = out.union(more)
-    copies = (F.col("base") + F.round("prob")).cast("int")
+    more = F.when(F.col("_number") <= F.col("sure") + F.round("prob"), 1).otherwise(0)
+    out = out.withColumn("_number", F.explode(F.sequence(F.lit(1), F.col("rows")))).withColumn("copies", (F.col("base") + more).cast("int"))
     return out.select(
-        "doc_id", "row_key", "source", "size", "source_size", "target", copies.alias("copies"),
-        (copies * F.col("size")).cast("long").alias("taken"),
+        "doc_id", "row_key", "source", "size", "source_size", "target", "copies",
+        (F.col("copies") * F.col("size")).cast("long").alias("taken"),
     )
 
 

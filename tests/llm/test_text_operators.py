@@ -3,11 +3,14 @@
 import re
 from collections import Counter
 
+import itertools
+
 import numpy as np
 import pytest
 
 from fleetpulse.llm.decontaminate import align, contamination, decontaminated
-from fleetpulse.llm.mixing import flight, landing, mix, take
+from fleetpulse.llm import mixing
+from fleetpulse.llm.mixing import exchange, flight, landing, mix, take
 from fleetpulse.llm.quality import RULES, quality, quality_filter
 from tests.llm.conftest import prose
 
@@ -126,3 +129,43 @@ def test_mixture_meets_its_targets(documents):
     assert copies.columns == [*docs.columns[:5], "size", "target", "copies", "copy"]
     assert copies.count() == sum(r["copies"] for r in got)
     assert mix(documents([])).count() == 0
+
+
+def test_reruns_agree_row_by_row_for_null_and_repeated_ids(documents):
+    """Rows that share an id, or have none, and are of equal size are told apart by their content."""
+    rows = [(None, prose(k, 12), "en", "a") for k in range(45)] + [(7, prose(100 + k, 12), "en", "a") for k in range(45)]
+    rows += [(k, prose(k, 30), "en", "b") for k in range(50)]
+    docs = documents(rows)
+    row = lambda r: (str(r["doc_id"]), r["row_key"], r["copies"])
+    first = sorted(map(row, mix(docs).collect()))
+    for parts in (1, 5, 13):
+        assert sorted(map(row, mix(docs.repartition(parts)).collect())) == first
+
+
+def test_equal_rows_are_taken_in_portions(documents, monkeypatch):
+    monkeypatch.setattr(mixing, "EQUAL_ROWS", 16)
+    monkeypatch.setattr(mixing, "BLOCK", 8)
+    docs = documents([(1, "a b c", "en", "a")] * 100 + [(k, prose(k, 20), "en", "b") for k in range(60)])
+    got = mix(docs).collect()
+    assert len(got) == 160 and sum(r["doc_id"] == 1 and r["size"] == 3 for r in got) >= 100
+    for source in "ab":
+        of = [r for r in got if r["source"] == source]
+        assert abs(sum(r["taken"] for r in of) - of[0]["target"]) <= 3
+    assert sorted(r["copies"] for r in mix(docs.repartition(3)).collect()) == sorted(r["copies"] for r in got)
+
+
+def test_exchange_against_all_choices_of_three():
+    random = np.random.default_rng(8)
+    for n in (3, 9, 40):
+        for _ in range(20):
+            change, gap = random.integers(-500, 500, n).astype(float), float(random.integers(-900, 900))
+            turn = exchange(change, gap)
+            got = abs(gap - change[turn].sum())
+            sizes = range(n + 1) if n <= 9 else (0, 1, 2, 3)
+            best = min(abs(gap - sum(c)) for k in sizes for c in itertools.combinations(change, k))
+            assert got <= best + 0.5 and len(set(turn.tolist())) == len(turn)
+
+
+def test_small_sources_come_near_their_targets(spark, sf_dir):
+    got = mix(spark.read.parquet(f"{sf_dir}/documents.parquet")).groupBy("source", "target").agg({"taken": "sum"}).collect()
+    assert all(abs(r["sum(taken)"] - r["target"]) <= 0.01 * r["target"] + 1 for r in got)
