@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -21,6 +22,7 @@ from fleetpulse.functions.json_values import describe_values, json_text, number_
 from fleetpulse.operators.relations import evaluate_once
 
 REASON = "rejection_reason"
+OTHER_FIELDS = "other_fields"  # VARIANT of the message fields that nothing declares
 # What decode_payload found out about a record that is not plainly well formed.
 EVIDENCE = ["_decode_error", "_missing", "_latitude_text", "_longitude_text", "_timestamp_text"]
 _JSON_OPTIONS = {"allowSingleQuotes": "false", "allowNumericLeadingZeros": "false"}
@@ -71,9 +73,10 @@ def unwrap_envelope(df: DataFrame, value: str = "value", arrival: str = "process
 def decode_payload(
     df: DataFrame, body: str = "body", passthrough: Mapping[str, str] | None = None
 ) -> DataFrame:
-    """JSON text to device fields, by both spellings, ``event_ts``, and the evidence columns.
+    """JSON text to device fields, by both spellings, ``event_ts``, the evidence columns, and
+    ``other_fields``: a VARIANT object of all fields that are not declared, NULL without any.
 
-    ``passthrough`` names further message fields to keep, with their types.
+    ``passthrough`` names further message fields to keep as columns, with their types.
 
     Most records are well formed, so they are parsed once, straight into typed fields. Only
     records for which that cannot settle the outcome (a field absent, null or of another
@@ -82,6 +85,10 @@ def decode_payload(
 
     The text is parsed inside brackets: anything after the closing brace then makes it
     malformed instead of being ignored.
+
+    A well-formed record whose colons are all accounted for, one to each field read and
+    those inside the texts read, has no other field. Only the others are parsed into keys and
+    values. Of a key that occurs twice the last value counts.
     """
     passthrough = {"estado": "string", **(passthrough or {})}
     spellings = list(GPS_RENAMES) + list(GPS_RENAMES.values())
@@ -115,17 +122,27 @@ def decode_payload(
         & single[0] & single[1] & single[2]
         & ~F.col(body).contains("\\u")
     )
+    texts = [first[name] for name in ("equipo_id", "timestamp", *(n for n, kind in passthrough.items() if kind == "string"))]
+    present = [F.when(first[name].isNotNull(), 1).otherwise(0) for name in dict.fromkeys(["equipo_id", "timestamp", *spellings, *passthrough])]
+    accounted = reduce(Column.__add__, [*present, *(F.coalesce(_colons(text), F.lit(0)) for text in texts)])
     # Settled in a projection of its own, compiled, so that the next step only tests a flag.
-    df = df.withColumn("_settled", F.coalesce(settled, F.lit(False))).withColumn(
-        "_event_ts", F.when(F.col("_settled"), iso_timestamp(first["timestamp"]))
-    )
+    df = df.withColumn("_settled", F.coalesce(settled, F.lit(False))).withColumns({
+        "_event_ts": F.when(F.col("_settled"), iso_timestamp(first["timestamp"])),
+        "_more": ~F.col("_settled") | (_colons(F.col(body)) > accounted),
+    })
     settled = F.col("_settled")
     exact = let(
         F.from_json(text, f"array<struct<{untyped}>>", _JSON_OPTIONS),
         lambda a: F.when(F.size(a) == 1, _exact_fields(F.get(a, F.lit(0)), body, passthrough)),
     )
-    df = evaluate_once(df, "_exact", F.when(~settled, exact))
-    exact = F.col("_exact")
+    declared = ["equipo_id", "timestamp", *spellings, *passthrough]
+    others = let(
+        F.from_json(text, "array<map<string,variant>>", _JSON_OPTIONS),
+        lambda a: F.when(F.size(a) == 1, let(F.map_filter(F.get(a, F.lit(0)), lambda key, _value: ~key.isin(declared)), _as_object)),
+    )
+    slow = F.struct(F.when(~settled, exact).alias("exact"), others.alias("others"))
+    df = evaluate_once(df, "_slow", F.when(F.col("_more"), slow))
+    exact = F.col("_slow.exact")
 
     def pick(name: str, parsed: Column) -> Column:
         return F.when(settled, parsed).otherwise(exact[name]).alias(name)
@@ -141,11 +158,26 @@ def decode_payload(
         *[pick(en, number(en, es)) for es, en in GPS_RENAMES.items()],
         *[pick(name, first[name]) for name in passthrough],
         pick("event_ts", F.col("_event_ts")),
+        F.col("_slow.others").alias(OTHER_FIELDS),
         F.when(~settled & exact.isNull(), "not_a_json_object").alias("_decode_error"),
         *[exact[name].alias(name) for name in EVIDENCE if name != "_decode_error"],
     )
 
 
+def _colons(text: Column) -> Column:
+    return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(":"), F.lit("")))
+
+
+def _as_object(fields: Column) -> Column:
+    """A VARIANT object of a map of parsed values, NULL if it is empty."""
+    keys, values = F.map_keys(fields), F.map_values(fields)
+    places = F.sequence(F.lit(0), F.size(keys) - 1)
+    last = F.filter(places, lambda i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), F.get(keys, i)))
+    once = F.map_from_arrays(F.transform(last, lambda i: F.get(keys, i)), F.transform(last, lambda i: F.get(values, i)))
+    repeated = F.size(F.array_distinct(keys)) < F.size(keys)
+    return F.when(F.size(fields) > 0, F.to_variant_object(F.when(repeated, once).otherwise(fields)))
+
+
 def _exact_fields(record: Column, body: str, passthrough: Mapping[str, str]) -> Column:
     """Fields and evidence of a record whose values kept their JSON types; NULL if it is none."""
     keys = F.json_object_keys(body)

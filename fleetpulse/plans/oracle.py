@@ -274,6 +274,40 @@ def _alarm(rows: str, ts: str, value: str, agg: str, period: str, threshold: flo
 SELECT {group}period_start, value, breaching, {back} AS alarm FROM periods a"""
 
 
+def _timeline(rows: str, ts: str, value: str, agg: str, period: str, threshold: float, periods: int, by: str) -> str:
+    """A SELECT over every period of each series up to AS_OF, states by a window over all of them."""
+    shown = f"quantile_disc({value}, 0.99)" if agg == "p99" else f"{agg}({value})"
+    recent = f"(PARTITION BY {by} ORDER BY period_start ROWS {periods - 1} PRECEDING)"
+    return f"""(
+  SELECT {by}, period_start, value, breaching,
+         bool_and(breaching) OVER {recent} AND count(*) OVER {recent} = {periods} AS alarm
+  FROM (
+    SELECT {by}, s.period_start, value, coalesce(value > {threshold}, false) AS breaching
+    FROM (SELECT {by}, unnest(generate_series(min(time_bucket(INTERVAL '{period}', {ts})), time_bucket(INTERVAL '{period}', {AS_OF}), INTERVAL '{period}')) AS period_start
+          FROM {rows} WHERE {value} IS NOT NULL GROUP BY {by}) s
+    LEFT JOIN (SELECT {by}, time_bucket(INTERVAL '{period}', {ts}) AS period_start, CAST({shown} AS DOUBLE) AS value
+          FROM {rows} WHERE {value} IS NOT NULL GROUP BY ALL) v USING ({by}, period_start)))"""
+
+
+def _changes(timeline: str, by: str) -> str:
+    return f"""SELECT {by}, period_start, CASE WHEN alarm THEN 'ALARM' ELSE 'OK' END AS state
+        FROM (SELECT *, lag(alarm, 1, false) OVER (PARTITION BY {by} ORDER BY period_start) AS before FROM {timeline}) WHERE alarm <> before"""
+
+
+_ERRORS = "(SELECT estado, event_ts, CASE WHEN estado = 'error' THEN event_id % 10 ELSE 0 END AS e FROM pings)"
+_PRESETS = {
+    "validate_errors": (_ERRORS, "event_ts", "e", "sum", "1 minute", 5, 1),
+    "sweep_errors": (_ERRORS, "event_ts", "e", "sum", "5 minutes", 1, 1),
+    "oldest_message_age_seconds": (
+        "(SELECT estado, arrival_ts, (epoch_us(arrival_ts) - epoch_us(event_ts)) / CAST(1000000 AS DOUBLE) AS age FROM pings)",
+        "arrival_ts", "age", "max", "1 minute", 60, 2),
+    "dead_letter_count": (
+        """(SELECT estado, arrival_ts, CASE WHEN "timestamp" = 'not-a-date' THEN 1 ELSE 0 END AS dead FROM faulty)""",
+        "arrival_ts", "dead", "sum", "1 minute", 0, 1),
+    "validate_duration_ms": ("(SELECT estado, event_ts, speed_kmh * 1000 AS ms FROM pings)", "event_ts", "ms", "p99", "1 minute", 45000, 3),
+}
+
+
 _GAPPED = _PINGS + """,
 gaps AS (
   SELECT equipo_id, event_ts,
@@ -458,6 +492,16 @@ ORACLE: dict[str, str] = {
         SELECT equipo_id AS name, count(*) AS n, 'silver' AS part FROM once GROUP BY equipo_id
         UNION ALL SELECT code, count(*), 'rejected' FROM coded WHERE code IS NOT NULL GROUP BY code
         UNION ALL SELECT equipo_id, epoch_us(max(event_ts)), 'last_seen' FROM once GROUP BY equipo_id""",
+    "unknown_fields_end_to_end": _KEPT_FIRST + """, stored AS (
+          SELECT event_id, 'silver' AS part, equipo_id, "timestamp", speed_kmh FROM kept WHERE k = 1
+          UNION ALL SELECT event_id, 'rejected', equipo_id, "timestamp", speed_kmh FROM coded WHERE code IS NOT NULL)
+        SELECT part, equipo_id, "timestamp", CASE WHEN event_id % 11 = 0 THEN 1.5 ELSE speed_kmh END AS speed_kmh,
+          CASE WHEN event_id % 9 = 1 THEN 'N: up' WHEN event_id % 3 <> 0 THEN CAST(event_id % 360 AS VARCHAR) || '.5' END AS heading,
+          CASE WHEN event_id % 9 = 1 THEN 'STRING' WHEN event_id % 3 <> 0 THEN 'NUMBER' END AS heading_kind,
+          CASE WHEN event_id % 4 = 0 THEN CAST(event_id % 100 AS INTEGER) END AS fuel_level,
+          CASE WHEN event_id % 5 = 0 THEN TRUE END AS engine_on, CASE WHEN event_id % 7 = 0 THEN TRUE ELSE FALSE END AS driver_null,
+          event_id % 3 <> 0 OR event_id % 4 = 0 OR event_id % 5 = 0 OR event_id % 7 = 0 AS has_more
+        FROM stored""",
     # monitoring
     "windowed_threshold_alarm": f"WITH {_PINGS}" + _alarm("pings", "event_ts", "speed_kmh", "sum", "6 hours", 400, 3, "estado"),
     "windowed_threshold_alarm_p99": f"WITH {_PINGS}" + _alarm("pings", "event_ts", "speed_kmh", "p99", "1 day", 150, 2, "estado"),
@@ -473,4 +517,11 @@ ORACLE: dict[str, str] = {
         "arrival_ts", "dead", "sum", "1 minute", 0, 1),
     "alarm_validate_duration": f"WITH {_PINGS}" + _alarm(
         "(SELECT event_ts, speed_kmh * 1000 AS ms FROM pings)", "event_ts", "ms", "p99", "1 minute", 45000, 3),
+    "alarm_timeline": f"WITH {_PINGS} SELECT * FROM " + _timeline("pings", "event_ts", "speed_kmh", "sum", "6 hours", 150, 2, "estado"),
+    "alarm_changes": f"WITH {_PINGS} " + _changes(_timeline("pings", "event_ts", "speed_kmh", "sum", "6 hours", 150, 2, "estado"), "estado"),
+    "preset_alarm_changes": f"WITH {_FAULTY} " + " UNION ALL ".join(
+        f"SELECT *, '{name}' AS alarm FROM ({_changes(_timeline(*spec, 'estado'), 'estado')})" for name, spec in _PRESETS.items()),
+    "preset_alarm_timeline": f"WITH {_FAULTY} " + " UNION ALL ".join(
+        f"""SELECT estado, strftime(period_start, '%Y-%m-%d') AS day, breaching, alarm, count(*) AS periods, count(value) AS with_data, '{name}' AS name
+        FROM {_timeline(*spec, 'estado')} GROUP BY ALL""" for name, spec in _PRESETS.items()),
 }

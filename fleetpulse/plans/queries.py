@@ -540,7 +540,7 @@ def read_maintenance_csv(spark, sf):
 def read_silver(spark, sf):
     path = scratch(spark, "silver")
     writers.write_silver_gps(data.pings(spark, sf).drop("event_id"), path, AS_OF)
-    return readers.read_silver(spark, path, GPS_SILVER)
+    return readers.read_silver(spark, path, GPS_SILVER).drop(tm.OTHER_FIELDS)
 
 
 @query
@@ -775,6 +775,25 @@ def _telemetry_end_to_end(spark, sf):
     return union_by_name(counted)
 
 
+def _other_fields(rows: DataFrame, part: str) -> DataFrame:
+    """Undeclared fields read back by path, each with its kind of JSON value."""
+    at = lambda path, kind="variant": F.try_variant_get(tm.OTHER_FIELDS, path, kind)
+    kind = F.regexp_replace(F.schema_of_variant(at("$.heading")), "^(DECIMAL|BIGINT|DOUBLE).*", "NUMBER")
+    return rows.select(
+        F.lit(part).alias("part"), "equipo_id", "timestamp", F.col("speed_kmh").cast("double").alias("speed_kmh"), at("$.heading", "string").alias("heading"),
+        kind.alias("heading_kind"), at("$.fuel.level", "int").alias("fuel_level"), at("$.engine_on", "boolean").alias("engine_on"),
+        F.is_variant_null(at("$.driver")).alias("driver_null"), F.col(tm.OTHER_FIELDS).isNotNull().alias("has_more"),
+    )
+
+
+@query
+def unknown_fields_end_to_end(spark, sf):
+    """Fields that nothing declares, through the whole stream, in silver and rejected zone."""
+    out = _pipeline_output(spark, data.envelopes(spark, sf, data.rich_messages))
+    silver = readers.read_silver(spark, f"{out}/silver/{GPS_DATASET}", GPS_SILVER)
+    return _other_fields(silver, "silver").unionByName(_other_fields(readers.read_rejected(spark, f"{out}/rejected/{GPS_DATASET}"), "rejected"))
+
+
 # --- monitoring --------------------------------------------------------------------------------------
 
 @query
@@ -818,3 +837,47 @@ def alarm_dead_letter_count(spark, sf):
 def alarm_validate_duration(spark, sf):
     rows = data.pings(spark, sf).withColumn("duration_ms", F.col("speed_kmh") * F.lit(1000.0))
     return mon.preset_alarm(rows, "validate_duration_ms", "event_ts", "duration_ms")
+
+
+@query
+def alarm_timeline(spark, sf):
+    """Long gaps are filled; a period without data clears the alarm."""
+    return mon.alarm_timeline(data.pings(spark, sf), "event_ts", "speed_kmh", "sum", "6 hours", 150.0, 2, ["estado"], AS_OF)
+
+
+@query
+def alarm_changes(spark, sf):
+    return mon.alarm_changes(data.pings(spark, sf), "event_ts", "speed_kmh", "sum", "6 hours", 150.0, 2, ["estado"], AS_OF)
+
+
+def _preset_rows(spark, sf) -> dict[str, tuple[DataFrame, str, str]]:
+    """What each standing alarm watches: (rows, time column, value column)."""
+    age = (F.unix_micros("arrival_ts") - F.unix_micros("event_ts")) / F.lit(1e6)
+    dead = F.when(F.col("timestamp") == "not-a-date", 1).otherwise(0)
+    return {
+        "validate_errors": (_errors(spark, sf), "event_ts", "errors"),
+        "sweep_errors": (_errors(spark, sf), "event_ts", "errors"),
+        "oldest_message_age_seconds": (data.pings(spark, sf).withColumn("age", age), "arrival_ts", "age"),
+        "dead_letter_count": (data.faulty_pings(spark, sf).withColumn("dead", dead), "arrival_ts", "dead"),
+        "validate_duration_ms": (data.pings(spark, sf).withColumn("duration_ms", F.col("speed_kmh") * F.lit(1000.0)), "event_ts", "duration_ms"),
+    }
+
+
+@query
+def preset_alarm_changes(spark, sf):
+    """When each of the five standing alarms went on and off, per kind of event."""
+    return union_by_name([
+        mon.preset_changes(rows, name, ts, value, ["estado"], AS_OF).withColumn("alarm", F.lit(name))
+        for name, (rows, ts, value) in _preset_rows(spark, sf).items()
+    ])
+
+
+@query
+def preset_alarm_timeline(spark, sf):
+    """Periods of each standing alarm, those without data among them, counted by state and day."""
+    return union_by_name([
+        mon.preset_timeline(rows, name, ts, value, ["estado"], AS_OF)
+        .groupBy("estado", F.date_format("period_start", "yyyy-MM-dd").alias("day"), "breaching", "alarm")
+        .agg(F.count(F.lit(1)).alias("periods"), F.count("value").alias("with_data")).withColumn("name", F.lit(name))
+        for name, (rows, ts, value) in _preset_rows(spark, sf).items()
+    ])

@@ -60,8 +60,23 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return faulty_pings(spark, sf_dir).select("event_id", "copy", "arrival_ts", body.alias("body"))
 
 
-def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The messages as transported: queue messages and base64 stream records in turn."""
+def rich_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages with further fields: numbers, objects, booleans, nulls, a key twice, a second spelling."""
+    ids = F.col("event_id")
+    more = F.concat(
+        F.when(ids % 11 == 0, ',"speed_kmh":1.5').otherwise(""),
+        F.when(ids % 3 != 0, F.concat(F.lit(',"heading":'), (ids % 360).cast("string"), F.lit(".5"))).otherwise(""),
+        F.when(ids % 4 == 0, F.concat(F.lit(', "fuel" : {"level":'), (ids % 100).cast("string"), F.lit(',"unit":"%"}'))).otherwise(""),
+        F.when(ids % 5 == 0, ',"engine_on":true').otherwise(""),
+        F.when(ids % 7 == 0, ',"driver":null').otherwise(""),
+        F.when(ids % 9 == 1, ',"heading":"N: up"').otherwise(""),
+    )
+    closed = F.expr("substring(body, 1, length(body) - 1)")
+    return messages(spark, sf_dir).withColumn("body", F.concat(closed, more, F.lit("}")))
+
+
+def envelopes(spark: SparkSession, sf_dir: str, bodies=messages) -> DataFrame:
+    """Messages as transported: queue messages and base64 stream records in turn."""
     queued = F.to_json(F.struct(
         "body",
         F.struct(F.unix_millis("arrival_ts").cast("string").alias("SentTimestamp")).alias("attributes"),
@@ -70,7 +85,7 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.base64(F.col("body").cast("binary")).alias("data"),
         (F.unix_millis("arrival_ts") / F.lit(1000.0)).alias("approximateArrivalTimestamp"),
     ).alias("kinesis")))
-    return messages(spark, sf_dir).select(F.when(F.col("event_id") % 2 == 0, queued).otherwise(streamed).alias("value"))
+    return bodies(spark, sf_dir).select(F.when(F.col("event_id") % 2 == 0, queued).otherwise(streamed).alias("value"))
 
 
 def maintenance(spark: SparkSession, sf_dir: str) -> DataFrame:

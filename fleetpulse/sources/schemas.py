@@ -13,6 +13,8 @@ GPS_SILVER = T.StructType([
     T.StructField("speed_kmh", T.DoubleType()),
     T.StructField("estado", T.StringType()),
     T.StructField("event_ts", T.TimestampType()),
+    # What a message holds beyond its declared fields.
+    T.StructField("other_fields", T.VariantType()),
 ])
 
 GPS_REJECTED = T.StructType([
@@ -25,6 +27,7 @@ GPS_REJECTED = T.StructType([
     T.StructField("arrival_ts", T.TimestampType()),
     T.StructField("rejection_reason", T.StringType()),
     T.StructField("_raw", T.StringType()),
+    T.StructField("other_fields", T.VariantType()),
 ])
 
 MAINTENANCE_SILVER = T.StructType([

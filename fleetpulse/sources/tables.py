@@ -8,7 +8,7 @@ from fleetpulse.constants import GPS_DATASET, MAINTENANCE_DATASET
 
 _GPS = """
     equipo_id STRING, latitude DOUBLE, longitude DOUBLE, timestamp STRING, speed_kmh DOUBLE,
-    heading DOUBLE, estado STRING, event_ts TIMESTAMP, year INT, month INT, day INT, hour INT,
+    heading DOUBLE, estado STRING, event_ts TIMESTAMP, other_fields VARIANT, year INT, month INT, day INT, hour INT,
     batch STRING
 """
 _MAINTENANCE = """

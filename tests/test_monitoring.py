@@ -7,7 +7,8 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from fleetpulse.operators.monitoring import preset_alarm, windowed_threshold_alarm
+from fleetpulse.operators import monitoring
+from fleetpulse.operators.monitoring import alarm_changes, alarm_timeline, preset_alarm, windowed_threshold_alarm
 
 START = datetime(2026, 5, 20, tzinfo=timezone.utc)
 
@@ -76,3 +77,30 @@ def test_percentile_of_a_large_group_is_exact(spark):
     for name, value in df.select("name", "value").collect():
         values[name].append(value)
     assert got == {name: sorted(v)[-(-len(v) * 99 // 100) - 1] for name, v in values.items()}
+
+
+@pytest.mark.parametrize("block", [4096, 3])
+def test_timeline_fills_gaps_and_changes_show_the_clearing(spark, monkeypatch, block):
+    monkeypatch.setattr(monitoring, "BLOCK", block)
+    df = series(spark, (0, 61), (1, 61), (9, 99), (10, 99))
+    args = ("ts", "value", "max", "1 minute", 60.0, 2)
+    until = START + timedelta(minutes=12, seconds=30)
+    got = states(alarm_timeline(df, *args, until=until))
+    assert sorted(got) == list(range(13))
+    assert [m for m, (_, alarm) in got.items() if alarm] == [1, 10] and got[5] == (False, False)
+    minute = lambda r: int((r["period_start"].replace(tzinfo=timezone.utc) - START).total_seconds() // 60)
+    changes = lambda **k: sorted((minute(r), r["state"]) for r in alarm_changes(df, *args, **k).collect())
+    assert changes(until=until) == [(1, "ALARM"), (2, "OK"), (10, "ALARM"), (11, "OK")]
+    assert changes() == [(1, "ALARM"), (2, "OK"), (10, "ALARM")]  # no period after the last with data
+    assert alarm_timeline(df.limit(0), *args, until=until).count() == alarm_changes(df.limit(0), *args).count() == 0
+
+
+def test_series_columns_of_any_name(spark):
+    rows = [(START + timedelta(minutes=m), float(v), k, k, None) for m, v, k in [(0, 9, "a"), (1, 9, "a"), (0, 1, "b"), (3, 9, "a")]]
+    df = spark.createDataFrame(rows, "ts timestamp, x double, n string, rank string, low int")
+    by = ["n", "rank", "low"]
+    for agg in ("p99", "sum"):
+        got = {(r["n"], r["rank"], r["low"], r["period_start"].minute): r["alarm"] for r in windowed_threshold_alarm(df, "ts", "x", agg, "1 minute", 5.0, 2, by).collect()}
+        assert got == {("a", "a", None, 0): False, ("a", "a", None, 1): True, ("b", "b", None, 0): False, ("a", "a", None, 3): False}
+        changed = {(r["n"], r["period_start"].minute, r["state"]) for r in alarm_changes(df, "ts", "x", agg, "1 minute", 5.0, 2, by).collect()}
+        assert changed == {("a", 1, "ALARM"), ("a", 2, "OK")}

@@ -205,3 +205,22 @@ def test_last_gps(spark):
     got = {r["equipo_id"]: r["ultima_fecha_gps"] for r in last_gps(df).collect()}
     assert got["B"] is None
     assert last_gps(df, since=F.lit("2026-05-20 13:00:00").cast("timestamp")).count() == 1
+
+
+def test_other_fields_keep_their_json_types(spark):
+    base = '"equipo_id":"C:1","timestamp":"2024-01-01T00:00:01Z","latitud":-9.1,"longitud":-77.1'
+    more = {
+        "": None,
+        ',"estado":"EN: RUTA"': None,
+        ',"heading":12.50': '{"heading":12.5}',
+        ', "fuel" : {"level":3,"x":[1,null]},"on":true,"driver":null,"heading":1,"heading":"x"': '{"driver":null,"fuel":{"level":3,"x":[1,null]},"heading":"x","on":true}',
+        ',"estado":"A:B","k\\u0061":1': '{"ka":1}',
+        ',"velocidad":1,"speed_kmh":2,"q":"a:b"': '{"q":"a:b"}',
+        ',"estado":null': None,
+    }
+    bodies = ["{%s%s}" % (base, m) for m in more] + ['{"heading":1,"latitude":-50}', '{"a":1} x', "[1]", "{}", ""]
+    df = decode_payload(spark.createDataFrame([(b, k) for k, b in enumerate(bodies)], "body string, k int"))
+    got = [r["o"] for r in df.select("k", F.to_json("other_fields").alias("o")).orderBy("k").collect()]
+    assert got == [*more.values(), '{"heading":1}', None, None, None, None]
+    named = decode_payload(spark.createDataFrame([("{%s,\"heading\":7}" % base,)], "body string"), passthrough={"heading": "double"}).head()
+    assert (named["heading"], named["other_fields"]) == (7.0, None)
