@@ -8,6 +8,9 @@ FUTURE_GRACE_SECONDS = 30
 MAX_AGE_SECONDS = 3600
 DEDUP_KEYS_GPS = ["equipo_id", "timestamp"]
 DEDUP_TTL = "24 hours"
+REJECTION_CODES = [
+    "decode_error", "missing_fields", "lat_out_of_bbox", "lon_out_of_bbox", "unparseable_timestamp", "future_timestamp", "stale_timestamp",
+]
 GPS_REQUIRED = ["equipo_id", "latitude", "longitude", "timestamp"]
 # device spelling -> internal spelling
 GPS_RENAMES = {

@@ -11,6 +11,9 @@ from fleetpulse.constants import (
 from fleetpulse.functions.iso_time import iso_timestamp
 from fleetpulse.functions.moments import before, moment
 from fleetpulse.functions.rounding import round_half_even
+from fleetpulse.sources.storage import checkpointed
+
+DOCUMENT_BYTES = 200_000  # of a document's device list; message services take 256 KB
 
 
 def _seen_ts(last_seen: DataFrame) -> Column:
@@ -67,6 +70,38 @@ def alert_payload(
     )
 
 
+def alert_documents(
+    alerts: DataFrame, as_of=None, alert_min: int = ALERT_MINUTES, maint_min: int = MAINTENANCE_MINUTES,
+    max_bytes: int = DOCUMENT_BYTES,
+) -> DataFrame:
+    """The alert as grouped JSON documents: ``(document, documents, devices, body)``.
+
+    Each has the header, its number, the number of documents and of all devices, and its
+    share of the devices in order of name. The list of a document has ``max_bytes`` at most, as
+    long as no single device takes half of that. Devices are sorted by ranges, and a running
+    sum within a range cuts them, so no task holds the fleet; a range begins a document. Without
+    devices there is none.
+    """
+    entry = F.struct("equipo_id", "last_seen", "minutes_silent")
+    rows = alerts.select(entry.alias("entry"), (F.octet_length(F.to_json(entry)) + 1).alias("bytes"))
+    ranged = checkpointed(rows.repartitionByRange("entry.equipo_id", "entry").withColumn("range", F.spark_partition_id()))
+    upto = Window.partitionBy("range").orderBy("entry").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # An entry that begins below the limit ends a document at most its own size beyond it.
+    cut = ranged.withColumn("part", F.floor((F.sum("bytes").over(upto) - F.col("bytes")) / F.lit(max(1, max_bytes // 2))))
+    grouped = cut.groupBy("range", "part").agg(F.sort_array(F.collect_list("entry")).alias("affected_equipos"))
+    grouped = checkpointed(grouped)
+    # One row a document from here on, without the lists.
+    numbers = grouped.select("range", "part", F.row_number().over(Window.orderBy("range", "part")).alias("document"))
+    total = grouped.agg(F.count(F.lit(1))).scalar()
+    affected = ranged.agg(F.count(F.lit(1))).scalar()
+    named = grouped.join(numbers, ["range", "part"]).withColumns({"documents": total, "affected_count": affected})
+    body = F.to_json(F.struct(
+        F.lit(ALERT_TYPE).alias("alert_type"), moment(as_of).alias("detected_at"), F.lit(alert_min).alias("alert_threshold_min"),
+        F.lit(maint_min).alias("maint_threshold_min"), "affected_count", "document", "documents", "affected_equipos",
+    ))
+    return named.select("document", F.col("documents").cast("int").alias("documents"), F.size("affected_equipos").alias("devices"), body.alias("body"))
+
+
 def sweep_name(as_of=None) -> Column:
     """Names the automatic records of the sweep at ``as_of`` in the maintenance table."""
     return F.concat(F.lit(AUTO_SOURCE), F.date_format(moment(as_of), "yyyyMMdd_HHmmss"))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -16,6 +19,7 @@ from fleetpulse.operators.signal import (
     alert_payload, auto_maintenance_records, signal_loss_alert, signal_loss_maintenance, signal_sweep_summary,
 )
 from fleetpulse.operators.relations import union_by_name
+from fleetpulse.sources.batch_metrics import SWEEP, record_batch
 from fleetpulse.sources.last_seen import read_last_seen
 from fleetpulse.sources.readers import maintenance_layouts, read_auto_maintenance, read_maintenance_csv, read_silver
 from fleetpulse.sources.schemas import GPS_SILVER, MAINTENANCE_SILVER
@@ -68,12 +72,31 @@ def ingest_maintenance(
 def signal_sweep(
     spark: SparkSession, state: str, silver_maintenance: str, as_of=None,
     alert_min: int = ALERT_MINUTES, maint_min: int = MAINTENANCE_MINUTES, skip_repeated: bool = True,
+    metrics: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(alert, summary) of one sweep; opens maintenance records on the way.
 
-    A sweep repeated at the same ``as_of`` replaces its own records and no others, so a
-    device that became silent in between is added and none is lost. ``skip_repeated=False`` opens a record at every sweep for a device that stays silent.
+    A sweep has one time, ``as_of`` or that of the call: alert, stored records, their key in
+    the summary and all counts are of it. A sweep repeated at the same ``as_of`` replaces its
+    own records and no others, so a device that became silent in between is added and none is
+    lost. ``skip_repeated=False`` opens a record at every sweep for a device that stays silent.
+    ``metrics`` names the table of ``batch_metrics`` in which to note the sweep, or its failure.
     """
+    as_of, began = datetime.now(timezone.utc) if as_of is None else as_of, time.monotonic()
+    try:
+        out = _sweep(spark, state, silver_maintenance, as_of, alert_min, maint_min, skip_repeated)
+    except Exception:
+        if metrics:
+            record_batch(spark, metrics, f"sweep-{uuid.uuid4().hex}", SWEEP, None, began, {}, 1)
+        raise
+    if metrics:
+        record_batch(spark, metrics, f"sweep-{uuid.uuid4().hex}", SWEEP, None, began, {})
+    return out
+
+
+def _sweep(
+    spark: SparkSession, state: str, silver_maintenance: str, as_of, alert_min: int, maint_min: int, skip_repeated: bool
+) -> tuple[DataFrame, DataFrame]:
     seen = read_last_seen(spark, state)
     alerts = signal_loss_alert(seen, as_of, alert_min)
     lost = signal_loss_maintenance(seen, as_of, maint_min)

@@ -524,4 +524,18 @@ ORACLE: dict[str, str] = {
     "preset_alarm_timeline": f"WITH {_FAULTY} " + " UNION ALL ".join(
         f"""SELECT estado, strftime(period_start, '%Y-%m-%d') AS day, breaching, alarm, count(*) AS periods, count(value) AS with_data, '{name}' AS name
         FROM {_timeline(*spec, 'estado')} GROUP BY ALL""" for name, spec in _PRESETS.items()),
+    "alert_documents": f"""WITH {_DEVICES} SELECT 'SIGNAL_LOSS' AS alert_type, {AS_OF} AS detected_at, 600 AS alert_threshold_min,
+        1800 AS maint_threshold_min, count(*) OVER () AS affected_count, TRUE AS small, TRUE AS numbered, TRUE AS complete,
+        equipo_id, last_seen, minutes_silent FROM silent WHERE seen < {AS_OF} - INTERVAL 600 MINUTES""",
+    "signal_sweep_now": f"""WITH {_PINGS}, {_LAST} SELECT count(*) AS records, count(*) AS devices, count(*) AS alert_lost,
+        count(*) AS maint_created, count(*) AS alert_rows FROM last_ping""",
+    "observed_batch_counts": _KEPT_FIRST + """ SELECT 'valid' AS name, CAST(count(*) AS DOUBLE) AS n FROM kept WHERE k = 1
+        UNION ALL SELECT 'rejected', count(*) FROM coded WHERE code IS NOT NULL
+        UNION ALL SELECT 'total', count(*) FROM coded
+        UNION ALL SELECT 'oldest_age', max((epoch_us(date_trunc('millisecond', arrival_ts)) - epoch_us(event_ts)) / CAST(1000000 AS DOUBLE)) FROM coded WHERE code IS NULL
+        UNION ALL SELECT code, count(*) FROM coded WHERE code IS NOT NULL GROUP BY code""",
+    "pipeline_alarms": "SELECT 0 AS failures",
+    "last_gps_since": f"""WITH {_CHECKED}, valid AS (SELECT * FROM checked WHERE rejection_reason IS NULL)
+        SELECT equipo_id, max(event_ts) AS ultima_fecha_gps, count(*) AS pings, (SELECT count(*) FROM valid) AS stored
+        FROM valid WHERE event_ts >= TIMESTAMP '2024-01-15' GROUP BY equipo_id""",
 }

@@ -29,6 +29,8 @@ from fleetpulse.plans import jobs
 from fleetpulse.plans import shared_tables as data
 from fleetpulse.plans.shared_tables import AS_OF
 from fleetpulse.session import prepare
+from fleetpulse.sources import batch_metrics as counted
+from fleetpulse.sources import hours
 from fleetpulse.sources import last_seen as state
 from fleetpulse.sources import readers, writers
 from fleetpulse.sources.schemas import GPS_SILVER, MAINTENANCE_SILVER
@@ -356,6 +358,39 @@ def alert_payload(spark, sf):
     return sg.alert_payload(alerts, AS_OF, **WIDE)
 
 
+@query
+def alert_documents(spark, sf):
+    """The documents of a sweep put together again: the rows of the alert, each once."""
+    alerts = sg.signal_loss_alert(data.device_state(spark, sf), AS_OF, WIDE["alert_min"])
+    documents = sg.alert_documents(alerts, AS_OF, **WIDE, max_bytes=2_000)
+    schema = (
+        "alert_type string, detected_at timestamp, alert_threshold_min int, maint_threshold_min int, affected_count bigint, document int, "
+        "documents int, affected_equipos array<struct<equipo_id: string, last_seen: string, minutes_silent: double>>"
+    )
+    read = documents.withColumn("read", F.from_json("body", schema)).withColumns({
+        "small": F.octet_length("body") < 2_000 + 300,
+        "numbered": (F.col("read.document") == F.col("document")) & F.col("document").between(1, F.col("documents")),
+        "complete": documents.agg(F.count_distinct("document")).scalar() == F.col("documents"),
+    })
+    return read.select("read.*", "small", "numbered", "complete").select(
+        "alert_type", "detected_at", "alert_threshold_min", "maint_threshold_min", "affected_count", "small", "numbered", "complete",
+        F.inline("affected_equipos"),
+    )
+
+
+@query
+def signal_sweep_now(spark, sf):
+    """A sweep at the time of its call: the key in its summary is where its records are."""
+    path, silver = scratch(spark, "last_seen"), scratch(spark, "maintenance")
+    state.write_last_seen(_seen(spark, sf), path)
+    alert, summary = jobs.signal_sweep(spark, path, silver)
+    stored = spark.read.schema("equipo_id string, source_file string").parquet(silver)
+    keys = summary.select("maint_key", "alert_lost", "maint_created").distinct()
+    return stored.groupBy("source_file").agg(F.count(F.lit(1)).alias("records"), F.count_distinct("equipo_id").alias("devices")).join(
+        keys, F.col("source_file") == F.col("maint_key")
+    ).select("records", "devices", "alert_lost", "maint_created", alert.agg(F.count(F.lit(1))).scalar().alias("alert_rows"))
+
+
 @query
 def auto_maintenance_records(spark, sf):
     lost = sg.signal_loss_maintenance(data.device_state(spark, sf), AS_OF, WIDE["maint_min"])
@@ -553,6 +588,20 @@ def write_silver_gps(spark, sf):
     )
 
 
+@query
+def last_gps_since(spark, sf):
+    """Pings stored in two batches a day, after their arrival, some days merged, then read from a day on."""
+    path = scratch(spark, "silver")
+    valid, _ = tm.split_valid_rejected(_checked(spark, sf))
+    for half in range(2):
+        some = valid.filter(F.col("event_id") % 2 == half).drop("event_id", "copy")
+        writers.write_silver_gps(some, path, F.date_trunc("day", F.col("arrival_ts")) + F.expr("INTERVAL 1 DAY"), batch=f"half-{half}")
+    hours.merge_hours(spark, path, GPS_SILVER, datetime(2024, 1, 20, tzinfo=timezone.utc))
+    rows = readers.read_silver(spark, path, GPS_SILVER, since="2024-01-15 00:00:00")
+    everything = readers.read_silver(spark, path, GPS_SILVER).agg(F.count(F.lit(1))).scalar()
+    return tm.last_gps(rows).join(rows.groupBy("equipo_id").agg(F.count(F.lit(1)).alias("pings")), "equipo_id").withColumn("stored", everything)
+
+
 def _rejected_zone(spark, sf) -> str:
     path = scratch(spark, "rejected")
     _, rejected = tm.split_valid_rejected(_checked(spark, sf))
@@ -794,6 +843,29 @@ def unknown_fields_end_to_end(spark, sf):
     return _other_fields(silver, "silver").unionByName(_other_fields(readers.read_rejected(spark, f"{out}/rejected/{GPS_DATASET}"), "rejected"))
 
 
+@query
+def observed_batch_counts(spark, sf):
+    """What the running stream counted, micro-batch by micro-batch, added up."""
+    out = _pipeline_output(spark, data.envelopes(spark, sf).repartition(4, F.xxhash64("value")), max_files=1)
+    metrics = counted.read_batch_metrics(spark, f"{out}/metrics/{GPS_DATASET}")
+    totals = counted.batch_totals(metrics)
+    age = metrics.where(F.col("stage") == counted.LAST_SEEN).agg(F.max("oldest_age_seconds").alias("n")).select(F.lit("oldest_age").alias("name"), "n")
+    number = lambda df, c: df.select(F.lit(c).alias("name"), F.col(c).cast("double").alias("n"))
+    return union_by_name([
+        *(number(totals, c) for c in totals.columns), age,
+        counted.rejected_totals(metrics).select(F.col("reason").alias("name"), F.col("rejections").cast("double").alias("n")),
+    ])
+
+
+@query
+def pipeline_alarms(spark, sf):
+    """The standing alarms over the stream's own counts: these old messages raise the age alarm, and nothing failed."""
+    out = _pipeline_output(spark, data.envelopes(spark, sf))
+    changes = counted.pipeline_alarms(counted.read_batch_metrics(spark, f"{out}/metrics/{GPS_DATASET}"))
+    failed = changes.where(F.col("alarm").isin("validate_errors", "sweep_errors", "dead_letter_count"))
+    return failed.agg(F.count(F.lit(1)).alias("failures"))
+
+
 # --- monitoring --------------------------------------------------------------------------------------
 
 @query

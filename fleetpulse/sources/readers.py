@@ -12,7 +12,8 @@ from fleetpulse.functions.rounding import round_half_even
 from fleetpulse.operators.relations import union_by_name
 from fleetpulse.operators.signal import sweep_name
 from fleetpulse.operators.telemetry import unwrap_envelope
-from fleetpulse.sources.schemas import GPS_REJECTED, MAINTENANCE_SILVER, PING_PARTITIONS, QUALITY_RUN
+from fleetpulse.sources.hours import MANIFEST, PARTITION_SCHEMA, read_hours, visible
+from fleetpulse.sources.schemas import GPS_REJECTED, GPS_SILVER, MAINTENANCE_SILVER, PING_PARTITIONS, QUALITY_RUN
 from fleetpulse.sources.storage import exists
 
 CSV_OPTIONS = {
@@ -86,13 +87,19 @@ def maintenance_layouts(spark: SparkSession, path: str | list[str]) -> list[Data
     return frames
 
 
-def read_silver(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+def read_silver(spark: SparkSession, path: str, schema: StructType | None = None, since=None, until=None, lag_seconds: float | None = None) -> DataFrame:
     """All Parquet files under ``path`` by column name; an empty frame if there are none.
 
     With ``schema`` no footer is read to plan the scan, and columns a file lacks are NULL.
     Without it the schemas of all files are merged. Partition columns are dropped: they
-    describe where a row is stored, not the row.
+    describe where a row is stored, not the row. Of a table of pings with merged hours each
+    row is read once.
+
+    ``since`` and ``until`` limit a table of pings by event time; of its hours only those are
+    listed for reading that can hold such pings (``hours.hours_of``).
     """
+    if since is not None or until is not None:
+        return read_hours(spark, path, schema or GPS_SILVER, since, until, lag_seconds)
     if not exists(spark, path):
         return spark.createDataFrame([], schema or StructType([]))
     reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", True)
@@ -102,6 +109,8 @@ def read_silver(spark: SparkSession, path: str, schema: StructType | None = None
         if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
             raise
         return spark.createDataFrame([], StructType([]))
+    if set(PING_PARTITIONS) <= set(df.columns):
+        df = df.where(visible(spark, path))
     return df.drop(*PING_PARTITIONS, "source_file")
 
 
@@ -143,7 +152,9 @@ def read_rejected(spark: SparkSession, path: str, schema: StructType = GPS_REJEC
     if not exists(spark, path):
         found = spark.createDataFrame([], schema)
         return found.withColumns({"file": F.lit(None).cast("string"), "modified": F.lit(None).cast("timestamp")})
-    return spark.read.schema(schema).json(path).select(
+    rows = spark.read.schema(StructType([*schema.fields, *PARTITION_SCHEMA.fields])).json(path) if exists(spark, f"{path}/{MANIFEST}") else None
+    rows = spark.read.schema(schema).json(path) if rows is None else rows.where(visible(spark, path))
+    return rows.select(
         *schema.fieldNames(),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_modification_time").alias("modified"),

@@ -66,3 +66,14 @@ QUALITY_RUN = T.StructType([
     T.StructField("out_of_range_pct", T.MapType(T.StringType(), T.DoubleType())),
     T.StructField("pandera_failures", T.LongType()),
 ])
+
+BATCH_METRICS = T.StructType([
+    T.StructField("stage", T.StringType()),
+    T.StructField("batch_id", T.LongType()),
+    T.StructField("taken_at", T.TimestampType()),
+    T.StructField("duration_ms", T.LongType()),
+    T.StructField("rows", T.LongType()),
+    T.StructField("errors", T.LongType()),
+    T.StructField("oldest_age_seconds", T.DoubleType()),
+    T.StructField("rejected", T.MapType(T.StringType(), T.LongType())),
+])

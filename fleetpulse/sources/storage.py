@@ -36,11 +36,44 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(target))
 
 
+def matching(spark: SparkSession, path: str, pattern: str) -> list[str]:
+    """Paths below ``path`` that fit the glob ``pattern``, without ``path`` itself; one listing."""
+    fs, target = _fs_path(spark, path)
+    if not fs.exists(target):
+        return []
+    found = fs.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target, pattern)) or []
+    depth = pattern.count("/") + 1
+    return sorted("/".join(status.getPath().toString().split("/")[-depth:]) for status in found)
+
+
 def modified_ms(spark: SparkSession, path: str) -> int:
     fs, target = _fs_path(spark, path)
     return fs.getFileStatus(target).getModificationTime()
 
 
+def read_small(spark: SparkSession, path: str) -> str:
+    """The text of one small file."""
+    fs, target = _fs_path(spark, path)
+    stream = fs.open(target)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_small(spark: SparkSession, path: str, text: str) -> None:
+    """Puts one small, new file in place at once: it is written aside and renamed."""
+    fs, target = _fs_path(spark, path)
+    _, aside = _fs_path(spark, f"{path}.{uuid.uuid4().hex}.tmp")
+    stream = fs.create(aside, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if not fs.rename(aside, target):
+        raise OSError(f"could not put {path} in place")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it in spark.checkpoint.dir.
 

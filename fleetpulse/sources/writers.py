@@ -87,21 +87,21 @@ def _batch_sink(path: str, kind: str):
 
 def stream_silver_gps(
     df: DataFrame, path: str, checkpoint: str, available_now: bool = False, interval: str | None = None,
-    name: str | None = None,
+    name: str | None = None, wrap=lambda store: store,
 ) -> StreamingQuery:
-    """Valid pings of a stream to Parquet, each micro-batch once."""
+    """Valid pings of a stream to Parquet, each micro-batch once. ``wrap`` may add to its storing."""
     rows = silver_gps_columns(_at_hour(df, F.current_timestamp()))
-    return start_query(rows.writeStream.foreachBatch(_batch_sink(path, "parquet")), checkpoint, name, available_now, interval)
+    return start_query(rows.writeStream.foreachBatch(wrap(_batch_sink(path, "parquet"))), checkpoint, name, available_now, interval)
 
 
 def stream_rejected_gps(
     df: DataFrame, path: str, checkpoint: str, available_now: bool = False, interval: str | None = None,
-    name: str | None = None,
+    name: str | None = None, wrap=lambda store: store,
 ) -> StreamingQuery:
     """Rejected pings of a stream to JSON lines, as a query of its own: its failures do not
     hold up the valid pings."""
     rows = rejected_gps_columns(_at_hour(df, F.current_timestamp()))
-    return start_query(rows.writeStream.foreachBatch(_batch_sink(path, "json")), checkpoint, name, available_now, interval)
+    return start_query(rows.writeStream.foreachBatch(wrap(_batch_sink(path, "json"))), checkpoint, name, available_now, interval)
 
 
 def _maintenance_columns(df: DataFrame) -> DataFrame:
