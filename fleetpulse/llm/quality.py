@@ -9,22 +9,23 @@ from fleetpulse.llm.common import words
 from fleetpulse.operators.relations import evaluate_once
 
 SYMBOLS = "#*$%&|<>"
-# Very common words of the languages at hand; a text in running prose has some of them.
+# Very common words of some languages; running prose in one of them has a share of them. The
+# rule is silent on documents in others, or in none that is known.
 STOP_WORDS = {
     "en": "the of and to in a is that it for on was be with as by this at are from",
     "de": "der die und in den von zu das mit sich des auf ist im dem nicht ein eine als auch",
     "fr": "de la le et les des en un du une que est pour qui dans par au sur pas avec",
     "es": "de la que el en y a los se del las un por con no una su para es al",
 }
-# (measure, smallest, largest); a document is kept if every measure lies within its bounds.
+# (measure, smallest, largest); a document is kept if every measure that applies lies within its bounds.
 RULES = [
-    ("n_words", 50, 1_000_000),
+    ("n_words", 50, None),
     ("mean_word_chars", 2, 15),
     ("symbols_per_word", None, 0.1),
     ("exclamations_per_word", None, 0.2),
     ("dup_line_share", None, 0.5),
     ("repeat_word_share", None, 0.5),
-    ("stop_words", 2, None),
+    ("stop_word_share", 0.01, None),
 ]
 
 
@@ -103,9 +104,10 @@ def _rated(docs: DataFrame, carried: Column, rules: list[tuple]) -> DataFrame:
     text = F.col("_text")
     # Words and measures are computed once each: no filter is pushed below them, where it
     # would repeat their expressions.
-    measured = docs.select(carried.alias("_row"), F.coalesce("text", F.lit("")).alias("_text"))
+    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
+    measured = docs.select(carried.alias("_row"), lang.alias("_lang"), F.coalesce("text", F.lit("")).alias("_text"))
     measured = evaluate_once(measured, "_words", words(text))
-    measured = evaluate_once(measured, "_measures", F.struct(*measures(text, F.col("_words")))).select("_row", "_measures.*")
+    measured = evaluate_once(measured, "_measures", F.struct(*measures(text, F.col("_words")))).select("_row", "_lang", "_measures.*")
     share = lambda a, b: F.when(b > 0, a / b)
     rated = measured.select(
         "_row", "n_words", "word_chars", "n_symbols", F.col("_lines.dup").cast("long").alias("n_dup_lines"),
@@ -115,6 +117,7 @@ def _rated(docs: DataFrame, carried: Column, rules: list[tuple]) -> DataFrame:
         share(F.col("n_exclamations"), F.col("n_words")).alias("exclamations_per_word"),
         share(F.col("_lines.dup"), F.col("_lines.n")).alias("dup_line_share"),
         share(F.col("n_repeat_words"), F.col("n_words")).alias("repeat_word_share"),
+        F.when(F.col("_lang").isin(list(STOP_WORDS)), share(F.col("stop_words"), F.col("n_words"))).alias("stop_word_share"),
         ((F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))).alias("base_failed"),
     )
     broken = verdicts(rules)
@@ -123,13 +126,15 @@ def _rated(docs: DataFrame, carried: Column, rules: list[tuple]) -> DataFrame:
 
 
 def quality(docs: DataFrame, rules: list[tuple] = RULES) -> DataFrame:
-    """doc_id of every row of ``docs`` (doc_id, text) with its measures, ``broken`` rules and ``kept``.
+    """doc_id of every row of ``docs`` (doc_id, text, and lang if there is one) with its measures,
+    ``broken`` rules and ``kept``.
 
     Plain projections: no shuffle, no user function. The threshold table decides ``kept``,
     except that a text of fewer than 50 words, or with over half of its words in repeated
     3-word windows, is never kept (``base_failed``). Null and blank texts have no words and
-    fail. Repeated rows, null ids and extra columns make no difference; only doc_id and text
-    are read, so a clash of names cannot arise.
+    fail. No text is too long. Repeated rows, null ids and extra columns make no difference; a
+    value on a bound is within it; only doc_id, text and lang are read, so a clash of names
+    cannot arise; an empty table gives no rows.
     """
     rated = _rated(docs, F.col("doc_id"), rules)
     return rated.select(F.col("_row").alias("doc_id"), *(c for c in rated.columns if c != "_row"))

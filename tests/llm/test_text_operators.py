@@ -40,7 +40,7 @@ def test_measures_against_python(documents):
 
 def test_every_rule_rejects_something_and_prose_stays(documents):
     good = prose(5, 100) + " the of and"
-    bad = {"symbols_per_word": good + " #" * 30, "exclamations_per_word": good.replace(" ", "! "), "stop_words": prose(6, 100),
+    bad = {"symbols_per_word": good + " #" * 30, "exclamations_per_word": good.replace(" ", "! "), "stop_word_share": prose(6, 100),
            "mean_word_chars": "the of " + " ".join("x" * 40 + w for w in prose(7, 80).split()), "n_words": "the of it",
            "dup_line_share": good + "\nthe same\nsame of" * 40, "repeat_word_share": prose(8, 60) + " the of and it" * 60}
     rows = [(0, good)] + list(enumerate(bad.values(), 1))
@@ -53,6 +53,12 @@ def test_every_rule_rejects_something_and_prose_stays(documents):
     assert quality_filter(documents([])).count() == 0
 
 
+def test_no_text_is_too_long_and_unlisted_languages_have_no_stop_words(documents):
+    rows = [(1, prose(6, 100), "fi"), (2, prose(6, 100), None), (3, prose(6, 100), "en"), (4, prose(9, 60_000) + " the of" * 400, "en")]
+    assert sorted(r["doc_id"] for r in quality(documents(rows)).where("kept").collect()) == [1, 2, 4]
+    assert all(most is None for name, _, most in RULES if name == "n_words")
+
+
 def smith_waterman(a, b):
     h = np.zeros((len(a) + 1, len(b) + 1), int)
     for i, x in enumerate(a, 1):
