@@ -188,6 +188,18 @@ def fleet_status_kpis(status: DataFrame) -> DataFrame:
     )
 
 
+def ping_slots(gps: DataFrame, gap_minutes: float = ALERT_MINUTES) -> DataFrame:
+    """(equipo_id, slot, first, last, n): a device's pings folded by slots of the gap's length.
+
+    Pings of one slot can never be further apart than the gap.
+    """
+    gap = int(gap_minutes * 60_000_000)
+    micros = F.unix_micros("event_ts")
+    return gps.filter(F.col("event_ts").isNotNull() & F.col("equipo_id").isNotNull()).groupBy(
+        "equipo_id", (micros - F.pmod(micros, F.lit(gap))).alias("slot")
+    ).agg(F.min(micros).alias("first"), F.max(micros).alias("last"), F.count(F.lit(1)).alias("n"))
+
+
 def signal_loss_sessions(gps: DataFrame, as_of=None, gap_minutes: int = ALERT_MINUTES) -> DataFrame:
     """Each stretch of pings that ended in a silence of more than ``gap_minutes``.
 
@@ -196,10 +208,7 @@ def signal_loss_sessions(gps: DataFrame, as_of=None, gap_minutes: int = ALERT_MI
     one row per device and slot, however many pings a busy device sends.
     """
     gap = gap_minutes * 60_000_000
-    micros = F.unix_micros("event_ts")
-    slots = gps.filter(F.col("event_ts").isNotNull() & F.col("equipo_id").isNotNull()).groupBy(
-        "equipo_id", (micros - F.pmod(micros, F.lit(gap))).alias("slot")
-    ).agg(F.min(micros).alias("first"), F.max(micros).alias("last"), F.count(F.lit(1)).alias("n"))
+    slots = ping_slots(gps, gap_minutes)
     by_time = Window.partitionBy("equipo_id").orderBy("slot")
     starts = F.coalesce(F.col("first") - F.lag("last").over(by_time) > gap, F.lit(True))
     numbered = slots.withColumn("starts", starts.cast("int")).withColumn(

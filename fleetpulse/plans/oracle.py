@@ -538,4 +538,6 @@ ORACLE: dict[str, str] = {
     "last_gps_since": f"""WITH {_CHECKED}, valid AS (SELECT * FROM checked WHERE rejection_reason IS NULL)
         SELECT equipo_id, max(event_ts) AS ultima_fecha_gps, count(*) AS pings, (SELECT count(*) FROM valid) AS stored
         FROM valid WHERE event_ts >= TIMESTAMP '2024-01-15' GROUP BY equipo_id""",
+    "signal_loss_disordered": f"WITH {_GAPPED} SELECT * FROM stretches WHERE last_ping < {AS_OF} - INTERVAL 10 MINUTES",
+    "signal_loss_announced": f"WITH {_GAPPED} SELECT *, CAST(1 AS INTEGER) AS net FROM stretches WHERE last_ping < {AS_OF} - INTERVAL 10 MINUTES",
 }

@@ -34,9 +34,11 @@ from fleetpulse.sources import hours
 from fleetpulse.sources import last_seen as state
 from fleetpulse.sources import readers, writers
 from fleetpulse.sources.schemas import GPS_SILVER, MAINTENANCE_SILVER
+from fleetpulse.sources.silence import announce_losses, read_losses
 from fleetpulse.sources.storage import scratch
 from fleetpulse.sources.tables import create_tables as make_tables
 from fleetpulse.sources.writers import stream_silver_gps
+from fleetpulse.streaming.signal import follow_sessions
 from fleetpulse.streaming.signal import signal_loss_stream as silent_sessions
 from fleetpulse.streaming.telemetry import dedup_stream as first_arrivals
 from fleetpulse.streaming.telemetry import telemetry_pipeline as run_pipeline
@@ -761,6 +763,37 @@ def signal_loss_stream(spark, sf):
     return _streamed(silent_sessions(_event_stream(spark, sf)), "silent")
 
 
+def _disordered_sessions(spark, sf) -> tuple[str, list[DataFrame]]:
+    """The pings in files of mixed time order, followed in two runs of several micro-batches with losses announced after each."""
+    folder, path = scratch(spark, "pings"), scratch(spark, "sessions")
+    pings = data.pings(spark, sf).select("event_id", "equipo_id", "event_ts")
+    changes = []
+    for half in range(2):
+        some = pings.filter(F.pmod(F.xxhash64("event_id"), F.lit(2)) == half).drop("event_id")
+        some.repartition(3, F.xxhash64("event_ts")).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(some.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        follow_sessions(stream, path, f"{path}-checkpoint", available_now=True, compact_every=4).awaitTermination()
+        changes.append(announce_losses(spark, path, AS_OF))
+    return path, changes
+
+
+@query
+def signal_loss_disordered(spark, sf):
+    """A backlog in any order has the losses of the batch form: no ping is too late."""
+    path, _ = _disordered_sessions(spark, sf)
+    return read_losses(spark, path, AS_OF)
+
+
+@query
+def signal_loss_announced(spark, sf):
+    """Losses given out less those taken back are the losses."""
+    _, changes = _disordered_sessions(spark, sf)
+    given = union_by_name(changes).groupBy("equipo_id", "first_ping", "last_ping", "lost_at", "pings").agg(
+        F.sum(F.when(F.col("state") == "LOST", 1).otherwise(-1)).alias("net")
+    )
+    return given.where("net <> 0").select("equipo_id", "first_ping", "last_ping", "lost_at", "pings", F.col("net").cast("int").alias("net"))
+
+
 def _pipeline_output(spark, envelopes: DataFrame, max_files: int | None = None) -> str:
     folder, out = scratch(spark, "messages"), scratch(spark, "pipeline")
     envelopes.write.text(folder)

@@ -28,12 +28,13 @@ def upsert_last_seen(old: DataFrame, new: DataFrame) -> DataFrame:
     )
 
 
-def _committed(spark: SparkSession, path: str) -> list[int]:
+def committed(spark: SparkSession, path: str) -> list[int]:
+    """Versions of a snapshot table that are complete."""
     versions = [int(n[2:]) for n in child_names(spark, path) if n.startswith("v=") and n[2:].isdigit()]
     return sorted(v for v in versions if exists(spark, f"{path}/v={v}/_SUCCESS"))
 
 
-def _parts(path: str, version: int | None) -> str:
+def parts_of(path: str, version: int | None) -> str:
     """Folder of the micro-batches merged since that snapshot."""
     return f"{path}/after-{'start' if version is None else version}"
 
@@ -44,8 +45,8 @@ def read_last_seen(spark: SparkSession, path: str) -> DataFrame:
     Empty before the first. The files behind the frame stay for as long as
     ``compact_last_seen`` is told to keep them.
     """
-    newest = next(iter(_committed(spark, path)[::-1]), None)
-    since = _parts(path, newest)
+    newest = next(iter(committed(spark, path)[::-1]), None)
+    since = parts_of(path, newest)
     files = [] if newest is None else [f"{path}/v={newest}"]
     files += [f"{since}/{name}" for name in child_names(spark, since) if exists(spark, f"{since}/{name}/_SUCCESS")]
     if not files:
@@ -60,7 +61,7 @@ def write_last_seen(state: DataFrame, path: str) -> None:
     A snapshot counts from its success marker on, so a write that dies half-way is never read
     and is overwritten by the next one. One writer at a time.
     """
-    versions = _committed(state.sparkSession, path)
+    versions = committed(state.sparkSession, path)
     state.write.mode("overwrite").parquet(f"{path}/v={versions[-1] + 1 if versions else 0}")
 
 
@@ -71,11 +72,11 @@ def compact_last_seen(spark: SparkSession, path: str, keep_seconds: float = KEEP
     read before stays readable for so long.
     """
     write_last_seen(read_last_seen(spark, path), path)
-    versions = _committed(spark, path)
+    versions = committed(spark, path)
     limit = 1000 * (time.time() - keep_seconds)
     for version, following in zip([None, *versions], versions):
         if modified_ms(spark, f"{path}/v={following}/_SUCCESS") < limit:
-            delete(spark, _parts(path, version))
+            delete(spark, parts_of(path, version))
             if version is not None:
                 delete(spark, f"{path}/v={version}")
 
@@ -91,9 +92,9 @@ def last_seen_sink(
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        newest = next(iter(_committed(spark, path)[::-1]), None)
+        newest = next(iter(committed(spark, path)[::-1]), None)
         none = spark.createDataFrame([], LAST_SEEN)
-        part = f"{_parts(path, newest)}/{batch_name(batch, batch_id)}"
+        part = f"{parts_of(path, newest)}/{batch_name(batch, batch_id)}"
         upsert_last_seen(none, batch).write.mode("overwrite").parquet(part)
         if batch_id % compact_every == compact_every - 1:
             compact_last_seen(spark, path, keep_seconds)

@@ -77,3 +77,19 @@ BATCH_METRICS = T.StructType([
     T.StructField("oldest_age_seconds", T.DoubleType()),
     T.StructField("rejected", T.MapType(T.StringType(), T.LongType())),
 ])
+
+SESSIONS = T.StructType([
+    T.StructField("equipo_id", T.StringType()),
+    T.StructField("first", T.LongType()),
+    T.StructField("last", T.LongType()),
+    T.StructField("pings", T.LongType()),
+])
+
+LOSS_CHANGES = T.StructType([
+    T.StructField("equipo_id", T.StringType()),
+    T.StructField("first_ping", T.TimestampType()),
+    T.StructField("last_ping", T.TimestampType()),
+    T.StructField("lost_at", T.TimestampType()),
+    T.StructField("pings", T.LongType()),
+    T.StructField("state", T.StringType()),
+])

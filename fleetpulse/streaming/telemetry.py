@@ -17,14 +17,26 @@ from fleetpulse.sources.readers import read_telemetry_stream
 from fleetpulse.sources.storage import make_dir
 from fleetpulse.sources.writers import start_query, stream_rejected_gps, stream_silver_gps
 
+SPREAD = 16  # shares over which the copies of one key are dealt
 
-def dedup_stream(df: DataFrame, keys: Sequence[str] = tuple(DEDUP_KEYS_GPS), ttl: str = DEDUP_TTL) -> DataFrame:
+
+def dedup_stream(
+    df: DataFrame, keys: Sequence[str] = tuple(DEDUP_KEYS_GPS), ttl: str = DEDUP_TTL, spread: int = SPREAD
+) -> DataFrame:
     """First arrival per key, remembered for ``ttl`` across batches and restarts.
 
     ``ttl`` runs from when a micro-batch took the row in, a time that never goes back. So no
     row is ever late: a backlog in any order of event times loses nothing to a watermark.
+
+    Copies are first left out within ``spread`` shares into which rows are dealt, whatever their
+    key. A key with very many copies is thus met by many tasks, and of all its copies within
+    ``ttl`` at most ``spread`` reach the one task that knows it. A key is remembered twice for it;
+    ``spread=1`` saves that where no key has many copies.
     """
     taken = df.withColumn("_taken", F.current_timestamp()).withWatermark("_taken", ttl)
+    if spread > 1:
+        dealt = taken.withColumn("_share", F.floor(F.rand(17) * spread).cast("int"))
+        taken = dealt.dropDuplicatesWithinWatermark([*keys, "_share"]).drop("_share")
     return taken.dropDuplicatesWithinWatermark(list(keys)).drop("_taken")
 
 
