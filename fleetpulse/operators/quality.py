@@ -266,12 +266,16 @@ def dq_metrics(df: DataFrame, dataset: str, run_ts=None) -> DataFrame:
         _counts(_filled(df)).alias("_filled"),
         (_counts(ranges) if ranges else F.lit(None)).cast("array<struct<column:string,n:bigint>>").alias("_ranges"),
     )
+    duplicates = dq_duplicates(df, dataset).scalar()
+    return _metrics_row(stats.withColumn("duplicates_count", duplicates), dataset, run_ts, absent)
+
+
+def _metrics_row(counted: DataFrame, dataset: str, run_ts, absent: int) -> DataFrame:
+    """From one row of counters to the percentages."""
     total = F.col("total_rows")
     failing = F.filter(F.coalesce("_ranges", F.array().cast("array<struct<column:string,n:bigint>>")), lambda entry: entry["n"] > 0)
     complete = F.map_from_entries(_percentages(F.col("_filled"), total, "pct"))
     outside = F.map_from_entries(_percentages(failing, total, "pct"))
-    duplicates = dq_duplicates(df, dataset).scalar()
-    counted = stats.withColumn("duplicates_count", duplicates)
     return counted.select(
         F.lit(dataset).alias("dataset"),
         moment(run_ts).alias("run_timestamp"),
@@ -287,6 +291,41 @@ def dq_metrics(df: DataFrame, dataset: str, run_ts=None) -> DataFrame:
     )
 
 
+def dq_states(df: DataFrame, dataset: str, *groups: str) -> DataFrame:
+    """(groups, kind, column, n): the counters behind ``dq_metrics``, which add up over groups."""
+    checks, ranges = _checks(df, dataset), _range_failures(df, dataset)
+    failures = reduce(lambda a, b: a + b, (f.cast("bigint") for _, _, f in checks), F.lit(0).cast("bigint"))
+    kept = df.drop(*groups)
+    entry = lambda kind, column, n: F.struct(F.lit(kind).alias("kind"), F.lit(column).cast("string").alias("column"), n.cast("bigint").alias("n"))
+    counters = [
+        entry("total", None, F.count(F.lit(1))), entry("rejected", None, F.count_if(_any_failed(checks))),
+        entry("failures", None, F.coalesce(F.sum(failures), F.lit(0))),
+        *(entry("filled", c, n) for c, n in _filled(kept).items()), *(entry("range", c, n) for c, n in ranges.items()),
+    ]
+    return df.groupBy(*groups).agg(F.array(*counters).alias("_counters")).select(*groups, F.inline("_counters"))
+
+
+def dq_key_counts(df: DataFrame, dataset: str, *groups: str) -> DataFrame:
+    """(groups, key, n): how often each key of the dataset occurs, NULLs equal, by a 128-bit name of it."""
+    keys = [k for k in _dataset(dataset).keys if k in df.columns]
+    name = F.unhex(F.substring(F.sha2(F.to_json(F.struct(*keys)) if keys else F.monotonically_increasing_id().cast("string"), 256), 1, 32))
+    return df.groupBy(*groups, name.alias("key")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def dq_metrics_of_states(states: DataFrame, key_counts: DataFrame, dataset: str, run_ts=None, absent: int = 0) -> DataFrame:
+    """As ``dq_metrics``, from counters and key counts of the parts of a table."""
+    summed = states.groupBy("kind", "column").agg(F.sum("n").alias("n"))
+    of = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("n"))), F.lit(0))
+    entries = lambda kind: F.sort_array(F.collect_list(F.when(F.col("kind") == kind, F.struct("column", "n"))))
+    stats = summed.agg(
+        of("total").alias("total_rows"), of("rejected").alias("rejected_rows"), of("failures").alias("_failures"),
+        entries("filled").alias("_filled"), entries("range").alias("_ranges"),
+    )
+    per_key = key_counts.groupBy("key").agg(F.sum("n").alias("n")).where("n > 0")
+    duplicates = per_key.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0))).scalar()
+    return _metrics_row(stats.withColumn("duplicates_count", duplicates), dataset, run_ts, absent)
+
+
 def dq_column_status(metrics: DataFrame) -> DataFrame:
     """Per column: OK, ``revisar`` from 95 % complete, else ``crítico``; from ``dq_metrics``."""
     outside = F.coalesce(F.col("out_of_range_pct")[F.col("column")], F.lit(0.0))

@@ -540,4 +540,5 @@ ORACLE: dict[str, str] = {
         FROM valid WHERE event_ts >= TIMESTAMP '2024-01-15' GROUP BY equipo_id""",
     "signal_loss_disordered": f"WITH {_GAPPED} SELECT * FROM stretches WHERE last_ping < {AS_OF} - INTERVAL 10 MINUTES",
     "signal_loss_announced": f"WITH {_GAPPED} SELECT *, CAST(1 AS INTEGER) AS net FROM stretches WHERE last_ping < {AS_OF} - INTERVAL 10 MINUTES",
+    "dq_run_incremental": f"WITH {_FAULTY} SELECT * FROM ({_metrics('gps_eventos')})",
 }

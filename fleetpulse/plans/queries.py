@@ -527,6 +527,21 @@ def dq_run(spark, sf):
     return spark.read.parquet(f"{gold}/parquet").drop("completeness_pct", "out_of_range_pct")
 
 
+@query
+def dq_run_incremental(spark, sf):
+    """Three increments, one of them written twice and two merged before the last run: as one full run."""
+    path, gold = scratch(spark, "silver"), scratch(spark, "gold")
+    rows = _faulty_table(spark, sf)
+    for third in range(3):
+        some = rows.filter(F.col("event_id") % 3 == third).drop("event_id", "copy")
+        for attempt in range(1 + (third == 1)):
+            writers.write_silver_gps(some.limit(100) if third == 1 and attempt == 0 else some, path, f"2024-01-31 0{third // 2}:00:00", batch=f"part-{third}")
+            metrics = jobs.dq_run_incremental(spark, path, gold, run_ts=datetime(2024, 1, 31, tzinfo=timezone.utc))
+        if third == 1:
+            hours.merge_hours(spark, path, GPS_SILVER, datetime(2024, 2, 1, tzinfo=timezone.utc))
+    return metrics.drop("completeness_pct", "out_of_range_pct")
+
+
 @query
 def write_quality_metrics(spark, sf):
     gold = scratch(spark, "gold")

@@ -19,7 +19,7 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 from fleetpulse.constants import FUTURE_GRACE_SECONDS, MAX_AGE_SECONDS
 from fleetpulse.functions.moments import before, moment
 from fleetpulse.sources.schemas import HOUR_PARTITIONS, PING_PARTITIONS
-from fleetpulse.sources.storage import child_names, delete, exists, matching, modified_ms, read_small, write_small
+from fleetpulse.sources.storage import child_names, delete, exists, matching, matching_since, modified_ms, read_small, write_small
 
 MANIFEST = "_merged"
 MERGED = "merged-"
@@ -70,7 +70,7 @@ def visible(spark: SparkSession, path: str) -> Column:
     merged = F.startswith("batch", F.lit(MERGED))
     if not entries:
         return ~merged
-    key = F.concat_ws("/", *[F.col(c).cast("int").cast("string") for c in HOUR_PARTITIONS], "batch")
+    key = folder_key()
     counts = F.col("batch").isin(list(entries)) | ~merged
     replaced = [k for keys in entries.values() for k in keys]
     return counts & ~key.isin(replaced) if replaced else counts
@@ -92,6 +92,18 @@ def counting(spark: SparkSession, path: str) -> list[dict]:
     ]
 
 
+def contents(spark: SparkSession, path: str) -> dict[str, str]:
+    """Of the folders that count, key -> key and time of the last change: what a state is made from."""
+    layout = "/".join(f"{c}=*" for c in PING_PARTITIONS)
+    changed = {_key(dict(x.split("=", 1) for x in k.split("/"))): t for k, t in matching_since(spark, path, layout).items()}
+    return {k: f"{k}@{changed[k]}" for k in map(_key, counting(spark, path)) if k in changed}
+
+
+def folder_key() -> Column:
+    """The key of the folder that a row lies in."""
+    return F.concat_ws("/", *[F.col(c).cast("int").cast("string") for c in HOUR_PARTITIONS], "batch")
+
+
 def folder(path: str, key: str) -> str:
     year, month, day, hour, batch = key.split("/", 4)
     return f"{path}/year={year}/month={int(month):02d}/day={int(day):02d}/hour={int(hour):02d}/batch={batch}"

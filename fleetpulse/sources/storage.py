@@ -46,6 +46,16 @@ def matching(spark: SparkSession, path: str, pattern: str) -> list[str]:
     return sorted("/".join(status.getPath().toString().split("/")[-depth:]) for status in found)
 
 
+def matching_since(spark: SparkSession, path: str, pattern: str) -> dict[str, int]:
+    """As ``matching``, with the time each was last changed."""
+    fs, target = _fs_path(spark, path)
+    if not fs.exists(target):
+        return {}
+    found = fs.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target, pattern)) or []
+    depth = pattern.count("/") + 1
+    return {"/".join(s.getPath().toString().split("/")[-depth:]): s.getModificationTime() for s in found}
+
+
 def modified_ms(spark: SparkSession, path: str) -> int:
     fs, target = _fs_path(spark, path)
     return fs.getFileStatus(target).getModificationTime()

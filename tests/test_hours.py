@@ -5,7 +5,9 @@ from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
 
+from fleetpulse.operators.quality import dq_metrics
 from fleetpulse.operators.reports import critical_equipment_report
+from fleetpulse.plans.jobs import dq_run_incremental
 from fleetpulse.sources import hours
 from fleetpulse.sources.hours import counting, folders, merge_hours
 from fleetpulse.sources.readers import read_rejected, read_silver
@@ -113,3 +115,22 @@ def test_rejected_zone_and_catalog_follow_the_merge(spark, tmp_path):
     refresh_tables(spark, "hours_test")
     assert spark.table("hours_test.gps_eventos").count() == 10
     spark.sql("DROP DATABASE hours_test CASCADE")
+
+
+def test_quality_run_reads_only_changed_folders(spark, tmp_path):
+    path, gold = str(tmp_path / "silver"), str(tmp_path / "gold")
+    write_silver_gps(pings(spark, 20), path, START, batch="a")
+    dq_run_incremental(spark, path, gold, run_ts=START)
+    write_silver_gps(pings(spark, 20, 10), path, START, batch="b")  # ten keys come again
+    second = dq_run_incremental(spark, path, gold, run_ts=START).head()
+    counted = lambda v: {r["source"].split("@")[0]: r["n"] for r in spark.read.parquet(f"{gold}/states/gps_eventos/v={v}/counters").where("kind = 'total'").collect()}
+    assert counted(0) == {"2026/5/20/0/a": 20} and counted(1) == {"2026/5/20/0/b": 20}
+    whole = dq_metrics(read_silver(spark, path, GPS_SILVER), "gps_eventos", START).head()
+    assert second.asDict() == whole.asDict() and second["duplicates_count"] == 10
+    dq_run_incremental(spark, path, gold, run_ts=START)
+    assert counted(2) == {}
+    write_silver_gps(pings(spark, 5), path, START, batch="a")  # a folder written anew takes its old counts with it
+    assert dq_run_incremental(spark, path, gold, run_ts=START).head()["total_rows"] == 25
+    merge_hours(spark, path, GPS_SILVER, START + timedelta(hours=1))
+    merged = dq_run_incremental(spark, path, gold, run_ts=START).head()
+    assert merged.asDict() == dq_metrics(read_silver(spark, path, GPS_SILVER), "gps_eventos", START).head().asDict()
