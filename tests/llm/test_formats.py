@@ -54,15 +54,16 @@ def test_windows_and_digests(spark):
 
 
 def test_licences_against_sql(spark, documents):
-    mit = ". ".join(SENTENCES[k].capitalize() for k in ("mit-grant", "mit-condition", "as-is")) + "."
-    rows = [(1, "Intro.\n" + mit), (2, ". ".join(SENTENCES[k] for k in ("as-is", "mit-condition", "mit-grant"))), (3, None), (4, ""),
+    sentences = {name: s for name, s in reversed(SENTENCES)}
+    mit = ". ".join(sentences[k].capitalize() for k in ("mit-grant", "mit-condition", "as-is")) + "."
+    rows = [(1, "Intro.\n" + mit), (2, ". ".join(sentences[k] for k in ("as-is", "mit-condition", "mit-grant"))), (3, None), (4, ""),
             (5, "Licensed under the Apache License, Version 2.0."), (6, "Nothing here. At all"), (None, "Released under the MIT License!\nall  rights RESERVED"),
             (7, "x Licensed under CC BY-NC 4.0. y"), (7, "We hold a licence. Licensed under CC BY-NC 4.0."), (8, prose(1, 500) + ". Licensed under CC BY-NC 4.0.")]
     docs = documents(rows, sentences=1, licenses=2)
     got = licenses(docs).collect()
     by = {r["doc_id"]: r["licenses"] for r in got}
     assert by[1] == "MIT" and by[2] == "" and by[5] == "Apache-2.0" and by[None] == "MIT,All-Rights-Reserved" and by[8] == "CC-BY-NC-4.0"
-    assert all(any(m in s for m in MARKS) for s in SENTENCES.values())
+    assert all(any(m in s for m in MARKS) for s in sentences.values())
     con = duckdb.connect()
     con.register("documents", docs.select("doc_id", "text").toArrow())
     want = con.execute(licenses_sql()).fetchall()
