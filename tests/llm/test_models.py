@@ -8,7 +8,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fleetpulse.llm.language import grams, identify, languages, positions, POSITIONS, _letter_table
+from fleetpulse.llm import language
+from fleetpulse.llm.language import RATE, bloom_filters, filter_size, grams, gram_counts, identify, languages, own_grams, positions, _letter_table
 from fleetpulse.llm.scoring import expected_counts, forward, scored
 from tests.llm.conftest import prose
 
@@ -83,11 +84,11 @@ def test_grams_are_runs_of_letters():
 
 def test_false_positives_are_taken_off():
     keys = grams(prose(1, 40), _letter_table())
-    table, at = np.zeros((1, POSITIONS), np.uint32), positions(keys)
+    table, at = np.zeros((1, 4096), np.uint32), positions(keys, 4096)
     for p in at:
         table[0, p] |= 1
-    table[0, at[0][: len(keys) // 2]] |= 2
-    table[0, at[1][: len(keys) // 2]] |= 2
+    for p in at:
+        table[0, p[: len(keys) // 2]] |= 2
     best, score = identify(keys, table, np.array([0.0, 0.0]))
     assert best == 0 and score > 0.5
     assert identify(keys, table, np.array([1.0, 0.0]))[0] == 1
@@ -112,3 +113,34 @@ def test_held_out_accuracy(spark, sf_dir):
     got = languages(docs, F.crc32(F.col("doc_id").cast("string")) % 3 == 1).join(docs.select("doc_id", "lang"), "doc_id")
     right, n = got.where("held_out").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int")), F.count("*")).head()
     assert n > 20 and right > 0.97
+
+
+def test_filters_against_the_exact_sets(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    counts = gram_counts(docs.select("lang", "text"))
+    names = ["en", "fr", "de", "es"]
+    own = own_grams(counts, names)
+    sets = [{r["gram"] for r in own.collect() if r["number"] == k} for k in range(4)]
+    size = filter_size(max(map(len, sets)))
+    table = bloom_filters(own, 4, size)
+    every = np.array(sorted(set().union(*sets)), np.int64).view(np.uint64)
+    strange = np.random.default_rng(1).integers(0, 2**63, 50_000).astype(np.uint64)
+    holds = lambda keys, k: np.bitwise_and.reduce([table[0, at] for at in positions(keys, size)]) >> np.uint32(k) & 1
+    for k in range(4):
+        inside = np.isin(every.view(np.int64), np.array(sorted(sets[k])))
+        assert holds(every, k)[inside].all()  # none is missed
+        assert holds(every, k)[~inside].mean() <= 2.5 * RATE and holds(strange, k).mean() <= 2 * RATE
+    assert filter_size(0) == 4096 and filter_size(1_000_000) >= 10_000_000
+
+
+def test_joined_languages_are_those_of_the_filters(spark, documents, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    extra = spark.createDataFrame([(None, "", "en"), (90001, None, None), (90002, "12 34", None), (90003, "\u6f22\u5b57 \u6f22", None), (90003, "\u6f22\u5b57 \u6f22", None)], docs.schema)
+    docs = docs.union(extra)
+    fold = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    key = lambda r: (str(r["doc_id"]), r["held_out"], r["lang_pred"])
+    sent = sorted(languages(docs, fold).collect(), key=key)
+    monkeypatch.setattr(language, "BROADCAST", 0)
+    joined = sorted(languages(docs, fold).collect(), key=key)
+    assert list(map(key, joined)) == list(map(key, sent))
+    assert all(abs(a["score"] - b["score"]) < 0.05 for a, b in zip(sent, joined))
