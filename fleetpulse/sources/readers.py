@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructType, VariantType
 
 from fleetpulse.constants import AUTO_SOURCE, CSV_NULL_TOKENS
 from fleetpulse.functions.moments import moment
@@ -175,4 +175,5 @@ def rejected_sample(spark: SparkSession, path: str, n: int = 5, schema: StructTy
     newest = files.agg(F.max(F.struct("modificationTime", "path")).alias("newest")).head()["newest"]
     if newest is None:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).json(newest["path"]).orderBy(*schema.fieldNames()).limit(n)
+    sortable = [f.name for f in schema if not isinstance(f.dataType, VariantType)]
+    return spark.read.schema(schema).json(newest["path"]).orderBy(*sortable).limit(n)

@@ -1,7 +1,7 @@
 """Writing the stored tables.
 
-Every write of pings, maintenance rows and sweeps replaces its own partitions, so a repeated
-one does not double rows. Quality metrics are appended: each run is a row of its own.
+Every write of pings, maintenance rows, sweeps and quality runs replaces its own partitions, so a
+repeated one does not double rows.
 """
 
 from __future__ import annotations
@@ -159,13 +159,16 @@ def _drop_partitions(path: str, files: DataFrame) -> None:
 def write_quality_metrics(metrics: DataFrame, path: str) -> None:
     """One run's metrics: JSON with nested maps, and Parquet with the maps as JSON text.
 
-    ``metrics`` is one row, materialized here once so that the two files cannot differ.
+    ``metrics`` is one row, materialized here once so that the two files cannot differ. A run
+    is a partition of its dataset and time: repeated, it replaces its own row.
     """
     spark = metrics.sparkSession
     row = spark.createDataFrame(metrics.collect(), metrics.schema)
-    row.write.mode("append").partitionBy("dataset").json(f"{path}/json")
+    row = row.withColumn("run", F.date_format("run_timestamp", "'t'yyyyMMddHHmmssSSSSSS"))
     flat = row.withColumns({c: F.to_json(c) for c in ("completeness_pct", "out_of_range_pct")})
-    flat.write.mode("append").option("compression", "snappy").partitionBy("dataset").parquet(f"{path}/parquet")
+    for kind, rows in (("json", row), ("parquet", flat)):
+        writer = rows.write.mode("overwrite").options(**_REPLACE_PARTITIONS).partitionBy("dataset", "run").format(kind)
+        writer.save(f"{path}/{kind}")
 
 
 def append_auto_maintenance(records: DataFrame, path: str, as_of=None) -> None:

@@ -29,7 +29,7 @@ AS_OF = datetime(2026, 5, 20, 12, 0, 0, tzinfo=timezone.utc)
 
 def pings(spark, *rows):
     return spark.createDataFrame(
-        [(m, -9.1, -77.5, t.isoformat(), 60.0, "ACTIVO", t) for m, t in rows], GPS_SILVER
+        [(m, -9.1, -77.5, t.isoformat(), 60.0, "ACTIVO", t, None) for m, t in rows], GPS_SILVER
     )
 
 
