@@ -3,25 +3,31 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetpulse.llm.common import byte_words, lower_ascii, staged, words
+from fleetpulse.llm.common import byte_words, staged
 
 STATES = 8
-HEAD = 32768  # a word with at least 1/HEAD of all tokens has an emission of its own
-CLASSES = 4096  # other words are emitted by class, the hash of their last three bytes
+BLOCK = 1 << 20  # tokens of the documents that share a dictionary; a longer document is a block
 FREQUENT = 512  # words whose neighbours give the model its starting point
 ROUNDS = 2  # of Baum-Welch over the whole corpus
 SEQUENCE = 1024  # tokens of a training sequence; longer texts are cut into several
 BATCH = 1 << 19  # tokens that are worked on at once
-PRIOR = 100.0  # weight of the overall distribution in a state's emissions, in tokens
-_CHUNK = 1024
+CLASSES = 4096  # by the hash of a word's last three bytes
+SHRINK = 1.0  # occurrences by which a word is taken to be spread over the states as its class is
+END = b""  # the token after the last word, which no word equals
+_USES = [f"u{k}" for k in range(STATES)]
+_BLOCK = (
+    "ids array<long>, held array<boolean>, lengths array<long>, wide boolean, codes binary, "
+    "words array<binary>, counts array<long>"
+)
 
 
 def _batches(lengths: np.ndarray) -> Iterator[np.ndarray]:
@@ -74,92 +80,214 @@ def expected_counts(codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray,
     return posts[-1].sum(0), moves * transition, uses
 
 
-def _tokens(batches: Iterator[pa.RecordBatch], column: int) -> tuple[np.ndarray, np.ndarray]:
-    parts = [np.frombuffer(x.as_py(), np.uint16) for b in batches for x in b.column(column)]
-    return np.concatenate(parts) if parts else np.zeros(0, np.uint16), np.array([len(p) for p in parts], np.int64)
+def blocks(rows: DataFrame) -> DataFrame:
+    """Documents (doc_id, held_out, text binary) in blocks of about BLOCK tokens, one row each.
 
+    A block has a dictionary of its words, how often training documents use each, and the
+    tokens of its documents as places in the dictionary, whose first word is END.
+    """
 
-def _summed(rows: DataFrame) -> dict[int, np.ndarray]:
-    """Arrays (part, values) of all tasks, summed by part; as many as parts, of fixed size."""
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def empty() -> None:
+            nonlocal place, ids, held, parts, tokens
+            place, ids, held, parts, tokens = defaultdict(None, {END: 0}), [], [], [], 0
+            place.default_factory = place.__len__
+
+        def block() -> pa.RecordBatch:
+            codes, lengths = np.concatenate(parts), np.array([len(p) for p in parts])
+            counts = np.bincount(codes[~np.repeat(np.array(held, bool), lengths)], minlength=len(place))
+            wide = len(place) > 1 << 16
+            values = [ids, held, lengths, wide, codes.astype(np.uint32 if wide else np.uint16).tobytes(), list(place), counts]
+            kinds = [pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.bool_(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64())]
+            return pa.record_batch([pa.array([v], k) for v, k in zip(values, kinds)], [c.split()[0] for c in _BLOCK.split(", ")])
+
+        place, ids, held, parts, tokens = {}, [], [], [], 0
+        empty()
+        for batch in batches:
+            for doc, out, text in zip(*(batch.column(i) for i in range(3))):
+                own = byte_words(text.as_py())
+                codes = np.zeros(len(own) + 1, np.uint32)
+                codes[:-1] = np.fromiter(map(place.__getitem__, own), np.uint32, len(own))
+                ids.append(doc.as_py())
+                held.append(out.as_py())
+                parts.append(codes)
+                tokens += len(codes)
+                if tokens >= BLOCK:
+                    yield block()
+                    empty()
+        if ids:
+            yield block()
 
-    def add(frame: pd.DataFrame) -> pd.DataFrame:
-        total = np.sum([np.frombuffer(x, np.float64) for x in frame["values"]], axis=0)
-        return pd.DataFrame({"part": frame["part"].iloc[:1], "values": [total.tobytes()]})
+    return rows.mapInArrow(encode, _BLOCK)
 
-    done = rows.groupBy("part").applyInPandas(add, "part int, values binary").collect()
-    return {r["part"]: np.frombuffer(r["values"], np.float64) for r in done}
 
+class Block(NamedTuple):
+    """A row of ``blocks`` as arrays; ``found`` are the rows that ``with_words`` brought."""
 
-def _rows(parts: dict[int, np.ndarray]) -> pa.RecordBatch:
-    return pa.record_batch(
-        [pa.array(list(parts), pa.int32()), pa.array([np.ascontiguousarray(v, np.float64).tobytes() for v in parts.values()], pa.binary())],
-        ["part", "values"],
-    )
+    ids: pa.Array
+    held: np.ndarray
+    lengths: np.ndarray
+    codes: np.ndarray
+    words: pa.Array
+    counts: np.ndarray
+    found: pa.Array | None
 
 
-def pair_counts(encoded: DataFrame, size: int) -> np.ndarray:
-    """How often one of the ``size`` most frequent words follows another."""
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
+    for batch in batches:
+        for row in batch.to_struct_array():
+            codes = np.frombuffer(row["codes"].as_py(), np.uint32 if row["wide"].as_py() else np.uint16)
+            held, lengths, counts = (row[c].values.to_numpy(zero_copy_only=False) for c in ("held", "lengths", "counts"))
+            yield Block(row["ids"].values, held.astype(bool), lengths, codes, row["words"].values, counts, row["found"].values if "found" in row else None)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size * size)
-        for batch in batches:
-            codes, lengths = _tokens([batch], 0)
-            first = codes[:-1].astype(np.int64)
-            follows = np.ones(len(codes), bool)
-            follows[(np.cumsum(lengths) - 1)] = False
-            both = follows[:-1] & (codes[:-1] < size) & (codes[1:] < size) if len(codes) else np.zeros(0, bool)
-            total += np.bincount(first[both] * size + codes[1:][both], minlength=size * size)
-        yield _rows(dict(enumerate(total.reshape(size, size))))
 
-    found = _summed(encoded.select("codes").mapInArrow(count, "part int, values binary"))
-    return np.array([found.get(i, np.zeros(size)) for i in range(size)])
+def with_words(data: DataFrame, table: DataFrame) -> DataFrame:
+    """Blocks with the rows of ``table`` (word, c, u0, ...) for the words of their dictionaries.
+
+    A word is in a block's dictionary once, so no word has more than a row a block.
+    """
+    own = data.select("block", F.posexplode("words").alias("at", "word"))
+    found = own.join(table, "word").groupBy("block").agg(F.collect_list(F.struct("at", "c", *_USES)).alias("found"))
+    return data.join(found, "block", "left")
 
 
-def starting_point(pairs: np.ndarray, overall: np.ndarray, states: int) -> tuple:
-    """A model from the pair counts: words share a state if the same words precede them.
+def pair_counts(data: DataFrame, top: dict[bytes, int]) -> np.ndarray:
+    """How often one of the words of ``top`` follows another in training documents."""
+    size = len(top)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size * size, np.int64)
+        for block in _blocks(batches):
+            codes = np.array([top.get(w, -1) for w in block.words.to_pylist()], np.int64)[block.codes]
+            leads = ~np.repeat(block.held, block.lengths)
+            leads[np.cumsum(block.lengths) - 1] = False
+            both = leads[:-1] & (codes[:-1] >= 0) & (codes[1:] >= 0)
+            total += np.bincount(codes[:-1][both] * size + codes[1:][both], minlength=size * size)
+        pairs = np.flatnonzero(total)
+        yield pa.record_batch([pa.array(pairs), pa.array(total[pairs])], ["pair", "n"])
+
+    counted = data.select("held", "ids", "lengths", "wide", "codes", "words", "counts").mapInArrow(count, "pair long, n long")
+    found = counted.groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(size * size)
+    out[found["pair"].to_numpy()] = found["n"].to_numpy()
+    return out.reshape(size, size)
+
+
+def starting_point(pairs: np.ndarray, states: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(initial, transition, lift) from pair counts: words share a state if the same words precede them.
 
     Factors P(next | word) into P(state | word) P(next | state) by EM on the fixed-size
-    matrix. Words beyond it start with the overall distribution in every state.
+    matrix. lift is P(word | state) among these words.
     """
     random, size = np.random.default_rng(7), len(pairs)
+    if size == 0:
+        return np.full(states, 1 / states), np.full((states, states), 1 / states), np.zeros((0, states))
     to, out = random.dirichlet(np.ones(states), size), random.dirichlet(np.ones(size), states)
     for _ in range(60):
         ratio = pairs / np.maximum(to @ out, 1e-300)
         to, out = to * (ratio @ out.T) + 1e-9, out * (to.T @ ratio) + 1e-12
         to /= to.sum(1, keepdims=True)
         out /= out.sum(1, keepdims=True)
-    emission = np.tile(overall[:, None], (1, states))
-    emission[:size] = 0.9 * out.T * overall[:size].sum() + 0.1 * overall[:size, None]
-    emission /= emission.sum(0)
     transition = 0.9 * out @ to + 0.1 / states
-    transition /= transition.sum(1, keepdims=True)
-    return np.full(states, 1 / states), transition, emission
+    return np.full(states, 1 / states), transition / transition.sum(1, keepdims=True), out.T
+
+
+def starting_emissions(top: dict[bytes, int], shares: np.ndarray, lift: np.ndarray) -> Callable[[Block], np.ndarray]:
+    """Emissions over the word's share of all tokens: words beyond ``top`` are as likely in every state."""
+    known = 0.9 * lift * shares.sum() / shares[:, None] + 0.1
+
+    def emissions(block: Block) -> np.ndarray:
+        out = np.ones((len(block.words), known.shape[1]))
+        at = np.array([top.get(w, -1) for w in block.words.to_pylist()])
+        out[at >= 0] = known[at[at >= 0]]
+        return out
+
+    return emissions
+
+
+def word_class(word: bytes) -> int:
+    return zlib.crc32(word[-3:]) % CLASSES
+
+
+def smoothed(c: np.ndarray, uses: np.ndarray, shares: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    """P(word | state) from a word's count, its expected uses by state and its class's shares.
+
+    A word's c + 1 occurrences are spread as ``uses`` and SHRINK more, which are spread as
+    ``shares``. ``sums`` are the totals of that over all words and one unknown word a class,
+    so that they make a distribution.
+    """
+    return ((c + 1) / (c + SHRINK))[:, None] * (uses + SHRINK * shares) / sums
 
 
-def baum_welch(encoded: DataFrame, model: tuple, overall: np.ndarray) -> tuple:
-    """One round: counts expected under the model, summed over all partitions, normalised."""
-    states, size = model[2].shape[1], len(overall)
+def learned_emissions(shares: np.ndarray, sums: np.ndarray) -> Callable[[Block], np.ndarray]:
+    """Emissions of a block's words from the rows found for them; other words are unknown."""
+
+    def emissions(block: Block) -> np.ndarray:
+        c, uses = np.zeros(len(block.words)), np.zeros((len(block.words), len(sums)))
+        if block.found is not None:
+            at = block.found.field("at").to_numpy()
+            c[at] = block.found.field("c").to_numpy()
+            for k, name in enumerate(_USES):
+                uses[at, k] = block.found.field(name).to_numpy()
+        return smoothed(c, uses, shares[[word_class(w) for w in block.words.to_pylist()]], sums)
+
+    return emissions
+
+
+def class_shares(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """How the words of each class spread over the states, each word alike, and ``smoothed``'s sums."""
+    kind = (F.crc32(F.expr("substring(word, -3, 3)")) % CLASSES).alias("kind")
+    weight = (F.col("c") + 1) / (F.col("c") + SHRINK)
+    parts = [f(F.col(u)) for f in (lambda u: u, lambda u: u / F.col("c"), lambda u: weight * u) for u in _USES]
+    got = np.zeros((CLASSES, 2 + len(parts)))
+    for r in table.groupBy(kind).agg(F.count("*"), F.sum(weight), *(F.sum(x) for x in parts)).collect():
+        got[r["kind"]] = r[1:]
+    n, weights, uses, each, weighted = (got[:, 0], got[:, 1], *np.split(got[:, 2:], 3, axis=1))
+    overall = (uses.sum(0) + 1) / (uses.sum(0) + 1).sum()
+    shares = (each + overall) / (n + 1)[:, None]
+    return shares, weighted.sum(0) + ((SHRINK * weights + 1)[:, None] * shares).sum(0)
+
+
+def baum_welch(data: DataFrame, initial: np.ndarray, transition: np.ndarray, emissions: Callable[[Block], np.ndarray]):
+    """One round: counts expected under the model, summed over all partitions.
+
+    Returns the table (word, c, u0, ...) of every training word's count and expected uses by
+    state, and the new model, whose emissions need that table (``with_words``).
+    """
+    states = len(initial)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, whole = _tokens(batches, 0)
-        first = np.cumsum(whole) - whole
-        pieces = -(-whole // SEQUENCE)
-        own = np.repeat(np.arange(len(whole)), pieces)
-        offset = (np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * SEQUENCE
-        starts, lengths = first[own] + offset, np.minimum(whole[own] - offset, SEQUENCE)
-        begun, moves, uses = np.zeros(states), np.zeros((states, states)), np.zeros((size, states))
-        for chosen in _batches(lengths):
-            a, b, c = expected_counts(codes, starts[chosen], lengths[chosen], model)
-            begun, moves, uses = begun + a, moves + b, uses + c
-        parts = {i // _CHUNK: uses[i : i + _CHUNK].ravel() for i in range(0, size, _CHUNK)}
-        yield _rows(parts | {-1: np.concatenate([begun, moves.ravel()])})
-
-    found = _summed(encoded.select("codes").mapInArrow(count, "part int, values binary"))
-    if not found:
-        return model
-    uses = np.concatenate([found[i] for i in range(-(-size // _CHUNK))]).reshape(size, states) + PRIOR * overall[:, None]
-    begun, moves = found[-1][:states] + 1, found[-1][states:].reshape(states, states) + 1
-    return begun / begun.sum(), moves / moves.sum(1, keepdims=True), uses / uses.sum(0)
+        begun, moves = np.zeros(states), np.zeros((states, states))
+        names = ["kind", "word", "c", *_USES]
+
+        def rows(kind: np.ndarray, word: pa.Array, c: np.ndarray, uses: np.ndarray) -> pa.RecordBatch:
+            columns = [pa.array(kind, pa.int32()), word, pa.array(c, pa.int64())]
+            return pa.record_batch([*columns, *(pa.array(u.astype(np.float32)) for u in uses.T)], names)
+
+        for block in _blocks(batches):
+            whole = np.where(block.held, 0, block.lengths)
+            first = np.cumsum(block.lengths) - block.lengths
+            pieces = -(-whole // SEQUENCE)
+            own = np.repeat(np.arange(len(whole)), pieces)
+            offset = (np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * SEQUENCE
+            starts, lengths = first[own] + offset, np.minimum(whole[own] - offset, SEQUENCE)
+            emission, uses = emissions(block), np.zeros((len(block.words), states))
+            for chosen in _batches(lengths):
+                a, b, c = expected_counts(block.codes, starts[chosen], lengths[chosen], (initial, transition, emission))
+                begun, moves, uses = begun + a, moves + b, uses + c
+            at = np.flatnonzero(block.counts)
+            yield rows(np.full(len(at), -1), block.words.take(pa.array(at)), block.counts[at], uses[at])
+        yield rows(np.arange(states + 1), pa.array([END] * (states + 1), pa.binary()), np.zeros(states + 1, int), np.vstack([begun, moves]))
+
+    schema = "kind int, word binary, c long, " + ", ".join(f"{u} float" for u in _USES)
+    counted = data.mapInArrow(count, schema).groupBy("kind", "word")
+    found = staged(counted.agg(F.sum("c").alias("c"), *(F.sum(u).cast("float").alias(u) for u in _USES)), "uses")
+    totals = np.zeros((states + 1, states))
+    for r in found.where("kind >= 0").collect():
+        totals[r["kind"]] = [r[u] for u in _USES]
+    table = found.where("kind < 0").drop("kind")
+    begun, moves = totals[0] + 1, totals[1:] + 1
+    return table, begun / begun.sum(), moves / moves.sum(1, keepdims=True), learned_emissions(*class_shares(table))
 
 
 def scored(docs: DataFrame, held_out) -> DataFrame:
@@ -168,96 +296,55 @@ def scored(docs: DataFrame, held_out) -> DataFrame:
     Learns from the rows of ``docs`` (doc_id, text) where the column ``held_out`` is false.
     Tokens are the words, A-Z in lower case, and one end. base_score is the add-one unigram
     log10 likelihood; score is that of a hidden Markov model, computed exactly over the whole
-    text. A state emits either a word that has at least 1/HEAD of all training tokens (HEAD
-    words at most) or the class of another word; the class then gives the word by its share
-    of the class, the same in all states. So states need a table of fixed size only, and the
-    counts of the rare words, which have no bound, come by join.
+    text. Every training word, however rare, has its own emission by each state. These are
+    a table that grows with the corpus and is never sent whole: documents are put in blocks,
+    and a block's dictionary is joined with the table, in each round of training and for the
+    score. A word's emission is drawn to that of its class the less the oftener it occurs; an
+    unknown word has its class's. The driver sees the frequent words, their pairs and sums by
+    class and state.
 
     Null texts are empty and have the end alone. A row with a null ``held_out`` is trained on.
-    Repeated rows count and are scored as often as they occur. Without training rows every
+    Repeated rows count and are scored as often as they occur. A text of any length is scored
+    whole; one longer than BLOCK tokens is a block of its own. Words of equal count have equal
+    rights but for the FREQUENT first, where ties go by the word. Without training rows every
     token is unknown and both scores are those of the smoothing alone. An empty table gives
     no rows; extra columns are not read.
     """
-    spark = docs.sparkSession
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"),
-        F.coalesce("text", F.lit("")).alias("text"),
+        F.coalesce("text", F.lit("")).cast("binary").alias("text"),
     )
-    training = rows.where("not held_out")
-    counts = training.select(F.explode(words(lower_ascii(F.col("text")))).alias("word")).groupBy("word").agg(F.count("*").alias("c"))
-    counts = staged(counts, "word-counts")
-    n_words, n_kinds = (x or 0 for x in counts.agg(F.sum("c"), F.count("*")).head())
-    n_docs = training.count()
-    total, kinds = n_words + n_docs, n_kinds + (n_docs > 0)
-    floor = F.lit(max(1.0, total / HEAD))
-    head = counts.where(F.col("c") >= floor).orderBy(F.desc("c"), "word").limit(HEAD).collect()
-    least = head[-1] if head else None
-    tail_words = counts.where((F.col("c") < least["c"]) | (F.col("c") == least["c"]) & (F.col("word") > least["word"])) if head else counts
-    kind = F.crc32(F.expr("substring(cast(word as binary), -3, 3)")) % CLASSES
-    by_class = {r["k"]: (r["n"], r["v"]) for r in tail_words.groupBy(kind.alias("k")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()}
-    class_n, class_v = (np.array([by_class.get(k, (0, 0))[i] for k in range(CLASSES)], float) for i in (0, 1))
-    # Codes: head words by frequency, then the classes, then the end.
-    size = len(head) + CLASSES + 1
-    number = np.concatenate([[r["c"] for r in head], class_n, [n_docs]]).astype(float)
-    overall = (number + 1) / (number.sum() + size)
-    codes = spark.sparkContext.broadcast({r["word"].encode(): i for i, r in enumerate(head)})
-    first_class, end = len(head), size - 1
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = codes.value
-        for batch in batches:
-            out, tails = [], []
-            for text in batch.column(2):
-                own = byte_words(text.as_py())
-                found = [known.get(w, -1) for w in own]
-                tail = [w for w, c in zip(own, found) if c < 0]
-                kinds = iter([first_class + zlib.crc32(w[-3:]) % CLASSES for w in tail])
-                found = [c if c >= 0 else next(kinds) for c in found]
-                out.append(np.array([*found, end], np.uint16).tobytes())
-                tails.append(tail)
-            yield pa.record_batch(
-                [batch.column(0), batch.column(1), pa.array(out, pa.binary()), pa.array(tails, pa.list_(pa.binary()))],
-                ["doc_id", "held_out", "codes", "tail"],
-            )
-
-    encoded = rows.select("doc_id", "held_out", F.col("text").cast("binary")).mapInArrow(
-        encode, "doc_id long, held_out boolean, codes binary, tail array<binary>"
-    )
-    encoded = staged(encoded.withColumn("row", F.monotonically_increasing_id()), "encoded")
-    learn = encoded.where("not held_out")
-    model = starting_point(pair_counts(learn, min(FREQUENT, size)), overall, STATES)
+    data = staged(blocks(rows).withColumn("block", F.monotonically_increasing_id()), "blocks")
+    used = data.select(F.explode(F.arrays_zip("words", "counts")).alias("w")).where("w.counts > 0")
+    counts = staged(used.groupBy(F.col("w.words").alias("word")).agg(F.sum("w.counts").alias("c")), "word-counts")
+    total, kinds = (x or 0 for x in counts.agg(F.sum("c"), F.count("*")).head())
+    frequent = counts.orderBy(F.desc("c"), "word").limit(FREQUENT).collect()
+    top = {bytes(r["word"]): i for i, r in enumerate(frequent)}
+    initial, transition, lift = starting_point(pair_counts(data, top), STATES)
+    emissions = starting_emissions(top, np.array([r["c"] for r in frequent], float) / max(total, 1), lift)
+    seen = data
     for _ in range(ROUNDS):
-        model = baum_welch(learn, model, overall)
-
-    rare = (
-        encoded.select("row", F.explode("tail").alias("word"))
-        .join(counts.select(F.col("word").cast("binary").alias("word"), "c"), "word")
-        .groupBy("row").agg(F.sum(F.log10(F.col("c") + 1)).alias("rare"), F.count("*").alias("rare_known"))
-    )
-    shared = spark.sparkContext.broadcast((model, np.log10(number + 1), np.log10(class_n + class_v + 1)))
+        table, initial, transition, emissions = baum_welch(seen, initial, transition, emissions)
+        seen = with_words(data, table)
     below = float(np.log10(total + kinds + 1))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, logs, class_logs = shared.value
-        for batch in batches:
-            tokens, lengths = _tokens([batch], 3)
-            starts = np.cumsum(lengths) - lengths
-            likelihood = np.zeros(len(lengths))
-            for chosen in _batches(lengths):
-                likelihood[chosen] = forward(tokens, starts[chosen], lengths[chosen], model)[0]
-            tail = (tokens >= first_class) & (tokens < end)
-            base = np.add.reduceat(np.where(tail, 0, logs[tokens]), starts) - lengths * below
-            inner = np.add.reduceat(np.where(tail, class_logs[np.where(tail, tokens - first_class, 0)], 0), starts)
-            known = np.add.reduceat((~tail & (number[tokens] > 0)).astype(np.int64), starts)
+        for block in _blocks(batches):
+            emission, c = emissions(block), np.zeros(len(block.words))
+            if block.found is not None:
+                c[block.found.field("at").to_numpy()] = block.found.field("c").to_numpy()
+            starts = np.cumsum(block.lengths) - block.lengths
+            likelihood = np.zeros(len(starts))
+            for chosen in _batches(block.lengths):
+                likelihood[chosen] = forward(block.codes, starts[chosen], block.lengths[chosen], (initial, transition, emission))[0]
+            base = np.add.reduceat(np.log10(c + 1)[block.codes], starts) - block.lengths * below
+            known = np.add.reduceat((c > 0).astype(np.int64)[block.codes], starts)
             yield pa.record_batch(
-                [batch.column(0), batch.column(1), batch.column(2), pa.array(lengths), pa.array(known), pa.array(base), pa.array(likelihood / np.log(10) - inner)],
-                ["row", "doc_id", "held_out", "n_tokens", "known", "base", "score"],
+                [block.ids, pa.array(block.held), pa.array(block.lengths), pa.array(known), pa.array(base), pa.array(likelihood / np.log(10))],
+                ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"],
             )
 
-    schema = "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double"
-    done = encoded.select("row", "doc_id", "held_out", "codes").mapInArrow(score, schema).join(rare, "row", "left")
-    more = F.coalesce("rare", F.lit(0.0))
-    return done.select(
-        "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + more).alias("base_score"), (F.col("score") + more).alias("score"),
+    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+    return seen.mapInArrow(score, schema).select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score"
     )

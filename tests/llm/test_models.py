@@ -8,9 +8,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fleetpulse.llm import language
+from fleetpulse.llm import language, scoring
 from fleetpulse.llm.language import RATE, bloom_filters, filter_size, grams, gram_counts, identify, languages, own_grams, positions, _letter_table
-from fleetpulse.llm.scoring import expected_counts, forward, scored
+from fleetpulse.llm.scoring import CLASSES, END, FREQUENT, ROUNDS, SHRINK, STATES, expected_counts, forward, scored, starting_point, word_class
 from tests.llm.conftest import prose
 
 
@@ -75,6 +75,75 @@ def test_held_out_texts_are_likelier_than_by_words_alone(spark, sf_dir):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
+def plain_scores(rows):
+    """The model by its definitions, over (words, held out): one pass a text, no blocks or joins."""
+    learn = [own for own, held in rows if not held]
+    counts = Counter(w for own in learn for w in own)
+    total = max(sum(counts.values()), 1)
+    top = {w: i for i, w in enumerate(sorted(counts, key=lambda w: (-counts[w], w))[:FREQUENT])}
+    pairs = np.zeros((len(top), len(top)))
+    for own in learn:
+        for a, b in zip(own, own[1:]):
+            if a in top and b in top:
+                pairs[top[a], top[b]] += 1
+    initial, transition, lift = starting_point(pairs, STATES)
+    head = sum(counts[w] for w in top) / total
+    emission = {w: 0.9 * lift[top[w]] * head / (counts[w] / total) + 0.1 if w in top else np.ones(STATES) for w in counts}
+    for _ in range(ROUNDS):
+        begun, moves, uses = np.ones(STATES), np.ones((STATES, STATES)), {w: np.zeros(STATES) for w in counts}
+        for own in learn:
+            ahead, back = [initial * emission[own[0]]], [np.ones(STATES)]
+            for w in own[1:]:
+                ahead.append(ahead[-1] @ transition * emission[w])
+            for w in own[:0:-1]:
+                back.insert(0, transition @ (emission[w] * back[0]))
+            whole = ahead[-1].sum()
+            begun += ahead[0] * back[0] / whole
+            for t, w in enumerate(own):
+                uses[w] += ahead[t] * back[t] / whole
+                if t:
+                    moves += np.outer(ahead[t - 1], emission[w] * back[t]) * transition / whole
+        initial, transition = begun / begun.sum(), moves / moves.sum(1, keepdims=True)
+        overall = sum(uses.values(), np.ones(STATES))
+        shares = np.tile(overall / overall.sum(), (CLASSES, 1))
+        kinds = np.ones(CLASSES)
+        for w in counts:
+            shares[word_class(w)] += uses[w] / counts[w]
+            kinds[word_class(w)] += 1
+        shares /= kinds[:, None]
+        mass = {w: (counts[w] + 1) * (uses[w] + SHRINK * shares[word_class(w)]) / (counts[w] + SHRINK) for w in counts}
+        sums = sum(mass.values(), shares.sum(0))
+        emission = {w: m / sums for w, m in mass.items()}
+    out = []
+    for own, _ in rows:
+        a, log = initial, 0.0
+        for t, w in enumerate(own):
+            a = (a if t == 0 else a @ transition) * emission.get(w, shares[word_class(w)] / sums)
+            log, a = log + math.log10(a.sum()), a / a.sum()
+        out.append(log)
+    return out
+
+
+@pytest.mark.parametrize("block", [40, 1 << 20])
+def test_scores_against_the_plain_model(documents, block, monkeypatch):
+    monkeypatch.setattr(scoring, "BLOCK", block)
+    rows = [(k, prose(k % 7, 5 + k) + f" w{k % 5} é{k} x", "en") for k in range(40)] + [(50, None), (51, "A"), (52, "zz unseen words of no class"), (None, "alpha")]
+    docs = documents(rows, block=1, found=2, at=3, u0=4).repartition(3)
+    held = lambda d: d is not None and d % 5 == 2
+    want = plain_scores([([*(t or "").lower().encode().split(), END], held(d)) for d, t, *_ in rows])
+    got = {r["doc_id"]: r["score"] for r in scored(docs, F.col("doc_id") % 5 == 2).collect()}
+    assert len(got) == len(rows)
+    assert all(got[r[0]] == pytest.approx(w, rel=1e-4) for r, w in zip(rows, want))
+
+
+def test_a_long_text_is_scored_whole(documents, monkeypatch):
+    monkeypatch.setattr(scoring, "BLOCK", 1000)
+    long = " ".join(f"v{k % 70_000}" for k in range(150_000))  # more kinds of words than 16 bits name
+    got = {r["doc_id"]: r for r in scored(documents([(1, long), (2, "v1 v2 v3")] * 2), F.lit(False)).collect()}
+    assert got[1]["n_tokens"] == 150_001 and got[1]["n_known"] == 150_001 and math.isfinite(got[1]["score"])
+    assert got[1]["train_tokens"] == 2 * (150_001 + 4)
+
+
 def test_grams_are_runs_of_letters():
     letters = _letter_table()
     found = ["".join(chr(int(k) >> s & 0x1FFFFF) for s in (42, 21, 0)) for k in grams("Ab, 1 Éc", letters)]
