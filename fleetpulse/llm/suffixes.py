@@ -12,12 +12,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetpulse.llm.common import row_key, shuffle_partitions, staged
+from fleetpulse.llm.common import row_key, staged
 
 LENGTH = 50  # bytes of a repeated string
 GRAM = 20  # bytes of an anchor
 PIECE = 1 << 20  # bytes of text handled at once
 HELD = 1 << 20  # entries a task gathers before it passes them on
+RANGE = 1 << 22  # bytes of text for each range of hash values
 SYMBOL = 7  # bytes of a symbol of the suffix array
 CROWD, CROWDED = 256, 1 << 16  # leaders of one anchor in a task, and in a range, from which it is split
 DEPTH = 6  # symbols that every string of LENGTH bytes contains; 8 bytes are left over
@@ -200,7 +201,7 @@ def fold(e: dict[str, np.ndarray]) -> tuple[dict[str, np.ndarray], np.ndarray]:
 
 def groups(sorted_values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and sizes of the stretches of equal values."""
-    heads = np.flatnonzero(np.append(True, sorted_values[1:] != sorted_values[:-1]))
+    heads = np.flatnonzero(np.append(len(sorted_values) > 0, sorted_values[1:] != sorted_values[:-1]))
     return heads, np.diff(np.append(heads, len(sorted_values)))
 
 
@@ -267,10 +268,10 @@ def anchored(docs: DataFrame, ranges: int) -> DataFrame:
         for kind, chosen, to in ((0, ~follows & ~crowded, part), (1, follows, part), (2, crowded, by_context), (3, markers, part)):
             chosen = np.flatnonzero(chosen)
             chosen = chosen[np.argsort(to[chosen], kind="stable")]
-            cut = np.searchsorted(to[chosen], np.arange(ranges + 1))
+            to = to[chosen]
             chosen = {name: x[chosen] for name, x in e.items()}
-            for p in np.flatnonzero(np.diff(cut)).tolist():
-                own = {name: x[cut[p] : cut[p + 1]] for name, x in chosen.items()}
+            for h, n in zip(*(x.tolist() for x in groups(to))):
+                p, own = int(to[h]), {name: x[h : h + n] for name, x in chosen.items()}
                 by_doc = np.argsort(own["key"], kind="stable")
                 rows.append((p, kind, pack({name: x[by_doc] for name, x in own.items()}, COLUMNS)))
         a, b, c = zip(*rows)
@@ -435,7 +436,7 @@ def deduplicated(docs: DataFrame, text: bool = True, whole: bool = False) -> Dat
     characters of which only a part would go.
 
     Strings meet at their anchor, one in about sixteen positions. Anchors are dealt to
-    ranges of hash values. A context that an earlier document repeats as a whole is settled
+    ranges of hash values, one for each RANGE bytes of text. A context that an earlier document repeats as a whole is settled
     by its hash, first within a task and then within the range. The other contexts of shared
     anchors are compared by suffix array, range by range. An anchor with very many contexts
     is not kept in one range: they are settled by context and then compared string by string,
@@ -447,12 +448,12 @@ def deduplicated(docs: DataFrame, text: bool = True, whole: bool = False) -> Dat
     are separate and do not clean each other. Texts under LENGTH bytes stay whole. Extra
     columns are not read; an empty table gives no rows.
     """
-    spark = docs.sparkSession
-    ranges = 1 << max(6, (4 * shuffle_partitions(spark) - 1).bit_length())
     keyed = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), row_key(docs).alias("row_key"),
         F.coalesce("text", F.lit("")).cast("binary").alias("text"),
     )
+    n_bytes = keyed.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+    ranges = 1 << max(6, (n_bytes // RANGE).bit_length())
     found = staged(anchored(keyed, ranges).groupBy("part").applyInPandas(settle, _FOUND), "anchors").distinct()
     asked = found.where("asked").groupBy("key").agg(F.collect_list(F.struct("first", "count", "offset", "split")).alias("runs"))
 
@@ -460,8 +461,9 @@ def deduplicated(docs: DataFrame, text: bool = True, whole: bool = False) -> Dat
         shift = np.uint64(64 - (ranges.bit_length() - 1))
 
         def dealt(kind: int, part: np.ndarray, columns: dict[str, np.ndarray], body) -> Iterator[tuple]:
-            for p in np.unique(part).tolist():
-                own = np.flatnonzero(part == p)
+            order = np.argsort(part, kind="stable")
+            for h, n in zip(*(x.tolist() for x in groups(part[order]))):
+                p, own = int(part[order[h]]), order[h : h + n]
                 yield p, kind, pack({n: x[own] for n, x in columns.items()}, CONTEXTS), zstandard.ZstdCompressor(level=1).compress(body(own))
 
         def by_anchor(entries: list[tuple], anchors: list[bytes], bodies: list[bytes]) -> Iterator[tuple]:

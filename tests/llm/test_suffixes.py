@@ -46,7 +46,7 @@ def brute(rows):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("limits", [{}, {"PIECE": 700}, {"CROWD": 1}, {"CROWDED": 1}, {"CROWD": 3, "CROWDED": 4}])
+@pytest.mark.parametrize("limits", [{}, {"PIECE": 700}, {"CROWD": 1}, {"CROWDED": 1}, {"CROWD": 3, "CROWDED": 4}, {"RANGE": 16, "CROWD": 3}])
 def test_removal_against_brute_force(documents, monkeypatch, limits):
     """In one piece and in several, with anchors kept whole, split by tasks and by ranges."""
     for name, value in limits.items():
