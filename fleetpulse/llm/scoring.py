@@ -9,23 +9,24 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetpulse.llm.common import byte_words, staged
 
 STATES = 8
-BLOCK = 1 << 20  # tokens of the documents that share a dictionary; a longer document is a block
+BLOCK = 1 << 22  # tokens of the documents that share a dictionary; a longer document is a block
 FREQUENT = 512  # words whose neighbours give the model its starting point
-ROUNDS = 2  # of Baum-Welch over the whole corpus
+TIED_ROUNDS = 1  # of Baum-Welch with one emission a class but for the frequent words, before the last with one a word
 SEQUENCE = 1024  # tokens of a training sequence; longer texts are cut into several
 BATCH = 1 << 19  # tokens that are worked on at once
 CLASSES = 4096  # by the hash of a word's last three bytes
 SHRINK = 1.0  # occurrences by which a word is taken to be spread over the states as its class is
 END = b""  # the token after the last word, which no word equals
-_USES = [f"u{k}" for k in range(STATES)]
+_PACKED = ["p0", "p1"]  # shares of the states, 16 bits each
 _BLOCK = (
-    "ids array<long>, held array<boolean>, lengths array<long>, wide boolean, codes binary, "
+    "ids array<long>, held array<boolean>, lengths array<long>, codes binary, "
     "words array<binary>, counts array<long>"
 )
 
@@ -96,9 +97,9 @@ def blocks(rows: DataFrame) -> DataFrame:
         def block() -> pa.RecordBatch:
             codes, lengths = np.concatenate(parts), np.array([len(p) for p in parts])
             counts = np.bincount(codes[~np.repeat(np.array(held, bool), lengths)], minlength=len(place))
-            wide = len(place) > 1 << 16
-            values = [ids, held, lengths, wide, codes.astype(np.uint32 if wide else np.uint16).tobytes(), list(place), counts]
-            kinds = [pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.bool_(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64())]
+            planes = zstandard.ZstdCompressor(level=1).compress(codes.view(np.uint8).reshape(-1, 4).T.tobytes())
+            values = [ids, held, lengths, planes, list(place), counts]
+            kinds = [pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64())]
             return pa.record_batch([pa.array([v], k) for v, k in zip(values, kinds)], [c.split()[0] for c in _BLOCK.split(", ")])
 
         place, ids, held, parts, tokens = {}, [], [], [], 0
@@ -136,18 +137,19 @@ class Block(NamedTuple):
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
     for batch in batches:
         for row in batch.to_struct_array():
-            codes = np.frombuffer(row["codes"].as_py(), np.uint32 if row["wide"].as_py() else np.uint16)
+            planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["codes"].as_py()), np.uint8)
+            codes = np.ascontiguousarray(planes.reshape(4, -1).T).view(np.uint32).ravel()
             held, lengths, counts = (row[c].values.to_numpy(zero_copy_only=False) for c in ("held", "lengths", "counts"))
             yield Block(row["ids"].values, held.astype(bool), lengths, codes, row["words"].values, counts, row["found"].values if "found" in row else None)
 
 
 def with_words(data: DataFrame, table: DataFrame) -> DataFrame:
-    """Blocks with the rows of ``table`` (word, c, u0, ...) for the words of their dictionaries.
+    """Blocks with the rows of ``table`` (word, c, p0, p1) for the words of their dictionaries.
 
     A word is in a block's dictionary once, so no word has more than a row a block.
     """
     own = data.select("block", F.posexplode("words").alias("at", "word"))
-    found = own.join(table, "word").groupBy("block").agg(F.collect_list(F.struct("at", "c", *_USES)).alias("found"))
+    found = own.join(table, "word").groupBy("block").agg(F.collect_list(F.struct("at", "c", *_PACKED)).alias("found"))
     return data.join(found, "block", "left")
 
 
@@ -166,7 +168,7 @@ def pair_counts(data: DataFrame, top: dict[bytes, int]) -> np.ndarray:
         pairs = np.flatnonzero(total)
         yield pa.record_batch([pa.array(pairs), pa.array(total[pairs])], ["pair", "n"])
 
-    counted = data.select("held", "ids", "lengths", "wide", "codes", "words", "counts").mapInArrow(count, "pair long, n long")
+    counted = data.select("held", "ids", "lengths", "codes", "words", "counts").mapInArrow(count, "pair long, n long")
     found = counted.groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(size * size)
     out[found["pair"].to_numpy()] = found["n"].to_numpy()
@@ -192,17 +194,39 @@ def starting_point(pairs: np.ndarray, states: int) -> tuple[np.ndarray, np.ndarr
     return np.full(states, 1 / states), transition / transition.sum(1, keepdims=True), out.T
 
 
-def starting_emissions(top: dict[bytes, int], shares: np.ndarray, lift: np.ndarray) -> Callable[[Block], np.ndarray]:
-    """Emissions over the word's share of all tokens: words beyond ``top`` are as likely in every state."""
-    known = 0.9 * lift * shares.sum() / shares[:, None] + 0.1
+def pack(uses: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the rows, and how they spread over the states as 16-bit shares in two words."""
+    total = uses.sum(1)
+    shares = np.rint(uses / np.where(total > 0, total, 1)[:, None] * 65535).astype(np.uint16)
+    return total, np.ascontiguousarray(shares).view(np.int64)
 
-    def emissions(block: Block) -> np.ndarray:
-        out = np.ones((len(block.words), known.shape[1]))
-        at = np.array([top.get(w, -1) for w in block.words.to_pylist()])
-        out[at >= 0] = known[at[at >= 0]]
-        return out
 
-    return emissions
+def unpack(total: np.ndarray, packed: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(packed).view(np.uint16).reshape(-1, STATES) / 65535 * total[:, None]
+
+
+def _share(k: int):
+    """The ``k``-th of the packed shares, 0 to 65535."""
+    return F.shiftrightunsigned(_PACKED[k // 4], 16 * (k % 4)).bitwiseAND(65535)
+
+
+def _packed(uses: list, j: int):
+    """Column p0 or p1 from the sums of the states."""
+    total = sum(uses[1:], uses[0])
+    out = F.lit(0).cast("long")
+    for i in range(4):
+        out = out.bitwiseOR(F.shiftleft(F.round(uses[4 * j + i] / total * 65535).cast("long"), 16 * i))
+    return out
+
+
+def units(block: Block, top: dict[bytes, int]) -> np.ndarray:
+    """The frequent words' numbers, and of other words len(top) and their class."""
+    return np.array([top[w] if w in top else len(top) + word_class(w) for w in block.words.to_pylist()], np.int64)
+
+
+def tied_emissions(top: dict[bytes, int], lift: np.ndarray) -> Callable[[Block], np.ndarray]:
+    """Emissions over the word's share of all tokens, one for each of ``units``."""
+    return lambda block: lift[units(block, top)]
 
 
 def word_class(word: bytes) -> int:
@@ -227,8 +251,7 @@ def learned_emissions(shares: np.ndarray, sums: np.ndarray) -> Callable[[Block],
         if block.found is not None:
             at = block.found.field("at").to_numpy()
             c[at] = block.found.field("c").to_numpy()
-            for k, name in enumerate(_USES):
-                uses[at, k] = block.found.field(name).to_numpy()
+            uses[at] = unpack(c[at], np.stack([block.found.field(p).to_numpy() for p in _PACKED], 1))
         return smoothed(c, uses, shares[[word_class(w) for w in block.words.to_pylist()]], sums)
 
     return emissions
@@ -238,7 +261,8 @@ def class_shares(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """How the words of each class spread over the states, each word alike, and ``smoothed``'s sums."""
     kind = (F.crc32(F.expr("substring(word, -3, 3)")) % CLASSES).alias("kind")
     weight = (F.col("c") + 1) / (F.col("c") + SHRINK)
-    parts = [f(F.col(u)) for f in (lambda u: u, lambda u: u / F.col("c"), lambda u: weight * u) for u in _USES]
+    uses = [F.col("c") * _share(k) / 65535 for k in range(STATES)]
+    parts = [f(u) for f in (lambda u: u, lambda u: u / F.col("c"), lambda u: weight * u) for u in uses]
     got = np.zeros((CLASSES, 2 + len(parts)))
     for r in table.groupBy(kind).agg(F.count("*"), F.sum(weight), *(F.sum(x) for x in parts)).collect():
         got[r["kind"]] = r[1:]
@@ -248,21 +272,22 @@ def class_shares(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return shares, weighted.sum(0) + ((SHRINK * weights + 1)[:, None] * shares).sum(0)
 
 
-def baum_welch(data: DataFrame, initial: np.ndarray, transition: np.ndarray, emissions: Callable[[Block], np.ndarray]):
-    """One round: counts expected under the model, summed over all partitions.
+def baum_welch(data: DataFrame, model: tuple, tied: dict[bytes, int] | None = None):
+    """Counts expected under the model (initial, transition, emissions), summed over all partitions.
 
-    Returns the table (word, c, u0, ...) of every training word's count and expected uses by
-    state, and the new model, whose emissions need that table (``with_words``).
+    Returns (initial, transition) and the expected uses: a table (word, c, p0, p1) of every
+    training word, or with ``tied`` an array by ``units``.
     """
+    initial, transition, emissions = model
     states = len(initial)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begun, moves = np.zeros(states), np.zeros((states, states))
-        names = ["kind", "word", "c", *_USES]
+        pooled = np.zeros((len(tied) + CLASSES if tied is not None else 0, states))
 
         def rows(kind: np.ndarray, word: pa.Array, c: np.ndarray, uses: np.ndarray) -> pa.RecordBatch:
-            columns = [pa.array(kind, pa.int32()), word, pa.array(c, pa.int64())]
-            return pa.record_batch([*columns, *(pa.array(u.astype(np.float32)) for u in uses.T)], names)
+            columns = [pa.array(kind, pa.int32()), word, pa.array(c, pa.float64()), *(pa.array(p) for p in pack(uses)[1].T)]
+            return pa.record_batch(columns, ["kind", "word", "c", *_PACKED])
 
         for block in _blocks(batches):
             whole = np.where(block.held, 0, block.lengths)
@@ -275,19 +300,26 @@ def baum_welch(data: DataFrame, initial: np.ndarray, transition: np.ndarray, emi
             for chosen in _batches(lengths):
                 a, b, c = expected_counts(block.codes, starts[chosen], lengths[chosen], (initial, transition, emission))
                 begun, moves, uses = begun + a, moves + b, uses + c
+            if tied is not None:
+                np.add.at(pooled, units(block, tied), uses)
+                continue
             at = np.flatnonzero(block.counts)
             yield rows(np.full(len(at), -1), block.words.take(pa.array(at)), block.counts[at], uses[at])
-        yield rows(np.arange(states + 1), pa.array([END] * (states + 1), pa.binary()), np.zeros(states + 1, int), np.vstack([begun, moves]))
-
-    schema = "kind int, word binary, c long, " + ", ".join(f"{u} float" for u in _USES)
-    counted = data.mapInArrow(count, schema).groupBy("kind", "word")
-    found = staged(counted.agg(F.sum("c").alias("c"), *(F.sum(u).cast("float").alias(u) for u in _USES)), "uses")
-    totals = np.zeros((states + 1, states))
-    for r in found.where("kind >= 0").collect():
-        totals[r["kind"]] = [r[u] for u in _USES]
-    table = found.where("kind < 0").drop("kind")
-    begun, moves = totals[0] + 1, totals[1:] + 1
-    return table, begun / begun.sum(), moves / moves.sum(1, keepdims=True), learned_emissions(*class_shares(table))
+        whole = np.vstack([begun, moves, pooled])
+        at = np.flatnonzero(whole.sum(1))
+        yield rows(at, pa.array([END] * len(at), pa.binary()), whole.sum(1)[at], whole[at])
+
+    # A word has one row a block at most, smaller than its sums: it is exchanged first, then summed.
+    counted = data.mapInArrow(count, "kind int, word binary, c double, p0 long, p1 long").repartition("kind", "word")
+    names = [f"u{k}" for k in range(states)]
+    found = counted.groupBy("kind", "word").agg(F.sum("c").alias("c"), *(F.sum(F.col("c") * _share(k)).alias(u) for k, u in enumerate(names)))
+    found = staged(found.select("kind", "word", "c", *(_packed([F.col(u) for u in names], j).alias(p) for j, p in enumerate(_PACKED))), "uses")
+    got = found.where("kind >= 0").toArrow()
+    sums = np.zeros((1 + states + (len(tied) + CLASSES if tied is not None else 0), states))
+    sums[got["kind"].to_numpy()] = unpack(got["c"].to_numpy(), np.stack([got[p].to_numpy() for p in _PACKED], 1))
+    begun, moves = sums[0] + 1, sums[1 : 1 + states] + 1
+    table = found.where("kind < 0").select("word", F.col("c").cast("long").alias("c"), *_PACKED)
+    return begun / begun.sum(), moves / moves.sum(1, keepdims=True), table if tied is None else sums[1 + states :]
 
 
 def scored(docs: DataFrame, held_out) -> DataFrame:
@@ -298,8 +330,9 @@ def scored(docs: DataFrame, held_out) -> DataFrame:
     log10 likelihood; score is that of a hidden Markov model, computed exactly over the whole
     text. Every training word, however rare, has its own emission by each state. These are
     a table that grows with the corpus and is never sent whole: documents are put in blocks,
-    and a block's dictionary is joined with the table, in each round of training and for the
-    score. A word's emission is drawn to that of its class the less the oftener it occurs; an
+    and a block's dictionary is joined with the table. Training begins with emissions tied by
+    class but for the FREQUENT words and ends with a round that gives each word its own, kept
+    as 16-bit shares of its count. A word's emission is drawn to that of its class the less the oftener it occurs; an
     unknown word has its class's. The driver sees the frequent words, their pairs and sums by
     class and state.
 
@@ -321,11 +354,15 @@ def scored(docs: DataFrame, held_out) -> DataFrame:
     frequent = counts.orderBy(F.desc("c"), "word").limit(FREQUENT).collect()
     top = {bytes(r["word"]): i for i, r in enumerate(frequent)}
     initial, transition, lift = starting_point(pair_counts(data, top), STATES)
-    emissions = starting_emissions(top, np.array([r["c"] for r in frequent], float) / max(total, 1), lift)
-    seen = data
-    for _ in range(ROUNDS):
-        table, initial, transition, emissions = baum_welch(seen, initial, transition, emissions)
-        seen = with_words(data, table)
+    shares = np.array([r["c"] for r in frequent], float)[:, None] / max(total, 1)
+    lift = np.vstack([0.9 * lift * shares.sum() / np.maximum(shares, 1e-300) + 0.1, np.ones((CLASSES, STATES))])
+    for _ in range(TIED_ROUNDS):
+        initial, transition, uses = baum_welch(data, (initial, transition, tied_emissions(top, lift)), top)
+        overall = (uses.sum(0) + 1) / (uses.sum(0) + 1).sum()
+        lift = (uses + overall) / (uses.sum(1, keepdims=True) + 1) / overall
+    initial, transition, table = baum_welch(data, (initial, transition, tied_emissions(top, lift)))
+    emissions = learned_emissions(*class_shares(table))
+    seen = with_words(data, table)
     below = float(np.log10(total + kinds + 1))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

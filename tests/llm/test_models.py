@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fleetpulse.llm import language, scoring
 from fleetpulse.llm.language import RATE, bloom_filters, filter_size, grams, gram_counts, identify, languages, own_grams, positions, _letter_table
-from fleetpulse.llm.scoring import CLASSES, END, FREQUENT, ROUNDS, SHRINK, STATES, expected_counts, forward, scored, starting_point, word_class
+from fleetpulse.llm.scoring import CLASSES, END, FREQUENT, SHRINK, STATES, TIED_ROUNDS, expected_counts, forward, scored, starting_point, word_class
 from tests.llm.conftest import prose
 
 
@@ -89,7 +89,7 @@ def plain_scores(rows):
     initial, transition, lift = starting_point(pairs, STATES)
     head = sum(counts[w] for w in top) / total
     emission = {w: 0.9 * lift[top[w]] * head / (counts[w] / total) + 0.1 if w in top else np.ones(STATES) for w in counts}
-    for _ in range(ROUNDS):
+    for last in [False] * TIED_ROUNDS + [True]:
         begun, moves, uses = np.ones(STATES), np.ones((STATES, STATES)), {w: np.zeros(STATES) for w in counts}
         for own in learn:
             ahead, back = [initial * emission[own[0]]], [np.ones(STATES)]
@@ -105,6 +105,13 @@ def plain_scores(rows):
                     moves += np.outer(ahead[t - 1], emission[w] * back[t]) * transition / whole
         initial, transition = begun / begun.sum(), moves / moves.sum(1, keepdims=True)
         overall = sum(uses.values(), np.ones(STATES))
+        if not last:
+            tied = {}
+            for w in counts:
+                tied[w if w in top else word_class(w)] = tied.get(w if w in top else word_class(w), 0) + uses[w]
+            base = overall / overall.sum()
+            emission = {w: (u + base) / (u.sum() + 1) / base for w in counts for u in [tied[w if w in top else word_class(w)]]}
+            continue
         shares = np.tile(overall / overall.sum(), (CLASSES, 1))
         kinds = np.ones(CLASSES)
         for w in counts:
@@ -133,7 +140,7 @@ def test_scores_against_the_plain_model(documents, block, monkeypatch):
     want = plain_scores([([*(t or "").lower().encode().split(), END], held(d)) for d, t, *_ in rows])
     got = {r["doc_id"]: r["score"] for r in scored(docs, F.col("doc_id") % 5 == 2).collect()}
     assert len(got) == len(rows)
-    assert all(got[r[0]] == pytest.approx(w, rel=1e-4) for r, w in zip(rows, want))
+    assert all(got[r[0]] == pytest.approx(w, rel=1e-3) for r, w in zip(rows, want))
 
 
 def test_a_long_text_is_scored_whole(documents, monkeypatch):
