@@ -22,6 +22,7 @@ from fleetpulse.functions.moments import moment
 from fleetpulse.functions.rounding import percent, round_half_even
 
 REASON = "rejection_reason"
+KEY_SHARES = 16  # shares over which the rows of one key are dealt while keys are counted
 NOT_NULL, COERCE, RANGE, MISSING = "not_nullable", "coerce_dtype", "in_range", "column_in_dataframe"
 
 
@@ -306,10 +307,17 @@ def dq_states(df: DataFrame, dataset: str, *groups: str) -> DataFrame:
 
 
 def dq_key_counts(df: DataFrame, dataset: str, *groups: str) -> DataFrame:
-    """(groups, key, n): how often each key of the dataset occurs, NULLs equal, by a 128-bit name of it."""
+    """(groups, key, n): how often each key of the dataset occurs, NULLs equal, by a 128-bit name of it.
+
+    Names are exchanged before they are counted, so that no task holds all those of its input.
+    They are counted in KEY_SHARES random shares first: a key of very many rows is dealt over tasks.
+    """
     keys = [k for k in _dataset(dataset).keys if k in df.columns]
     name = F.unhex(F.substring(F.sha2(F.to_json(F.struct(*keys)) if keys else F.monotonically_increasing_id().cast("string"), 256), 1, 32))
-    return df.groupBy(*groups, name.alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    share = F.floor(F.rand(17) * KEY_SHARES).cast("int")
+    named = df.select(*groups, name.alias("key"), share.alias("_share")).repartition("key", "_share")
+    shares = named.groupBy(*groups, "key", "_share").agg(F.count(F.lit(1)).alias("n"))
+    return shares.repartition(*groups, "key").groupBy(*groups, "key").agg(F.sum("n").alias("n"))
 
 
 def dq_metrics_of_states(states: DataFrame, key_counts: DataFrame, dataset: str, run_ts=None, absent: int = 0) -> DataFrame:
@@ -321,7 +329,8 @@ def dq_metrics_of_states(states: DataFrame, key_counts: DataFrame, dataset: str,
         of("total").alias("total_rows"), of("rejected").alias("rejected_rows"), of("failures").alias("_failures"),
         entries("filled").alias("_filled"), entries("range").alias("_ranges"),
     )
-    per_key = key_counts.groupBy("key").agg(F.sum("n").alias("n")).where("n > 0")
+    # A key has one row a part: it is exchanged first, so that no task holds all keys of the files it reads.
+    per_key = key_counts.repartition("key").groupBy("key").agg(F.sum("n").alias("n")).where("n > 0")
     duplicates = per_key.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0))).scalar()
     return _metrics_row(stats.withColumn("duplicates_count", duplicates), dataset, run_ts, absent)
 

@@ -153,13 +153,14 @@ def dq_run_incremental(spark: SparkSession, table: str, gold: str, dataset: str
     new = {key: source for key, source in now.items() if source not in known}
     rows = spark.read.schema(StructType([*schema.fields, *PARTITION_SCHEMA.fields])).parquet(table) if now else spark.createDataFrame([], StructType([*schema.fields, *PARTITION_SCHEMA.fields]))
     named = spark.createDataFrame(list(new.items()), "_folder string, source string")
-    changed = rows.where(folder_key().isin(list(new))).withColumn("_folder", folder_key()).join(named, "_folder").drop("_folder", *PING_PARTITIONS)
+    # The driver's own lists of folders are sent to the rows: a join by folder would put each folder into one task.
+    changed = rows.where(folder_key().isin(list(new))).withColumn("_folder", folder_key()).join(F.broadcast(named), "_folder").drop("_folder", *PING_PARTITIONS)
     place = f"{states}/v={following}"
     dq_states(changed, dataset, "source").write.mode("overwrite").parquet(f"{place}/counters")
     dq_key_counts(changed, dataset, "source").write.mode("overwrite").parquet(f"{place}/keys")
     write_small(spark, f"{place}/_SUCCESS", "")
     versions = [*versions, following]
-    live = spark.createDataFrame([(s,) for s in now.values()], "source string")
+    live = F.broadcast(spark.createDataFrame([(s,) for s in now.values()], "source string"))
     counters, keys = (kept_all.join(live, "source", "left_semi") for kept_all in (
         spark.read.parquet(*[f"{states}/v={v}/{name}" for v in versions]) for name in ("counters", "keys")
     ))

@@ -5,8 +5,9 @@ from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
 
-from fleetpulse.operators.quality import dq_metrics
+from fleetpulse.operators.quality import dq_key_counts, dq_metrics
 from fleetpulse.operators.reports import critical_equipment_report
+from fleetpulse.plans import jobs
 from fleetpulse.plans.jobs import dq_run_incremental
 from fleetpulse.sources import hours
 from fleetpulse.sources.hours import counting, folders, merge_hours
@@ -134,3 +135,25 @@ def test_quality_run_reads_only_changed_folders(spark, tmp_path):
     merge_hours(spark, path, GPS_SILVER, START + timedelta(hours=1))
     merged = dq_run_incremental(spark, path, gold, run_ts=START).head()
     assert merged.asDict() == dq_metrics(read_silver(spark, path, GPS_SILVER), "gps_eventos", START).head().asDict()
+
+
+def test_no_task_of_a_quality_run_holds_a_folder_or_its_keys(spark, tmp_path, monkeypatch):
+    path, gold, seen = str(tmp_path / "silver"), str(tmp_path / "gold"), {}
+    rows = pings(spark, 40).unionAll(pings(spark, 1).crossJoin(spark.range(500)).drop("id"))  # a key of 501 rows
+    write_silver_gps(rows, path, START, batch="a")
+
+    def kept(name):
+        made = getattr(jobs, name)
+        monkeypatch.setattr(jobs, name, lambda first, *rest: (seen.update({name: first}), made(first, *rest))[1])
+
+    for name in ("dq_states", "dq_metrics_of_states"):
+        kept(name)
+    found = dq_run_incremental(spark, path, gold, run_ts=START).head()
+    assert found.asDict() == dq_metrics(read_silver(spark, path, GPS_SILVER), "gps_eventos", START).head().asDict()
+    assert found["total_rows"] == 540 and found["duplicates_count"] == 500
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    for frame in seen.values():  # rows find their folder, and counters theirs, without an exchange by folder
+        assert "BroadcastHashJoin" in plan(frame) and "hashpartitioning" not in plan(frame)
+    counts = plan(dq_key_counts(seen["dq_states"], "gps_eventos", "source"))
+    assert counts.rindex("HashAggregate") < counts.rindex("Exchange hashpartitioning(key")  # the lowest count is above an exchange
+    assert counts.count("_share") and dq_key_counts(seen["dq_states"], "gps_eventos", "source").agg(F.max("n")).head()[0] == 501
