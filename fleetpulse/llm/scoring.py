@@ -20,7 +20,7 @@ BLOCK = 1 << 22  # tokens of the documents that share a dictionary; a longer doc
 FREQUENT = 512  # words whose neighbours give the model its starting point
 TIED_ROUNDS = 1  # of Baum-Welch with one emission a class but for the frequent words, before the last with one a word
 SEQUENCE = 1024  # tokens of a training sequence; longer texts are cut into several
-BATCH = 1 << 19  # tokens that are worked on at once
+BATCH = 1 << 20  # tokens that are worked on at once
 CLASSES = 4096  # by the hash of a word's last three bytes
 SHRINK = 1.0  # occurrences by which a word is taken to be spread over the states as its class is
 END = b""  # the token after the last word, which no word equals
@@ -45,12 +45,12 @@ def forward(codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, model: t
     variables and the scales, step after step.
     """
     initial, transition, emission = model
-    score, kept = np.zeros(len(starts)), []
-    for t in range(int(lengths[0]) if len(lengths) else 0):
-        n = int(np.searchsorted(-lengths, -t, side="left"))
+    score, kept, every = np.zeros(len(starts)), [], np.ones_like(initial)
+    longest = int(lengths[0]) if len(lengths) else 0
+    for t, n in enumerate(np.searchsorted(-lengths, -np.arange(longest), side="left")):
         seen = emission[codes[starts[:n] + t]]
         a = (initial if t == 0 else a[:n] @ transition) * seen  # noqa: F821
-        scale = a.sum(1)
+        scale = a @ every
         a /= scale[:, None]
         score[:n] += np.log(scale)
         if keep:
@@ -123,7 +123,7 @@ def blocks(rows: DataFrame) -> DataFrame:
 
 
 class Block(NamedTuple):
-    """A row of ``blocks`` as arrays; ``found`` are the rows that ``with_words`` brought."""
+    """A row of ``blocks`` as arrays; ``found`` are the rows that ``words_of`` brought."""
 
     ids: pa.Array
     held: np.ndarray
@@ -131,26 +131,25 @@ class Block(NamedTuple):
     codes: np.ndarray
     words: pa.Array
     counts: np.ndarray
-    found: pa.Array | None
+    found: pa.Table | None
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
+def _blocks(batches: Iterator[pa.RecordBatch], found: pa.Table | None = None) -> Iterator[Block]:
     for batch in batches:
         for row in batch.to_struct_array():
             planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["codes"].as_py()), np.uint8)
             codes = np.ascontiguousarray(planes.reshape(4, -1).T).view(np.uint32).ravel()
             held, lengths, counts = (row[c].values.to_numpy(zero_copy_only=False) for c in ("held", "lengths", "counts"))
-            yield Block(row["ids"].values, held.astype(bool), lengths, codes, row["words"].values, counts, row["found"].values if "found" in row else None)
+            yield Block(row["ids"].values, held.astype(bool), lengths, codes, row["words"].values, counts, found)
 
 
-def with_words(data: DataFrame, table: DataFrame) -> DataFrame:
-    """Blocks with the rows of ``table`` (word, c, p0, p1) for the words of their dictionaries.
+def words_of(data: DataFrame, table: DataFrame) -> DataFrame:
+    """(of, at, c, p0, p1): the rows of ``table`` (word, c, p0, p1) for the words at each place of a block's dictionary.
 
     A word is in a block's dictionary once, so no word has more than a row a block.
     """
-    own = data.select("block", F.posexplode("words").alias("at", "word"))
-    found = own.join(table, "word").groupBy("block").agg(F.collect_list(F.struct("at", "c", *_PACKED)).alias("found"))
-    return data.join(found, "block", "left")
+    own = data.select(F.col("block").alias("of"), F.posexplode("words").alias("at", "word"))
+    return own.join(table, "word").select("of", "at", "c", *_PACKED)
 
 
 def pair_counts(data: DataFrame, top: dict[bytes, int]) -> np.ndarray:
@@ -249,9 +248,9 @@ def learned_emissions(shares: np.ndarray, sums: np.ndarray) -> Callable[[Block],
     def emissions(block: Block) -> np.ndarray:
         c, uses = np.zeros(len(block.words)), np.zeros((len(block.words), len(sums)))
         if block.found is not None:
-            at = block.found.field("at").to_numpy()
-            c[at] = block.found.field("c").to_numpy()
-            uses[at] = unpack(c[at], np.stack([block.found.field(p).to_numpy() for p in _PACKED], 1))
+            at = block.found["at"].to_numpy()
+            c[at] = block.found["c"].to_numpy()
+            uses[at] = unpack(c[at], np.stack([block.found[p].to_numpy() for p in _PACKED], 1))
         return smoothed(c, uses, shares[[word_class(w) for w in block.words.to_pylist()]], sums)
 
     return emissions
@@ -276,7 +275,8 @@ def baum_welch(data: DataFrame, model: tuple, tied: dict[bytes, int] | None = No
     """Counts expected under the model (initial, transition, emissions), summed over all partitions.
 
     Returns (initial, transition) and the expected uses: a table (word, c, p0, p1) of every
-    training word, or with ``tied`` an array by ``units``.
+    training word, or with ``tied`` an array by ``units``. A sequence is gone through in single
+    precision, finer than the shares that are kept of it; sums over batches are doubles.
     """
     initial, transition, emissions = model
     states = len(initial)
@@ -296,12 +296,16 @@ def baum_welch(data: DataFrame, model: tuple, tied: dict[bytes, int] | None = No
             own = np.repeat(np.arange(len(whole)), pieces)
             offset = (np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * SEQUENCE
             starts, lengths = first[own] + offset, np.minimum(whole[own] - offset, SEQUENCE)
-            emission, uses = emissions(block), np.zeros((len(block.words), states))
+            single, uses = [x.astype(np.float32) for x in (initial, transition, emissions(block))], np.zeros((len(block.words), states))
             for chosen in _batches(lengths):
-                a, b, c = expected_counts(block.codes, starts[chosen], lengths[chosen], (initial, transition, emission))
-                begun, moves, uses = begun + a, moves + b, uses + c
+                a, b, c = expected_counts(block.codes, starts[chosen], lengths[chosen], single)
+                begun += a
+                moves += b
+                uses += c
             if tied is not None:
-                np.add.at(pooled, units(block, tied), uses)
+                at = units(block, tied)
+                for k in range(states):
+                    pooled[:, k] += np.bincount(at, uses[:, k], len(pooled))
                 continue
             at = np.flatnonzero(block.counts)
             yield rows(np.full(len(at), -1), block.words.take(pa.array(at)), block.counts[at], uses[at])
@@ -362,26 +366,26 @@ def scored(docs: DataFrame, held_out) -> DataFrame:
         lift = (uses + overall) / (uses.sum(1, keepdims=True) + 1) / overall
     initial, transition, table = baum_welch(data, (initial, transition, tied_emissions(top, lift)))
     emissions = learned_emissions(*class_shares(table))
-    seen = with_words(data, table)
     below = float(np.log10(total + kinds + 1))
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in _blocks(batches):
+    def score(rows: pa.Table, found: pa.Table) -> pa.Table:
+        out = []
+        for block in _blocks(rows.to_batches(), found):
             emission, c = emissions(block), np.zeros(len(block.words))
-            if block.found is not None:
-                c[block.found.field("at").to_numpy()] = block.found.field("c").to_numpy()
+            c[found["at"].to_numpy()] = found["c"].to_numpy()
             starts = np.cumsum(block.lengths) - block.lengths
             likelihood = np.zeros(len(starts))
             for chosen in _batches(block.lengths):
                 likelihood[chosen] = forward(block.codes, starts[chosen], block.lengths[chosen], (initial, transition, emission))[0]
             base = np.add.reduceat(np.log10(c + 1)[block.codes], starts) - block.lengths * below
             known = np.add.reduceat((c > 0).astype(np.int64)[block.codes], starts)
-            yield pa.record_batch(
-                [block.ids, pa.array(block.held), pa.array(block.lengths), pa.array(known), pa.array(base), pa.array(likelihood / np.log(10))],
-                ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"],
-            )
+            columns = [block.ids, pa.array(block.held), pa.array(block.lengths), pa.array(known), pa.array(base), pa.array(likelihood / np.log(10))]
+            out.append(pa.record_batch(columns, ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]))
+        return pa.Table.from_batches(out)
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
-    return seen.mapInArrow(score, schema).select(
+    # Words come to their block as sorted rows, one block at a time: no list of them is built in the heap.
+    seen = data.groupBy("block").cogroup(words_of(data, table).groupBy("of")).applyInArrow(score, schema)
+    return seen.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score"
     )

@@ -151,6 +151,23 @@ def test_a_long_text_is_scored_whole(documents, monkeypatch):
     assert got[1]["train_tokens"] == 2 * (150_001 + 4)
 
 
+def test_words_come_to_their_block_without_a_list(documents):
+    plan = scored(documents([(1, "a b c"), (2, "b d")]), F.col("doc_id") == 2)._jdf.queryExecution().executedPlan().toString()
+    assert "CoGroups" in plan and "collect_list" not in plan
+
+
+def test_counts_in_single_precision():
+    random = np.random.default_rng(3)
+    lengths = np.array([300, 200, 200, 7])
+    codes, starts = random.integers(0, 90, lengths.sum()), np.cumsum(lengths) - lengths
+    model = [random.dirichlet(np.ones(STATES)), random.dirichlet(np.ones(STATES), STATES), random.random((90, STATES)) + 0.01]
+    single = expected_counts(codes, starts, lengths, [x.astype(np.float32) for x in model])
+    for got, want in zip(single, expected_counts(codes, starts, lengths, model)):
+        assert got == pytest.approx(want, rel=1e-3, abs=1e-4)
+    score, kept = forward(codes, starts, lengths, [x.astype(np.float32) for x in model], keep=True)
+    assert kept[0][0].dtype == np.float32 and score.dtype == np.float64
+
+
 def test_grams_are_runs_of_letters():
     letters = _letter_table()
     found = ["".join(chr(int(k) >> s & 0x1FFFFF) for s in (42, 21, 0)) for k in grams("Ab, 1 Éc", letters)]
