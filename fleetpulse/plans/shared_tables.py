@@ -51,13 +51,17 @@ def faulty_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The faulty pings as JSON messages in the device's spelling; NULLs are absent keys."""
+    """The faulty pings as JSON messages in the device's spelling; NULLs are absent keys.
+
+    Pings are dealt over tasks before their text is made: the table may be a single row group.
+    """
     body = F.to_json(F.struct(
         "equipo_id", "timestamp",
         F.col("latitude").alias("latitud"), F.col("longitude").alias("longitud"),
         F.col("speed_kmh").alias("velocidad"), "estado",
     ))
-    return faulty_pings(spark, sf_dir).select("event_id", "copy", "arrival_ts", body.alias("body"))
+    dealt = faulty_pings(spark, sf_dir).repartition("event_id")
+    return dealt.select("event_id", "copy", "arrival_ts", body.alias("body"))
 
 
 def rich_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

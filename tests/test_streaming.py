@@ -175,3 +175,12 @@ def test_new_maintenance_files_are_taken_once(spark, tmp_path):
     ingest_maintenance_stream(spark, str(tmp_path / "csv"), schema, *paths).awaitTermination()
     assert sorted(r["equipo_id"] for r in read_silver(spark, paths[0], MAINTENANCE_SILVER).collect()) == ["CAM_001", "CAM_002"]
     assert spark.read.json(paths[1]).count() == 1
+
+
+def test_messages_are_made_by_many_tasks_and_state_is_stored_by_changes(spark, sf_dir):
+    from fleetpulse.plans.shared_tables import envelopes, rich_messages
+    from fleetpulse.session import STREAMING
+
+    plan = envelopes(spark, sf_dir, rich_messages)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(event_id" in plan
+    assert STREAMING["spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"] == "true"
