@@ -165,14 +165,26 @@ def runs(text: np.ndarray, starts: np.ndarray) -> dict[str, np.ndarray]:
             "anchor": v[anchor] * _MIX ^ v[anchor] >> np.uint64(31), "context": context}
 
 
-COLUMNS = {"anchor": np.uint64, "context": np.uint64, "doc": np.int64, "key": np.int64, "first": np.int32, "count": np.uint8, "offset": np.uint8}
+# As sent, an anchor is the 32 bits below those that its range tells. Two anchors that agree in them are
+# compared for nothing, which the strings show; a context is known by its own 64 bits beside them.
+COLUMNS = {"anchor": np.uint32, "context": np.uint64, "doc": np.int64, "key": np.int64, "first": np.int32, "count": np.uint8, "offset": np.uint8}
+SPANS = {"key": np.int64, "first": np.int32, "count": np.uint8}
+PLANES = ("doc", "first")
 
 
 def pack(columns: dict[str, np.ndarray], kinds: dict) -> bytes:
-    """Columns end to end, compressed: neighbours that repeat cost next to nothing."""
-    n = len(next(iter(columns.values())))
-    body = b"".join(np.ascontiguousarray(columns[name].astype(kind, copy=False)).tobytes() for name, kind in kinds.items())
-    return n.to_bytes(8, "little") + zstandard.ZstdCompressor(level=1).compress(body)
+    """Columns end to end, compressed: neighbours that repeat cost next to nothing.
+
+    Documents, sorted at best, are told by their differences. Of them and of places all
+    first bytes come first, then all second bytes and so on: the high ones are mostly zero.
+    """
+    n, body = len(next(iter(columns.values()))), []
+    for name, kind in kinds.items():
+        x = np.ascontiguousarray(columns[name].astype(kind, copy=False))
+        if name == "doc":
+            x = np.diff(x, prepend=x.dtype.type(0))
+        body.append((x.view(np.uint8).reshape(n, x.itemsize).T if name in PLANES else x).tobytes())
+    return n.to_bytes(8, "little") + zstandard.ZstdCompressor(level=1).compress(b"".join(body))
 
 
 def unpack(blobs, kinds: dict) -> dict[str, np.ndarray]:
@@ -180,8 +192,13 @@ def unpack(blobs, kinds: dict) -> dict[str, np.ndarray]:
     for blob in blobs:
         n, body, at = int.from_bytes(blob[:8], "little"), zstandard.ZstdDecompressor().decompress(blob[8:]), 0
         for name, kind in kinds.items():
-            parts[name].append(np.frombuffer(body, kind, n, at))
-            at += n * np.dtype(kind).itemsize
+            size = np.dtype(kind).itemsize
+            if name in PLANES:
+                x = np.ascontiguousarray(np.frombuffer(body, np.uint8, n * size, at).reshape(size, n).T).view(kind).reshape(n)
+            else:
+                x = np.frombuffer(body, kind, n, at)
+            parts[name].append(np.cumsum(x, dtype=kind) if name == "doc" else x)
+            at += n * size
     return {name: np.concatenate(x) if x else np.zeros(0, kinds[name]) for name, x in parts.items()}
 
 
@@ -206,7 +223,12 @@ def groups(sorted_values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _found(e: dict[str, np.ndarray], chosen: np.ndarray, asked: bool, split: np.ndarray | bool = False) -> pa.RecordBatch:
-    n = int(chosen.sum())
+    """The chosen entries, each once: equal rows have equal ones."""
+    chosen = np.flatnonzero(chosen)
+    chosen = chosen[np.lexsort((e["first"][chosen], e["key"][chosen]))]
+    key, first = e["key"][chosen], e["first"][chosen]
+    chosen = chosen[np.append(True, (key[1:] != key[:-1]) | (first[1:] != first[:-1]))[: len(chosen)]]
+    n = len(chosen)
     return pa.record_batch(
         [pa.array(e["key"][chosen]), pa.array(e["first"][chosen].astype(np.int32)), pa.array(e["count"][chosen].astype(np.int32)),
          pa.array(e["offset"][chosen].astype(np.int32)), pa.array(np.full(n, asked)),
@@ -247,9 +269,11 @@ def anchored(docs: DataFrame, ranges: int) -> DataFrame:
     costs one entry a task and context. Entries are dealt by anchor. An anchor with many
     contexts, as over the edges of such a passage, would fill its range: where it has more
     than a range's share of a task's leaders, those are dealt by context (kind 2), and two
-    of them with different documents tell the anchor's range of it (kind 3).
+    of them with different documents tell the anchor's range of it (kind 3). Of followers
+    only their spans are sent.
     """
-    shift = np.uint64(64 - (ranges.bit_length() - 1))
+    told = np.uint64(ranges.bit_length() - 1)
+    shift = np.uint64(64) - told
 
     def send(parts: list[dict]) -> Iterator[pa.RecordBatch]:
         e, follows = fold({name: np.concatenate([p[name] for p in parts]) for name in COLUMNS})
@@ -264,6 +288,7 @@ def anchored(docs: DataFrame, ranges: int) -> DataFrame:
         for h, n in zip(heads[crowd].tolist(), sizes[crowd].tolist()):
             markers[lead[h + docs[h : h + n].argmin()]] = markers[lead[h + docs[h : h + n].argmax()]] = True
         by_context = ((e["context"] * _MIX ^ e["anchor"]) * _MIX >> shift).astype(np.int64)
+        e["anchor"] = (e["anchor"] << told >> np.uint64(32)).astype(np.uint32)
         rows = []
         for kind, chosen, to in ((0, ~follows & ~crowded, part), (1, follows, part), (2, crowded, by_context), (3, markers, part)):
             chosen = np.flatnonzero(chosen)
@@ -272,8 +297,8 @@ def anchored(docs: DataFrame, ranges: int) -> DataFrame:
             chosen = {name: x[chosen] for name, x in e.items()}
             for h, n in zip(*(x.tolist() for x in groups(to))):
                 p, own = int(to[h]), {name: x[h : h + n] for name, x in chosen.items()}
-                by_doc = np.argsort(own["key"], kind="stable")
-                rows.append((p, kind, pack({name: x[by_doc] for name, x in own.items()}, COLUMNS)))
+                by_doc = np.argsort(own["doc"], kind="stable")
+                rows.append((p, kind, pack({name: x[by_doc] for name, x in own.items()}, SPANS if kind == 1 else COLUMNS)))
         a, b, c = zip(*rows)
         yield pa.record_batch([pa.array(a, pa.int32()), pa.array(b, pa.int32()), pa.array(c, pa.binary())], ["part", "kind", "blob"])
 
@@ -305,9 +330,10 @@ def settle(frame: pd.DataFrame) -> pd.DataFrame:
     that a task has split, or that are very many here, are marked: their strings will be
     dealt one by one. The markers and the anchor's range agree on that for all its leaders.
     """
-    local = unpack(frame.loc[frame["kind"] == 1, "blob"], COLUMNS)
+    local = unpack(frame.loc[frame["kind"] == 1, "blob"], SPANS)
+    local["offset"] = np.zeros(len(local["key"]), np.uint8)
     dealt, late = fold(unpack(frame.loc[frame["kind"] == 2, "blob"], COLUMNS))
-    tables = [_found(local, np.ones(len(local["doc"]), bool), False), _found(dealt, late, False), _found(dealt, ~late, True, True)]
+    tables = [_found(local, np.ones(len(local["key"]), bool), False), _found(dealt, late, False), _found(dealt, ~late, True, True)]
     markers = unpack(frame.loc[frame["kind"] == 3, "blob"], COLUMNS)
     e, follows = fold(unpack(frame.loc[frame["kind"].isin([0, 3]), "blob"], COLUMNS))
     tables.append(_found(e, follows, False))
@@ -454,14 +480,14 @@ def deduplicated(docs: DataFrame, text: bool = True, whole: bool = False) -> Dat
     )
     n_bytes = keyed.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     ranges = 1 << max(6, (n_bytes // RANGE).bit_length())
-    found = staged(anchored(keyed, ranges).groupBy("part").applyInPandas(settle, _FOUND), "anchors").distinct()
+    found = staged(anchored(keyed, ranges).groupBy("part").applyInPandas(settle, _FOUND), "anchors")
     asked = found.where("asked").groupBy("key").agg(F.collect_list(F.struct("first", "count", "offset", "split")).alias("runs"))
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shift = np.uint64(64 - (ranges.bit_length() - 1))
 
         def dealt(kind: int, part: np.ndarray, columns: dict[str, np.ndarray], body) -> Iterator[tuple]:
-            order = np.argsort(part, kind="stable")
+            order = np.lexsort((columns["doc"], part))
             for h, n in zip(*(x.tolist() for x in groups(part[order]))):
                 p, own = int(part[order[h]]), order[h : h + n]
                 yield p, kind, pack({n: x[own] for n, x in columns.items()}, CONTEXTS), zstandard.ZstdCompressor(level=1).compress(body(own))
@@ -481,7 +507,7 @@ def deduplicated(docs: DataFrame, text: bool = True, whole: bool = False) -> Dat
             columns = {n: columns[:, i] for i, n in enumerate(CONTEXTS)}
             strings, rows, mixed, settled = single_strings(columns, np.frombuffer(b"".join(bodies), np.uint8))
             yield from dealt(0, (mixed >> shift).astype(np.int64), strings, lambda own: rows[own].tobytes())
-            settled |= {"doc": settled["key"], "offset": settled["key"] * 0}
+            settled |= {"doc": settled["key"] * 0, "offset": settled["key"] * 0}
             yield from dealt(1, settled["key"] & (ranges - 1), settled, lambda own: b"")
 
         def packed(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:

@@ -1,10 +1,14 @@
 import hashlib
 import random
+import time
 
 import numpy as np
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from fleetpulse.llm import suffixes
+from fleetpulse.llm.common import FREED, staged
 from fleetpulse.llm.suffixes import deduplicated, deduplicated_documents, kept_bytes, runs, suffix_array
 from tests.llm.conftest import prose
 
@@ -83,6 +87,53 @@ def test_crowded_anchor_is_dealt_over_ranges(documents, monkeypatch):
     assert sorted(((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got), key=str) == brute(rows)
 
 
+def test_packed_columns_come_back():
+    low, high = -(1 << 63), (1 << 63) - 1
+    columns = {"anchor": [0, 2**32 - 1, 7], "context": [2**64 - 1, 0, 5], "doc": [high, low, high], "key": [low, high, -1],
+               "first": [0, 2**31 - 1, 300], "count": [31, 1, 2], "offset": [0, 30, 1]}
+    columns = {name: np.array(x, suffixes.COLUMNS[name]) for name, x in columns.items()}
+    got = suffixes.unpack([suffixes.pack(columns, suffixes.COLUMNS)] * 2, suffixes.COLUMNS)
+    assert {name: x.tolist() for name, x in got.items()} == {name: x.tolist() * 2 for name, x in columns.items()}
+    assert len(suffixes.unpack([], suffixes.COLUMNS)["doc"]) == 0
+
+
+def test_entries_are_sent_in_few_bytes(documents):
+    random.seed(3)
+    texts = [random.randbytes(2000).hex() for _ in range(200)]
+    rows = [(5_000_000_000 + 3 * k, texts[k % 200]) for k in range(300)]
+    keyed = documents(rows).select("doc_id", F.xxhash64("doc_id"), F.col("text").cast("binary")).coalesce(1)
+    blobs = suffixes.anchored(keyed, 64).collect()
+    sent = {kind: sum(len(b["blob"]) for b in blobs if b["kind"] == kind) for kind in (0, 1)}
+    leaders = sum(len(suffixes.unpack([b["blob"]], suffixes.COLUMNS)["doc"]) for b in blobs if b["kind"] == 0)
+    assert leaders > 40_000 and sent[0] < 19.5 * leaders and sent[1] < 9 * leaders / 2
+
+
+def test_equal_rows_are_found_once(documents):
+    rows = [(1, prose(1, 30))] + [(2, "x" + prose(1, 30))] * 40
+    keyed = documents(rows).select("doc_id", F.xxhash64("doc_id"), F.col("text").cast("binary")).repartition(3)
+    blobs = pd.DataFrame([b.asDict() for b in suffixes.anchored(keyed, 64).collect()])
+    found = pd.concat([suffixes.settle(frame) for _, frame in blobs.groupby("part")])
+    assert len(found) > 10 and not found.duplicated().any()
+
+
+def test_a_staged_table_leaves_no_shuffle_files(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        found = manager.getAllFiles()
+        return {found.apply(i).getName() for i in range(found.size())}
+
+    before, setting = files(), spark.conf.get(FREED, None)
+    table = staged(spark.range(1000).groupBy((F.col("id") % 100).alias("k")).count(), "freed")
+    left = None
+    for _ in range(50):
+        left = [name for name in files() - before if name.startswith("shuffle")]
+        if not left:
+            break
+        time.sleep(0.2)
+    assert not left and table.count() == 100 and spark.conf.get(FREED, None) == setting
+
+
 def test_strings_of_a_context():
     texts = [b"0123" + b"q" * 26 + b"the anchor is here now and more of it", b"xyz3" + b"q" * 26 + b"the anchor is here now and more of it"]
     n = len(texts[0]) - 49
